@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tutorlake.functions.clean import strip
 
@@ -34,11 +34,26 @@ def is_present(doc: Column, *keys: str) -> Column:
 
 
 def is_object(doc: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
+    return F.try_variant_get(doc, "$", "map<string,variant>").isNotNull()
 
 
 def is_array(doc: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(doc).startswith("ARRAY"), F.lit(False))
+    return F.try_variant_get(doc, "$", "array<variant>").isNotNull()
+
+
+def is_string(doc: Column) -> Column:
+    return F.to_json(doc).startswith('"')
+
+
+def staged(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row.
+
+    The optimizer copies a projected expression into every filter and column
+    that uses it; for parsed documents that multiplies the parsing.  It does not
+    look through a generator, so the values pass through one.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
 
 
 def text_or_falsy(doc: Column, *keys: str) -> Column:
@@ -47,8 +62,7 @@ def text_or_falsy(doc: Column, *keys: str) -> Column:
     Text ``'0'`` counts as a value, the number 0 does not.
     """
     node, text = node_at(doc, *keys), text_at(doc, *keys)
-    is_text = F.schema_of_variant(node) == "STRING"
-    return F.when(is_text, F.nullif(text, F.lit(""))).when(
+    return F.when(is_string(node), F.nullif(text, F.lit(""))).when(
         ~text.rlike(r"^(-?0+(\.0+)?([eE].*)?|false)$"), text
     )
 
@@ -91,15 +105,3 @@ PARENT_ALIASES = {
     "parent_email": ("parent_email", "Parent Email"),
     "parent_contact": ("parent_contact", "Parent Phone"),
 }
-
-
-def location_fields(user: Column, custom: Column) -> dict[str, Column]:
-    """City, state, address and pin code: the user's own field, else a custom field."""
-    return {
-        name: F.coalesce(text_at(user, name), field_lookup(custom, aliases))
-        for name, aliases in LOCATION_ALIASES.items()
-    }
-
-
-def parent_fields(custom: Column) -> dict[str, Column]:
-    return {name: field_lookup(custom, aliases) for name, aliases in PARENT_ALIASES.items()}

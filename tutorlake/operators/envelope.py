@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tutorlake.functions import clean
-from tutorlake.functions.jsonfields import is_object, is_present, node_at, text_at, typed_at
+from tutorlake.functions.jsonfields import is_object, is_present, node_at, staged, text_at, typed_at
 
 # Reject classes.
 NOT_JSON = "Not JSON"
@@ -30,14 +30,9 @@ PING_ROUTE = "ping"
 NO_ROUTE = "none"
 
 
-def _python_text(doc: Column, *keys: str) -> Column:
-    """Text of a value as it enters a derived id: missing or null reads ``None``."""
-    return F.coalesce(text_at(doc, *keys), F.lit("None"))
-
-
-def _flag(doc: Column, *keys: str) -> Column:
+def _flag(present: str, value: str) -> Column:
     """Boolean that defaults to true when its key is missing."""
-    return F.when(is_present(doc, *keys), typed_at(doc, "boolean", *keys)).otherwise(F.lit(True))
+    return F.when(F.col(present), F.col(value)).otherwise(F.lit(True))
 
 
 def parse(df: DataFrame, body: str = "body") -> DataFrame:
@@ -46,32 +41,49 @@ def parse(df: DataFrame, body: str = "body") -> DataFrame:
     Added: ``event_id``, ``event_type``, ``is_live``, ``data`` (VARIANT),
     ``event_epoch`` and ``reject_reason`` (NULL for accepted messages).  A body
     that is JSON but not an object counts as not JSON.
+
+    A message is nested when it has an ``event`` and no ``id``; its id then is
+    its type and time stamp, in which a missing or null part reads ``None``.
     """
     doc = F.col("__doc")
-    parsed = df.withColumn("__doc", F.try_parse_json(F.col(body)))
-    readable = is_object(doc)
-    nested = is_present(doc, "event") & ~is_present(doc, "id")
-    event_is_object = is_object(node_at(doc, "event"))
-    stamp = F.when(is_present(doc, "event", "event_ts"), _python_text(doc, "event", "event_ts")).otherwise(F.lit(""))
-    nested_id = F.concat(_python_text(doc, "event", "event"), F.lit("-"), stamp)
-    empty = F.parse_json(F.lit("{}"))
-    out = parsed.select(
-        *df.columns,
-        F.when(readable, F.when(nested, nested_id).otherwise(text_at(doc, "id"))).alias("event_id"),
-        F.when(nested, text_at(doc, "event", "event")).otherwise(text_at(doc, "event_name")).alias("event_type"),
-        F.when(nested, _flag(doc, "event", "livemode")).otherwise(_flag(doc, "is_live_mode")).alias("is_live"),
-        F.when(nested, F.when(is_present(doc, "payload"), node_at(doc, "payload")).otherwise(empty))
-        .otherwise(F.when(is_present(doc, "data"), node_at(doc, "data")).otherwise(empty)).alias("data"),
-        F.when(event_is_object, clean.iso_epoch(text_at(doc, "event", "event_ts")))
-        .otherwise(typed_at(doc, "bigint", "event_timestamp")).alias("event_epoch"),
-        readable.alias("__readable"),
+    parsed = staged(df, __doc=F.try_parse_json(F.col(body)))
+    parts = staged(
+        parsed,
+        __readable=is_object(doc),
+        __nested=is_present(doc, "event") & ~is_present(doc, "id"),
+        __event_is_object=is_object(node_at(doc, "event")),
+        __event_type=text_at(doc, "event", "event"),
+        __has_stamp=is_present(doc, "event", "event_ts"),
+        __stamp=text_at(doc, "event", "event_ts"),
+        __has_event_live=is_present(doc, "event", "livemode"),
+        __event_live=typed_at(doc, "boolean", "event", "livemode"),
+        __payload=node_at(doc, "payload"),
+        __id=text_at(doc, "id"),
+        __name=text_at(doc, "event_name"),
+        __has_live=is_present(doc, "is_live_mode"),
+        __live=typed_at(doc, "boolean", "is_live_mode"),
+        __data=node_at(doc, "data"),
+        __epoch=typed_at(doc, "bigint", "event_timestamp"),
     )
+    nested, none = F.col("__nested"), F.lit("None")
+    stamp = F.when(F.col("__has_stamp"), F.coalesce("__stamp", none)).otherwise(F.lit(""))
+    nested_id = F.concat(F.coalesce("__event_type", none), F.lit("-"), stamp)
+    event_id = F.when(F.col("__readable"), F.when(nested, nested_id).otherwise(F.col("__id")))
+    event_type = F.when(nested, F.col("__event_type")).otherwise(F.col("__name"))
+    data = F.when(nested, F.col("__payload")).otherwise(F.col("__data"))
     reason = (
         F.when(~F.col("__readable"), F.lit(NOT_JSON))
-        .when(F.col("event_id").isNull(), F.lit(NO_ID))
-        .when(F.col("event_type").isNull(), F.lit(NO_TYPE))
+        .when(event_id.isNull(), F.lit(NO_ID))
+        .when(event_type.isNull(), F.lit(NO_TYPE))
+    )
+    return parts.select(
+        *df.columns,
+        event_id.alias("event_id"), event_type.alias("event_type"),
+        F.when(nested, _flag("__has_event_live", "__event_live")).otherwise(_flag("__has_live", "__live")).alias("is_live"),
+        F.coalesce(data, F.parse_json(F.lit("{}"))).alias("data"),
+        F.when(F.col("__event_is_object"), clean.iso_epoch("__stamp")).otherwise(F.col("__epoch")).alias("event_epoch"),
+        reason.alias("reject_reason"),
     )
-    return out.withColumn("reject_reason", reason).drop("__readable")
 
 
 def route(event_type: Column) -> Column:

@@ -2,153 +2,135 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tutorlake.functions.jsonfields import first_present, is_object, location_fields, node_at, parent_fields
+from tutorlake.functions.jsonfields import (
+    LOCATION_ALIASES, PARENT_ALIASES, field_lookup, first_present, is_object, node_at, staged,
+)
 from tutorlake.operators import envelope, upsert
-from tutorlake.operators.policies import ROUTED_TABLES
+from tutorlake.operators.policies import ROUTED_TABLES, TableRule
 
 MISSING_KEY = "missing key"
 BAD_VALUE = "bad value"
 NO_DATA = "data is not an object"
 
-
-class _Fields:
-    """Typed columns read from a document, remembering which texts did not fit."""
-
-    def __init__(self, doc: Column):
-        self.doc = doc
-        self.columns: dict[str, Column] = {}
-        self.bad = F.lit(False)
-
-    def text(self, name: str, *keys: str) -> None:
-        self.columns[name] = first_present(self.doc, *(keys or (name,)))
-
-    def typed(self, name: str, kind: str, *keys: str) -> None:
-        raw = first_present(self.doc, *(keys or (name,)))
-        value = raw.try_cast(kind)
-        self.bad = self.bad | (raw.isNotNull() & value.isNull())
-        self.columns[name] = value
-
-    def instant(self, name: str, *keys: str, default: Column | None = None) -> None:
-        self.typed(name, "bigint", *keys)
-        seconds = self.columns[name]
-        if default is not None:
-            seconds = F.coalesce(seconds, default)
-        self.columns[name] = F.timestamp_seconds(seconds)
-
-
-def _users() -> _Fields:
-    data = F.col("data")
-    created = F.col("event_type") == "user.user_created"
-    nested = node_at(data, "user")
-    user = F.when(created, data).when(nested.isNotNull() & ~F.is_variant_null(nested), nested).otherwise(data)
-    custom = node_at(data, "system_fields")
-    fields = _Fields(user)
-    fields.columns["writer"] = F.when(created, F.lit("created")).otherwise(F.lit("updated"))
-    fields.typed("user_id", "bigint")
-    fallback = _Fields(user)
-    fallback.typed("user_id", "bigint", "id")
-    fields.columns["user_id"] = F.when(created, fields.columns["user_id"]).otherwise(
-        F.coalesce(fields.columns["user_id"], fallback.columns["user_id"]))
-    fields.text("email")
-    fields.text("full_name", "name", "full_name")
-    fields.text("contact_number", "phone", "contact_number")
-    fields.columns.update(location_fields(user, custom))
-    fields.columns.update(parent_fields(custom))
-    fields.instant("created_at", default=F.col("event_epoch"))
-    fields.instant("updated_at", default=F.col("event_epoch"))
-    only_updated = ["contact_number", "city", "state", "address", "pincode", "parent_name", "parent_email",
-                    "parent_contact", "updated_at"]
-    for name in only_updated:
-        fields.columns[name] = F.when(~created, fields.columns[name])
-    fields.columns["created_at"] = F.when(created, fields.columns["created_at"])
-    fields.bad = fields.bad | ~is_object(user)
-    return fields
-
-
-def _transactions() -> _Fields:
-    fields = _Fields(F.col("data"))
-    for name in ("user_id", "bundle_id", "master_batch_id"):
-        fields.typed(name, "bigint")
-    for name in ("original_price", "discount", "final_price"):
-        fields.typed(name, "decimal(12,2)")
-    for name in ("email", "course_name", "master_batch_name", "currency"):
-        fields.text(name)
-    fields.text("full_name", "name", "full_name")
-    fields.columns["event_timestamp"] = F.timestamp_seconds("event_epoch")
-    fields.columns["source"] = F.lit("webhook")
-    return fields
-
-
-def _sessions() -> _Fields:
-    fields = _Fields(F.col("data"))
-    fields.typed("attendance_id", "bigint")
-    fields.typed("class_id", "bigint")
-    fields.text("class_name")
-    fields.text("class_type_formatted")
-    fields.instant("scheduled_start", "gmt_start_time")
-    fields.instant("actual_start", "actual_start_time", "taken_at")
-    fields.typed("status", "int")
-    return fields
-
-
-def _assessments() -> _Fields:
-    fields = _Fields(F.col("data"))
-    for name in ("user_id", "attempt_id", "exercise_id"):
-        fields.typed(name, "bigint")
-    fields.typed("mark", "decimal(8,2)")
-    fields.typed("is_evaluated", "int")
-    fields.instant("submitted_at", "submitted_at", "test_date")
-    return fields
-
-
-def _completions() -> _Fields:
-    fields = _Fields(F.col("data"))
-    fields.typed("user_id", "bigint")
-    fields.typed("bundle_id", "bigint")
-    fields.instant("completed_at", default=F.col("event_epoch"))
-    return fields
-
-
-def _announcements() -> _Fields:
-    fields = _Fields(F.col("data"))
-    fields.columns["raw_data"] = F.when(~F.is_variant_null(F.col("data")), F.to_json(F.col("data")))
-    return fields
-
-
-def _certificates() -> _Fields:
-    fields = _Fields(F.col("data"))
-    fields.text("certificate_id")
-    fields.typed("user_id", "bigint")
-    fields.instant("issued_at")
-    return fields
-
-
-ROUTES: dict[str, Callable[[], _Fields]] = {
-    "users": _users,
-    "transactions": _transactions,
-    "sessions": _sessions,
-    "assessments": _assessments,
-    "course_completion": _completions,
-    "announcements": _announcements,
-    "certificates": _certificates,
+_EPOCH = "epoch"
+
+#: Columns read from an event's data: type, then the names to look under.
+#: ``epoch`` columns hold epoch seconds and become instants.
+FIELDS: dict[str, dict[str, tuple[str, tuple[str, ...]]]] = {
+    "users": {
+        "user_id": ("bigint", ("user_id",)),
+        "email": ("string", ("email",)),
+        "full_name": ("string", ("name", "full_name")),
+        "contact_number": ("string", ("phone", "contact_number")),
+        "created_at": (_EPOCH, ("created_at",)),
+        "updated_at": (_EPOCH, ("updated_at",)),
+    },
+    "transactions": {
+        "user_id": ("bigint", ("user_id",)),
+        "bundle_id": ("bigint", ("bundle_id",)),
+        "master_batch_id": ("bigint", ("master_batch_id",)),
+        "email": ("string", ("email",)),
+        "full_name": ("string", ("name", "full_name")),
+        "course_name": ("string", ("course_name",)),
+        "master_batch_name": ("string", ("master_batch_name",)),
+        "original_price": ("decimal(12,2)", ("original_price",)),
+        "discount": ("decimal(12,2)", ("discount",)),
+        "final_price": ("decimal(12,2)", ("final_price",)),
+        "currency": ("string", ("currency",)),
+    },
+    "sessions": {
+        "attendance_id": ("bigint", ("attendance_id",)),
+        "class_id": ("bigint", ("class_id",)),
+        "class_name": ("string", ("class_name",)),
+        "class_type_formatted": ("string", ("class_type_formatted",)),
+        "scheduled_start": (_EPOCH, ("gmt_start_time",)),
+        "actual_start": (_EPOCH, ("actual_start_time", "taken_at")),
+        "status": ("int", ("status",)),
+    },
+    "assessments": {
+        "user_id": ("bigint", ("user_id",)),
+        "attempt_id": ("bigint", ("attempt_id",)),
+        "exercise_id": ("bigint", ("exercise_id",)),
+        "mark": ("decimal(8,2)", ("mark",)),
+        "is_evaluated": ("int", ("is_evaluated",)),
+        "submitted_at": (_EPOCH, ("submitted_at", "test_date")),
+    },
+    "course_completion": {
+        "user_id": ("bigint", ("user_id",)),
+        "bundle_id": ("bigint", ("bundle_id",)),
+        "completed_at": (_EPOCH, ("completed_at",)),
+    },
+    "announcements": {},
+    "certificates": {
+        "certificate_id": ("string", ("certificate_id",)),
+        "user_id": ("bigint", ("user_id",)),
+        "issued_at": (_EPOCH, ("issued_at",)),
+    },
 }
+#: Instants that fall back to the event's own time.
+_EVENT_TIME = ("created_at", "updated_at", "completed_at")
+#: User columns that only an update writes.
+_UPDATE_ONLY = ("contact_number", "updated_at", *LOCATION_ALIASES, *PARENT_ALIASES)
+
+
+def _raw(names: Sequence[str]) -> str:
+    return "__" + "_or_".join(names)
 
 
-def _problem(table: str, fields: _Fields) -> Column:
+def _with_raw_texts(events: DataFrame, tables: Sequence[str]) -> DataFrame:
+    """Add the texts behind the fields of some tables, each read once.
+
+    User updates may wrap the user in an object of its own; ``__subject`` is the
+    document that holds the fields in either case.
+    """
+    nested = node_at(F.col("data"), "user")
+    wrapped = (F.col("event_type") == "user.user_updated") & nested.isNotNull() & ~F.is_variant_null(nested)
+    subject = staged(events, __subject=F.when(wrapped, nested).otherwise(F.col("data")))
+    wanted = {_raw(names): names for table in tables for _, names in FIELDS[table].values()}
+    if "users" in tables:
+        wanted[_raw(["id"])] = ("id",)
+    texts = {raw: first_present(F.col("__subject"), *names) for raw, names in wanted.items()}
+    return staged(subject, __usable=is_object(F.col("data")) & is_object(F.col("__subject")), **texts)
+
+
+def _typed(table: str) -> dict[str, Column]:
+    """Typed columns of one table, from the raw texts."""
+    columns = {}
+    for name, (kind, names) in FIELDS[table].items():
+        text = F.col(_raw(names))
+        if kind == _EPOCH:
+            seconds = text.try_cast("bigint")
+            columns[name] = F.timestamp_seconds(
+                F.coalesce(seconds, F.col("event_epoch")) if name in _EVENT_TIME else seconds)
+        else:
+            columns[name] = text if kind == "string" else text.try_cast(kind)
+    if table == "users":
+        other_id = F.col(_raw(["id"])).try_cast("bigint")
+        columns["user_id"] = F.when(_is_created(), columns["user_id"]).otherwise(
+            F.coalesce(columns["user_id"], other_id))
+    return columns
+
+
+def _is_created() -> Column:
+    return F.col("event_type") == "user.user_created"
+
+
+def _problem(table: str, typed: dict[str, Column]) -> Column:
     """Why an event cannot enter its table; NULL when it can."""
-    usable = F.lit(True) if table == "announcements" else is_object(F.col("data"))
+    bad = F.lit(False)
+    for kind, names in FIELDS[table].values():
+        if kind != "string":
+            text = F.col(_raw(names))
+            bad = bad | (text.isNotNull() & text.try_cast("bigint" if kind == _EPOCH else kind).isNull())
     missing = F.lit(False)
     for key in ROUTED_TABLES[table].required:
-        missing = missing | fields.columns[key].isNull()
-    return (
-        F.when(~usable, F.lit(NO_DATA))
-        .when(fields.bad, F.lit(BAD_VALUE))
-        .when(missing, F.lit(MISSING_KEY))
-    )
+        missing = missing | typed[key].isNull()
+    unusable = F.lit(False) if table == "announcements" else ~F.col("__usable")
+    return F.when(unusable, F.lit(NO_DATA)).when(bad, F.lit(BAD_VALUE)).when(missing, F.lit(MISSING_KEY))
 
 
 def entity_rows(events: DataFrame, table: str) -> DataFrame:
@@ -158,12 +140,25 @@ def entity_rows(events: DataFrame, table: str) -> DataFrame:
     missing, a value does not fit its column, or the data is not an object
     (announcements take any data).
     """
-    fields = ROUTES[table]()
+    mine = _with_raw_texts(events.filter(envelope.route(F.col("event_type")) == table), [table])
+    typed = _typed(table)
+    problem = _problem(table, typed)
+    if table == "users":
+        custom = node_at(F.col("data"), "system_fields")
+        looked_up = {name: F.coalesce(first_present(F.col("__subject"), name), field_lookup(custom, names))
+                     for name, names in LOCATION_ALIASES.items()}
+        looked_up |= {name: field_lookup(custom, names) for name, names in PARENT_ALIASES.items()}
+        typed["writer"] = F.when(_is_created(), F.lit("created")).otherwise(F.lit("updated"))
+        typed["created_at"] = F.when(_is_created(), typed["created_at"])
+        typed |= {name: F.when(~_is_created(), {**typed, **looked_up}[name]) for name in _UPDATE_ONLY}
+    elif table == "transactions":
+        typed["event_timestamp"] = F.timestamp_seconds("event_epoch")
+        typed["source"] = F.lit("webhook")
+    elif table == "announcements":
+        typed["raw_data"] = F.when(~F.is_variant_null("data"), F.to_json("data"))
     kept = [c for c in ("event_id", "event_type", "received_at") if c in events.columns]
-    return events.filter(envelope.route(F.col("event_type")) == table).select(
-        "seq", *kept, *[column.alias(name) for name, column in fields.columns.items()],
-        _problem(table, fields).alias("problem"),
-    )
+    return mine.select(
+        "seq", *kept, *[column.alias(name) for name, column in typed.items()], problem.alias("problem"))
 
 
 def sound(rows: DataFrame) -> DataFrame:
@@ -172,11 +167,12 @@ def sound(rows: DataFrame) -> DataFrame:
 
 def with_problem(events: DataFrame) -> DataFrame:
     """Add ``route`` and ``problem`` in one pass over the events."""
-    routed = events.withColumn("route", envelope.route(F.col("event_type")))
+    tables = list(FIELDS)
+    routed = _with_raw_texts(events.withColumn("route", envelope.route(F.col("event_type"))), tables)
     problem = F.lit(None).cast("string")
-    for table, build in ROUTES.items():
-        problem = F.when(F.col("route") == table, _problem(table, build())).otherwise(problem)
-    return routed.withColumn("problem", problem)
+    for table in tables:
+        problem = F.when(F.col("route") == table, _problem(table, _typed(table))).otherwise(problem)
+    return routed.select(*events.columns, "route", problem.alias("problem"))
 
 
 def retry_queue(events: DataFrame) -> DataFrame:
@@ -185,13 +181,13 @@ def retry_queue(events: DataFrame) -> DataFrame:
         "seq", "event_id", "event_type", "route", "problem")
 
 
-def fold_table(events: DataFrame, table: str, rule=None) -> DataFrame:
-    """State of one entity table after all ``events``."""
+def fold_table(events: DataFrame, table: str, rule: TableRule | None = None, order_by: Sequence[str] = ("seq",)) -> DataFrame:
+    """State of one entity table after all ``events``, in arrival order unless told otherwise."""
     rule = rule or ROUTED_TABLES[table]
-    return upsert.fold(sound(entity_rows(events, table)), rule.keys, ["seq"], rule.policies)
+    return upsert.fold(sound(entity_rows(events, table)), rule.keys, order_by, rule.policies)
 
 
-def apply_table(target: DataFrame, events: DataFrame, table: str, rule=None) -> DataFrame:
+def apply_table(target: DataFrame, events: DataFrame, table: str, rule: TableRule | None = None) -> DataFrame:
     """State of one entity table after further ``events``."""
     rule = rule or ROUTED_TABLES[table]
     return upsert.apply(target, sound(entity_rows(events, table)), rule.keys, ["seq"], rule.policies)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tutorlake.functions.jsonfields import node_at, text_at
+from tutorlake.functions.jsonfields import is_string, node_at, staged, text_at
 
 # Keys that may hold the row list, in order of preference.
 ATTENDANCE_KEYS = ("data", "rows", "report")
@@ -20,8 +20,8 @@ def read_pages(spark: SparkSession, paths: str | Sequence[str], one_per_line: bo
     Several days or pages are several paths of one read.
     """
     text = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=not one_per_line)
-    return text.select("_metadata.file_path", "value").select(
-        F.col("file_path").alias("page"), F.try_parse_json("value").alias("doc"))
+    pages = text.select(F.col("_metadata.file_path").alias("page"), "value")
+    return staged(pages, doc=F.try_parse_json("value")).drop("value")
 
 
 def _list_at(doc: Column, *keys: str) -> Column:
@@ -53,7 +53,7 @@ def unwrap_catalogue(pages: DataFrame, *carry: str) -> DataFrame:
 
 def _batches_of(bundle: Column) -> Column:
     """Batches of one bundle: a list, or a list written as JSON text; none when it is neither."""
-    written = F.try_parse_json(F.when(F.schema_of_variant(node_at(bundle, "batch")) == "STRING", text_at(bundle, "batch")))
+    written = F.try_parse_json(F.when(is_string(node_at(bundle, "batch")), text_at(bundle, "batch")))
     listed = F.coalesce(_list_at(bundle, "batch"), _list_at(written), F.array().cast("array<variant>"))
     return F.transform(listed, lambda batch: F.struct(
         text_at(bundle, "bundle_id").alias("bundle_id"),
