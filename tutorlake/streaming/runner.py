@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tutorlake.operators import dedup, envelope, upsert
 from tutorlake.operators.policies import ROUTED_TABLES
@@ -42,7 +43,7 @@ class EventPipeline:
         path = f"{self.root}/bronze/webhook_events"
         numbers = [int(n.split("=")[1]) for n in children(self.spark, path) if n.startswith("batch=")]
         paths = [self._log_path(n) for n in sorted(numbers) if n < batch]
-        return self.spark.read.parquet(*paths).select("event_id") if paths else None
+        return self.spark.read.option("basePath", path).parquet(*paths).select("event_id") if paths else None
 
     def process(self, messages: DataFrame, batch: int) -> None:
         """Apply one micro-batch; safe to repeat."""
@@ -53,26 +54,30 @@ class EventPipeline:
         earlier = self._earlier_ids(batch)
         if earlier is not None:
             events = events.join(earlier, "event_id", "left_anti")
-        (events.withColumn("route", envelope.route(F.col("event_type")))
-         .write.mode("overwrite").partitionBy("route").parquet(self._log_path(batch)))
-        self._route(batch)
+        routed = events.withColumn("route", envelope.route(F.col("event_type")))
+        routed.write.mode("overwrite").partitionBy("route").parquet(self._log_path(batch))
+        self._route(batch, routed.schema)
 
-    def _route(self, batch: int) -> None:
+    def _route(self, batch: int, schema: StructType) -> None:
         # The log is partitioned by route, so each table reads only its own events.
-        logged = self.spark.read.parquet(self._log_path(batch)).withColumn("data", F.parse_json("data"))
-        routing.retry_queue(logged).write.mode("overwrite").json(f"{self.root}/retry/batch={batch}")
+        path = self._log_path(batch)
+        logged = self.spark.read.schema(schema).parquet(path).withColumn("data", F.parse_json("data"))
+        routing.retry_queue(logged.drop("route")).write.mode("overwrite").json(f"{self.root}/retry/batch={batch}")
+        present = {n.split("=")[1] for n in children(self.spark, path) if n.startswith("route=")}
         for name, rule in ROUTED_TABLES.items():
+            if name not in present:
+                continue
             table = self.table(name)
-            rows = routing.sound(routing.entity_rows(logged.filter(F.col("route") == name), name))
+            rows = routing.sound(routing.entity_rows(logged.filter(F.col("route") == name), name)).persist()
             buckets = table.touched(rows)
-            if not buckets:
-                continue
             target = table.read(before=batch, buckets=buckets)
             if target is None:
                 state = upsert.fold(rows, rule.keys, ["seq"], rule.policies)
             else:
                 state = upsert.apply(target, rows, rule.keys, ["seq"], rule.policies)
-            table.write(state, batch)
+            if buckets:
+                table.write(state, batch)
+            rows.unpersist()
 
     def start(self, messages: DataFrame, checkpoint: str, available_now: bool = True) -> StreamingQuery:
         """Run over a stream of messages.

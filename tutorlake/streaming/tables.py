@@ -49,7 +49,7 @@ class StateTable:
         if not chosen:
             return None
         paths = [f"{self.path}/version={v}/bucket={b}" for b, v in sorted(chosen.items())]
-        return self.spark.read.parquet(*paths)
+        return self.spark.read.option("basePath", self.path).parquet(*paths).drop("version", "bucket")
 
     def touched(self, rows: DataFrame) -> list[int]:
         """Bucket numbers of some rows; at most ``buckets`` of them."""
