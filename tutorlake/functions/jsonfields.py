@@ -68,8 +68,9 @@ def text_or_falsy(doc: Column, *keys: str) -> Column:
 
 
 def first_truthy(doc: Column, *names: str) -> Column:
-    """First truthy value among alternate names of one field."""
-    return F.coalesce(*[text_or_falsy(doc, name) for name in names])
+    """First truthy value among alternate names of one field, else whatever the last name holds."""
+    *others, last = names
+    return F.coalesce(*[text_or_falsy(doc, name) for name in others], text_at(doc, last))
 
 
 def first_present(doc: Column, *names: str) -> Column:

@@ -166,8 +166,7 @@ def batch_rows(batches: DataFrame) -> DataFrame:
         clean.clean_text(text_at(batch, "class_name")).alias("batch_name"),
         F.when(archived, F.lit("Archived")).otherwise(F.lit("Active")).alias("batch_status"),
         *[clean.clean_text(text_at(batch, c)).alias(c) for c in ("start_date", "end_date", "tutor_id", "tutor_name")],
-        clean.clean_text(F.coalesce(first_truthy(batch, "admitted_students"), text_at(batch, "registered_students")))
-        .alias("admitted_students"),
+        clean.clean_text(first_truthy(batch, "admitted_students", "registered_students")).alias("admitted_students"),
         (F.col("bundle_id").isNotNull() & text_at(batch, "class_id").isNotNull()).alias("__keyed"),
     ).filter("__keyed").drop("__keyed")
 

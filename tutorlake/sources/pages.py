@@ -85,7 +85,7 @@ def number_rows(rows: DataFrame, page: str = "page", target: DataFrame | None =
     if target is not None:
         # The target's rows act as one page before all others.
         stored = target.agg(F.coalesce(F.max("source_row") + 1, F.lit(0)).alias("__n"))
-        counts = counts.unionByName(stored.withColumn("__page", F.lit(None).cast("string")))
+        counts = counts.unionByName(stored.withColumn("__page", F.lit(None).cast(rows.schema[page].dataType)))
     before = Window.orderBy(F.col("__page").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__page", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
     number = (F.col("pos") + F.col("__offset")).alias("source_row")
