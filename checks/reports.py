@@ -11,6 +11,7 @@ from checks.common import mean6_sql, query
 from checks.courses import _STAFF
 from checks.entities import events
 from checks.fixtures import fixture, oracle
+from tutorlake import session
 from tutorlake.functions import labels
 from tutorlake.operators import predicates
 from tutorlake.plans import quality, reports, routing
@@ -100,7 +101,8 @@ def _(spark, sf_dir):
 
 
 def report_tables(spark, sf_dir) -> dict[str, DataFrame]:
-    heard = events(spark, sf_dir)
+    logged = session.stored(events(spark, sf_dir).withColumn("data", F.to_json("data")), "events")
+    heard = logged.withColumn("data", F.parse_json("data"))
     sessions = routing.fold_table(heard, "sessions").withColumn(
         "cancellation_reason", F.when(F.col("status").isNull(), F.lit("cancelled")))
     return {

@@ -199,7 +199,7 @@ def _(spark, sf_dir):
     flat = pages.flatten_batches(read.withColumn("page_no", typed_at(F.col("doc"), "bigint", "page")), "page_no", "has_more")
     stored = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("source_row"))
     numbered = pages.number_rows(flat, "page_no", stored)
-    rows = courses.batch_rows(numbered).join(numbered.select("source_row", "has_more"), "source_row")
+    rows = courses.upsert_batches_raw(courses.batch_rows(numbered)).join(numbered.select("source_row", "has_more"), "source_row")
     return rows.select("source_row", "bundle_id", "bundle_name", "batch_id", "batch_name", "batch_status", "admitted_students", "has_more")
 
 

@@ -7,6 +7,7 @@ and bad input becomes NULL.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
@@ -84,15 +85,33 @@ def epoch_or_null(c: Column | str) -> Column:
     return F.when(~text.isin(*EPOCH_NULL_TOKENS), safe_int(text))
 
 
+#: What each letter run of a layout may look like; other characters stand for themselves.
+_SHAPES = {
+    "d": "(0?[1-9]|[12][0-9]|3[01])", "M": "(0?[1-9]|1[0-2])", "MMM": "[A-Za-z]{3}", "yyyy": "[0-9]{4}",
+    "H": "([01]?[0-9]|2[0-3])", "h": "(0?[1-9]|1[0-2])", "m": "[0-5]?[0-9]", "s": "[0-5]?[0-9]", "a": "[AaPp][Mm]",
+}
+
+
+def _shape(fmt: str) -> str:
+    """Pattern of the texts a layout can read.
+
+    A failed parse costs an exception per value; the pattern keeps texts of
+    other layouts away, so that only impossible dates such as 31/2 still fail.
+    """
+    tokens = re.findall(r"'[^']*'|d+|M+|y+|H+|h+|m+|s+|a|.", fmt)
+    return "^" + "".join(_SHAPES.get(t) or re.escape(t.strip("'")) for t in tokens) + "$"
+
+
 def parse_date(c: Column | str, formats: Sequence[str] = ATTENDANCE_DATE_FORMATS) -> Column:
     """First layout that fits gives the date, otherwise NULL."""
     text = strip(c)
-    return F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats])
+    return F.coalesce(*[F.when(text.rlike(_shape(fmt)), F.try_to_date(text, fmt)) for fmt in formats])
 
 
 def _zoned(text: Column, fmt: str, zone: str) -> Column:
     # The zone travels with the text, so the session time zone has no influence.
-    return F.try_to_timestamp(F.concat(text, F.lit(" " + zone)), F.lit(fmt + " VV"))
+    stamp = F.try_to_timestamp(F.concat(text, F.lit(" " + zone)), F.lit(fmt + " VV"))
+    return F.when(text.rlike(_shape(fmt)), stamp)
 
 
 def parse_timestamp(

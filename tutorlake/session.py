@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the engine is tuned for.  AQE picks join strategies from measured
 #: sizes, splits skewed shuffle partitions and merges small ones, so no plan in
@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Call-site capture costs several round trips to the JVM per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -47,3 +49,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a result to the shared folder and read it back.
+
+    For results with several readers: each would otherwise compute it again,
+    and a lost executor would send Spark back to the sources.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -47,15 +47,16 @@ class EventPipeline:
 
     def process(self, messages: DataFrame, batch: int) -> None:
         """Apply one micro-batch; safe to repeat."""
-        parsed = envelope.parse(messages)
+        # Both outputs come from one reading of the bodies.
+        parsed = envelope.parse(messages).withColumn("data", F.to_json("data")).persist()
         sinks.write_dead_letters(envelope.rejects(parsed), f"{self.root}/bronze/failed_events/batch={batch}", "overwrite")
-        events = dedup.first_seen(
-            envelope.accepted(parsed).withColumn("data", F.to_json("data")), ["event_id"], ["seq"])
+        events = dedup.first_seen(envelope.accepted(parsed), ["event_id"], ["seq"])
         earlier = self._earlier_ids(batch)
         if earlier is not None:
             events = events.join(earlier, "event_id", "left_anti")
         routed = events.withColumn("route", envelope.route(F.col("event_type")))
         routed.write.mode("overwrite").partitionBy("route").parquet(self._log_path(batch))
+        parsed.unpersist()
         self._route(batch, routed.schema)
 
     def _route(self, batch: int, schema: StructType) -> None:

@@ -56,5 +56,6 @@ class StateTable:
         return sorted(r[0] for r in rows.select(bucket_of(self.keys, self.buckets)).distinct().collect())
 
     def write(self, rows: DataFrame, version: int) -> None:
-        (rows.withColumn("bucket", bucket_of(self.keys, self.buckets))
+        # One file per bucket instead of one per task and bucket.
+        (rows.withColumn("bucket", bucket_of(self.keys, self.buckets)).repartition("bucket")
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/version={version}"))
