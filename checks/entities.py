@@ -13,7 +13,6 @@ from tutorlake import session
 from tutorlake.operators import dedup, envelope, upsert
 from tutorlake.operators.policies import TRANSACTIONS, TRANSACTIONS_BACKFILL, TRANSACTIONS_INSERT_ONLY
 from tutorlake.plans import backfill, quality, routing
-from tutorlake.sources import sinks
 from tutorlake.streaming.runner import EventPipeline, read_messages, replay
 
 KEYS = ["user_id", "bundle_id", "master_batch_id"]
@@ -353,7 +352,7 @@ SELECT route AS table_name, CASE WHEN route = 'users' THEN COUNT(DISTINCT u) WHE
 FROM judged WHERE problem IS NULL AND route NOT IN ('ping', 'none') GROUP BY route""", "logged", **_JUDGED))
 def _(spark, sf_dir):
     root = session.scratch_path(spark, "stream")
-    landed = messages(spark, sf_dir).select("seq", "received_at", "content_type", "body")
+    landed = session.stored(messages(spark, sf_dir).select("seq", "received_at", "content_type", "body"), "messages")
     highest = landed.filter("seq < 1000000000").agg(F.max("seq")).first()[0]
     pipeline = EventPipeline(spark, f"{root}/out", buckets=4)
     # Messages land in two waves in arrival order; the second time the stream resumes from its checkpoint.
@@ -361,8 +360,8 @@ def _(spark, sf_dir):
         wave = landed.filter(F.col("seq") > low)
         (wave if high is None else wave.filter(F.col("seq") <= high)).write.mode("append").json(f"{root}/landing")
         pipeline.start(read_messages(spark, f"{root}/landing"), f"{root}/checkpoint").awaitTermination()
-    sinks.overwrite(events(spark, sf_dir).withColumn("data", F.to_json("data")), f"{root}/events")
-    everything = spark.read.parquet(f"{root}/events").withColumn("data", F.parse_json("data"))
+    logged = dedup.first_seen(envelope.accepted(envelope.parse(landed)).withColumn("data", F.to_json("data")), ["event_id"], ["seq"])
+    everything = session.stored(logged, "events").withColumn("data", F.parse_json("data"))
     parts = []
     for name in _TABLES:
         streamed = pipeline.table(name).read()

@@ -170,12 +170,12 @@ LARGE = ("lineitem", "events")
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One given table.
 
-    A fact held in fewer files than there are cores is read by that many tasks;
-    it is spread over all cores first.  With as many files as cores nothing moves.
+    A fact whose file gives fewer splits than there are cores would keep the
+    others idle; it is spread over all cores first.  Larger data is read as it is.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if name in LARGE and len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if name in LARGE and df.rdd.getNumPartitions() < cores else df
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

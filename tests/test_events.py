@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tutorlake.operators import dedup, envelope
 from tutorlake.plans import routing
 from tutorlake.streaming.runner import EventPipeline, MESSAGE_SCHEMA, read_messages, replay
+from tutorlake.streaming.tables import children
 
 T0 = 1700000000
 
@@ -129,6 +130,17 @@ def test_repeated_micro_batch_changes_nothing(spark, tmp_path):
         assert sorted(map(repr, rebuilt.select(*sorted(rebuilt.columns)).collect())) == once[name]
 
 
+def test_old_versions_go_but_a_repeat_still_works(spark, tmp_path):
+    pipeline = EventPipeline(spark, str(tmp_path), buckets=1)
+    waves = [landed(spark, EVENTS).filter(F.col("seq") == n) for n in range(2, 6)]
+    for number, wave in enumerate(waves):
+        pipeline.process(wave, number)
+    assert sorted(children(spark, pipeline.table("sessions").path)) == ["version=2", "version=3"]
+    once = state_of(pipeline, "sessions")
+    pipeline.process(waves[-1], 3)
+    assert state_of(pipeline, "sessions") == once
+
+
 def test_stream_with_watermark_keeps_messages_without_id(spark, tmp_path):
     bodies = [EVENTS[0], EVENTS[0], "{broken", "{broken", {"event_name": "a.b"}]
     landed(spark, bodies).write.json(str(tmp_path / "in"))

@@ -30,25 +30,26 @@ def latest_row(df: DataFrame, group: str, order: Sequence[str]) -> DataFrame:
     return picked.select(group, "__row.*").select(*df.columns)
 
 
+#: Stands for an unknown day, which comes after all others.
+_LAST_DAY = "9999-12-31"
+
+
 def number_by_day(df: DataFrame, group: str, day: str, tie: str, number: str = "row_number") -> DataFrame:
-    """Row number inside ``group`` ordered by ``day``, then ``tie``.
+    """Row number inside ``group`` ordered by ``day``, then ``tie``; rows without a group get none.
 
     The number is the count of the group's rows on earlier days plus the rank
     within the day.  Day counts are pre-aggregated, and a group has at most one
-    of them per calendar day, so no task ever holds a whole group.
+    of them per calendar day, so no task ever holds a whole group.  The ranked
+    rows already lie by group and day, as the join with the counts needs them.
     """
-    per_day = df.groupBy(F.col(group).alias("__g"), F.col(day).alias("__d")).agg(F.count("*").alias("__n"))
-    earlier = Window.partitionBy("__g").orderBy(F.col("__d").asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1)
+    dated = df.withColumn("__day", F.coalesce(F.col(day).cast("date"), F.lit(_LAST_DAY).cast("date")))
+    per_day = dated.groupBy(F.col(group).alias("__g"), F.col("__day").alias("__d")).agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy("__g").orderBy("__d").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_day.select("__g", "__d", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
-    within = F.row_number().over(Window.partitionBy(group, day).orderBy(tie))
-    same_cell = F.col(group).eqNullSafe(F.col("__g")) & F.col(day).eqNullSafe(F.col("__d"))
-    return (
-        df.withColumn("__rank", within)
-        .join(offsets, same_cell, "left")
-        .select(*[c for c in df.columns if c != number],
-                (F.col("__before") + F.col("__rank")).cast("int").alias(number))
-    )
+    ranked = dated.withColumn("__rank", F.row_number().over(Window.partitionBy(group, "__day").orderBy(tie)))
+    same_cell = (F.col(group) == F.col("__g")) & (F.col("__day") == F.col("__d"))
+    return ranked.join(offsets, same_cell, "left").select(
+        *[c for c in df.columns if c != number], (F.col("__before") + F.col("__rank")).cast("int").alias(number))
 
 
 def flag(condition: Column) -> Column:

@@ -26,7 +26,9 @@ def _per_batch(classes: DataFrame) -> DataFrame:
     The last class is the one with the batch's highest number, whatever bundle
     it belongs to; among classes sharing that number the fullest counts.
     """
-    present = F.col("present_count")
+    number, present = F.col("class_number").cast("bigint"), F.col("present_count")
+    # Class number and attendance in one number: its maximum is found by hashing, that of a struct by sorting.
+    packed = F.shiftleft(number, 32) + F.coalesce(present + 1, F.lit(0))
     measures = classes.groupBy("batch_id", "bundle_id").agg(
         F.count("*").alias("classes"),
         F.sum("attendance_pct").alias("pct_sum"),
@@ -34,13 +36,13 @@ def _per_batch(classes: DataFrame) -> DataFrame:
         F.min("class_date").alias("first_class_date"),
         F.max("class_date").alias("last_class_date"),
         F.max("class_number").alias("total_class_count"),
-        F.max(F.when(F.col("class_number") == 1, present)).alias("first_present"),
-        F.max(F.struct("class_number", "present_count")).alias("last"),
+        F.max(F.when(number == 1, present)).alias("first_present"),
+        F.max(packed).alias("last"),
     )
     top = classes.groupBy("batch_id").agg(F.max("class_number").alias("top_number"))
+    last_present = F.nullif(F.col("last").bitwiseAND((1 << 32) - 1), F.lit(0)) - 1
     return measures.join(top, "batch_id", "left").withColumn(
-        "last_present",
-        F.when(F.col("last.class_number") == F.col("top_number"), F.col("last.present_count")),
+        "last_present", F.when(F.col("total_class_count") == F.col("top_number"), last_present.cast("int")),
     ).drop("last", "top_number")
 
 

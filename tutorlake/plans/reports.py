@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tutorlake.functions import labels
 from tutorlake.operators.predicates import STAFF_PATTERN, not_staff
 from tutorlake.plans.courses import as_date
+from tutorlake.session import stored
 
 VALUE = "decimal(24,6)"
 TOP = 5
@@ -131,7 +132,10 @@ def enrolment_breakdowns(transactions: DataFrame, staff_pattern: str = STAFF_PAT
 
     ``level`` says which of these a row belongs to.
     """
-    cube = _enrolment_cube(transactions, staff_pattern)
+    return _roll_out(_enrolment_cube(transactions, staff_pattern))
+
+
+def _roll_out(cube: DataFrame) -> DataFrame:
     sets = [[], ["source"], ["year"], ["bundle_id"], ["course_name"]]
     rolled = cube.groupingSets(sets, *_CUBE_KEYS).agg(
         F.grouping_id(*_CUBE_KEYS).alias("grouping"),
@@ -176,8 +180,8 @@ def top_courses_by_name(transactions: DataFrame, staff_pattern: str = STAFF_PATT
 
 
 def enrolment_sections(transactions: DataFrame, catalogue: DataFrame, staff_pattern: str = STAFF_PATTERN) -> DataFrame:
-    """Sections 4, 8 and 10 from the breakdowns."""
-    rolled = enrolment_breakdowns(transactions, staff_pattern)
+    """Sections 4, 8 and 10; the cube is written once, because two of their parts read it."""
+    rolled = _roll_out(stored(_enrolment_cube(transactions, staff_pattern), "enrolment-cube"))
     n, revenue = F.col("n"), F.col("revenue")
     level = F.col("level")
     metrics = F.array(

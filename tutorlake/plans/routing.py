@@ -165,6 +165,12 @@ def sound(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("problem").isNull()).drop("problem")
 
 
+def problems(rows: DataFrame, table: str) -> DataFrame:
+    """The open events among the rows of one table."""
+    return rows.filter(F.col("problem").isNotNull()).select(
+        "seq", "event_id", "event_type", F.lit(table).alias("route"), "problem")
+
+
 def with_problem(events: DataFrame) -> DataFrame:
     """Add ``route`` and ``problem`` in one pass over the events."""
     tables = list(FIELDS)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -63,23 +65,32 @@ class EventPipeline:
         # The log is partitioned by route, so each table reads only its own events.
         path = self._log_path(batch)
         logged = self.spark.read.schema(schema).parquet(path).withColumn("data", F.parse_json("data"))
-        routing.retry_queue(logged.drop("route")).write.mode("overwrite").json(f"{self.root}/retry/batch={batch}")
         present = {n.split("=")[1] for n in children(self.spark, path) if n.startswith("route=")}
-        for name, rule in ROUTED_TABLES.items():
-            if name not in present:
-                continue
-            table = self.table(name)
-            rows = routing.sound(routing.entity_rows(logged.filter(F.col("route") == name), name)).persist()
-            buckets = table.touched(rows)
-            target = table.read(before=batch, buckets=buckets)
-            if target is None:
-                state = upsert.fold(rows, rule.keys, ["seq"], rule.policies)
-            else:
-                state = upsert.apply(target, rows, rule.keys, ["seq"], rule.policies)
-            if buckets:
-                table.write(state, batch)
+        typed = {
+            name: routing.entity_rows(logged.filter(F.col("route") == name), name).persist()
+            for name in ROUTED_TABLES if name in present}
+        for name, rows in typed.items():
+            self._update(name, routing.sound(rows), batch)
+        open_events = [routing.problems(rows, name) for name, rows in typed.items()]
+        if open_events:
+            reduce(DataFrame.unionByName, open_events).write.mode("overwrite").json(f"{self.root}/retry/batch={batch}")
+        for rows in typed.values():
             rows.unpersist()
 
+    def _update(self, name: str, rows: DataFrame, batch: int) -> None:
+        rule, table = ROUTED_TABLES[name], self.table(name)
+        buckets = table.touched(rows)
+        if not buckets:
+            return
+        target = table.read(before=batch, buckets=buckets)
+        if target is None:
+            state = upsert.fold(rows, rule.keys, ["seq"], rule.policies)
+        else:
+            state = upsert.apply(target, rows, rule.keys, ["seq"], rule.policies)
+        table.write(state, batch)
+        # A repeat of this micro-batch still finds the state before it.
+        table.expire(batch)
+
     def start(self, messages: DataFrame, checkpoint: str, available_now: bool = True) -> StreamingQuery:
         """Run over a stream of messages.
 

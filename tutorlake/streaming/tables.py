@@ -59,3 +59,15 @@ class StateTable:
         # One file per bucket instead of one per task and bucket.
         (rows.withColumn("bucket", bucket_of(self.keys, self.buckets)).repartition("bucket")
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/version={version}"))
+
+    def expire(self, before: int) -> None:
+        """Remove versions below ``before`` that hold no bucket's state of that time.
+
+        What remains is at most one version per bucket, however long the stream runs.
+        """
+        kept = set(self._current(before).values())
+        jvm = self.spark.sparkContext._jvm
+        for name in children(self.spark, self.path):
+            if name.startswith("version=") and int(name.split("=")[1]) < before and int(name.split("=")[1]) not in kept:
+                folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+                folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
