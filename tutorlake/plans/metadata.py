@@ -89,8 +89,8 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.round(exact / F.nullif(whole.cast("decimal(12,2)"), F.lit(0).cast("decimal(12,2)")), 2).cast("decimal(18,2)")
 
 
-def course_metadata(merged: DataFrame, raw_tracker: DataFrame) -> DataFrame:
-    """Merge table left-joined with the tracker on course and batch name, plus guarded ratios."""
+def course_metadata(merged: DataFrame, raw_tracker: DataFrame, created_at: Column | None = None) -> DataFrame:
+    """Merge table left-joined with the tracker on course and batch name, plus guarded ratios and the load time."""
     traits = merged.select(
         *[c for c in _MERGE_COLUMNS if c not in ("num_students", "tutors", "tutor_ids")],
         F.col("bundle_name"), F.col("batch_name"),
@@ -104,4 +104,5 @@ def course_metadata(merged: DataFrame, raw_tracker: DataFrame) -> DataFrame:
         *[c for c in _MERGE_COLUMNS if c != "bundle_id"],
         *TRACKER_TEXTS, *TRACKER_DATES, *TRACKER_COUNTS, *TRACKER_NUMBERS,
         *[ratio(F.col(part), F.col(whole)).alias(name) for name, (part, whole) in RATIOS.items()],
+        (F.current_timestamp() if created_at is None else created_at).alias("created_at"),
     )

@@ -18,6 +18,10 @@ from tutorlake.streaming.tables import StateTable, children
 MESSAGE_SCHEMA = "seq bigint, received_at timestamp, content_type string, body string"
 
 
+#: Up to this many event ids (some tens of megabytes) are broadcast.
+MAX_BROADCAST_IDS = 500_000
+
+
 def read_messages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(MESSAGE_SCHEMA)
     if files_per_batch:
@@ -52,15 +56,30 @@ class EventPipeline:
         # Both outputs come from one reading of the bodies.
         parsed = envelope.parse(messages).withColumn("data", F.to_json("data")).persist()
         sinks.write_dead_letters(envelope.rejects(parsed), f"{self.root}/bronze/failed_events/batch={batch}", "overwrite")
-        events = dedup.first_seen(envelope.accepted(parsed), ["event_id"], ["seq"])
-        earlier = self._earlier_ids(batch)
-        if earlier is not None:
-            events = events.join(earlier, "event_id", "left_anti")
-        routed = events.withColumn("route", envelope.route(F.col("event_type")))
+        events = dedup.first_seen(envelope.accepted(parsed), ["event_id"], ["seq"]).persist()
+        fresh = self._without_known(events, self._earlier_ids(batch))
+        routed = fresh.withColumn("route", envelope.route(F.col("event_type")))
         routed.write.mode("overwrite").partitionBy("route").parquet(self._log_path(batch))
+        events.unpersist()
         parsed.unpersist()
         self._route(batch, routed.schema)
 
+    @staticmethod
+    def _without_known(events: DataFrame, earlier: DataFrame | None) -> DataFrame:
+        """Events whose id the log lacks.
+
+        The log's ids are reduced to those of this micro-batch first.  A batch of
+        counted, moderate size is broadcast for that, so the log is read but not
+        shuffled; a larger one is joined by shuffling both.
+        """
+        if earlier is None:
+            return events
+        ids = events.select("event_id")
+        if events.count() <= MAX_BROADCAST_IDS:
+            ids = F.broadcast(ids)
+        known = earlier.join(ids, "event_id", "left_semi")
+        return events.join(known, "event_id", "left_anti")
+
     def _route(self, batch: int, schema: StructType) -> None:
         # The log is partitioned by route, so each table reads only its own events.
         path = self._log_path(batch)
