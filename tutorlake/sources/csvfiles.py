@@ -12,8 +12,8 @@ from tutorlake.functions.clean import blank_to_null
 from tutorlake.functions.headers import sanitize_header
 from tutorlake.operators import dedup
 
-#: Unsplit files have one entry each in the offset table; up to this many it is small enough to broadcast.
-MAX_BROADCAST_FILES = 10_000
+#: The offset table has one short entry per file split; up to this many (some tens of megabytes) it is broadcast.
+MAX_BROADCAST_SPLITS = 300_000
 
 # Header names of the student export and their columns.
 STUDENT_COLUMNS = {
@@ -77,10 +77,23 @@ def _records(spark: SparkSession, path: str, skip_lines: int, multi_line: bool)
         for position, name in enumerate(header):
             is_header = is_header & F.col(f"c{position}").eqNullSafe(F.lit(name or None))
         numbered = numbered.filter(~is_header)
-    return header, _with_source_row(numbered, len(raw.inputFiles()) if multi_line else None)
+    return header, _with_source_row(numbered, _most_splits(raw, multi_line))
 
 
-def _with_source_row(records: DataFrame, files: int | None) -> DataFrame:
+def _most_splits(raw: DataFrame, multi_line: bool) -> int:
+    """Upper bound of the number of splits the files are read in, from their count and size."""
+    files = len(raw.inputFiles())
+    if multi_line:
+        return files
+    session = raw.sparkSession
+    conf = session._jsparkSession.sessionState().conf()
+    size = int(raw._jdf.queryExecution().analyzed().stats().sizeInBytes())
+    per_core = size // session.sparkContext.defaultParallelism
+    split = max(min(conf.filesMaxPartitionBytes(), max(conf.filesOpenCostInBytes(), per_core)), 1)
+    return files + size // split + 1
+
+
+def _with_source_row(records: DataFrame, splits_at_most: int) -> DataFrame:
     """0-based record number in file order, without sorting or gathering the records.
 
     ``monotonically_increasing_id`` counts records in reading order inside a
@@ -91,7 +104,7 @@ def _with_source_row(records: DataFrame, files: int | None) -> DataFrame:
     before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(
         "__file", "__block", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    if files is not None and files <= MAX_BROADCAST_FILES:
+    if splits_at_most <= MAX_BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
     number = F.col("__id") - F.col("__first") + F.col("__offset")
     return ordered.join(offsets, ["__file", "__block"]).withColumn("source_row", number).drop(
