@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tutorlake.llm import mixing, quality, sharding, similar, templates
+from tutorlake.llm import mixing, pii, quality, secrets, sharding, similar, templates
 from tutorlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,13 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_sharding")
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded_documents(table(spark, sf_dir, "documents"))
+
+
+@_query("op3_secret_scan")
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
+@_query("op10_personal_data")
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
