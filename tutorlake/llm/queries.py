@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tutorlake.llm import mixing, pii, quality, secrets, sharding, similar, templates
+from tutorlake.llm import mixing, pii, quality, secrets, sharding, similar, templates, topk
 from tutorlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +56,8 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_personal_data")
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+@_query("op7_topk_search")
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
