@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tutorlake.llm import mixing, pii, quality, secrets, sharding, similar, templates, topk
+from tutorlake.llm import debruijn, mixing, oracles, pii, quality, secrets, sharding, similar, templates, topk
 from tutorlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,7 +23,7 @@ def _query(name: str, sql: str | None = None):
     return register
 
 
-@_query("op1_ngram_jaccard_join")
+@_query("op1_ngram_jaccard_join", oracles.OP1)
 def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar.similarity_classes(table(spark, sf_dir, "documents"))
 
@@ -58,6 +58,11 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
-@_query("op7_topk_search")
+@_query("op7_topk_search", oracles.OP7)
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@_query("op5_substring_dedup", oracles.OP5)
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.without_repeats(table(spark, sf_dir, "documents"))
