@@ -54,16 +54,18 @@ def answers(docs: DataFrame, announce: Announce, answer: Answer, buckets: int) -
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, rows in chunks(batches):
-            yield from _rows_of(chunk, *announce(rows), buckets)
+            yield from rows_of(chunk, *announce(rows), buckets)
 
     return answered(docs.mapInArrow(send, SENT), answer)
 
 
 SENT = "chunk long, bucket int, hashes binary, numbers binary, extra binary"
+SENT_KINDS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("numbers", pa.binary()),
+                        ("extra", pa.binary())])
 ANSWERED = "chunk long, bucket int, flags binary"
 
 
-def _rows_of(chunk: int, hashes: np.ndarray, numbers: np.ndarray | None, extra: np.ndarray | None,
+def rows_of(chunk: int, hashes: np.ndarray, numbers: np.ndarray | None, extra: np.ndarray | None,
              buckets: int) -> Iterator[pa.RecordBatch]:
     at = cuts(hashes, buckets)
     packed = pack_plain(extra) if extra is not None else None

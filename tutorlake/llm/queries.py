@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tutorlake.llm import debruijn, mixing, oracles, pii, quality, secrets, sharding, similar, templates, topk
+from tutorlake.llm import debruijn, mixing, oracles, pii, quality, secrets, sharding, similar, suffixes, templates, topk
 from tutorlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,8 @@ def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op5_substring_dedup", oracles.OP5)
 def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.without_repeats(table(spark, sf_dir, "documents"))
+
+
+@_query("op6_suffix_array_dedup")
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeated_bytes(table(spark, sf_dir, "documents"))
