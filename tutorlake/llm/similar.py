@@ -5,10 +5,13 @@ the first ``n - ceil(t * n) + 1`` tokens of both have one in common.  All orders
 exact document frequency, from the packed exchange) and differ inside a class.  Tokens that only one chunk of documents
 knows cannot be shared and are never shipped, so most documents send nothing.
 
-Within a token, documents are first compared with one leader only, so that a group of many copies costs a line and not
-a square.  Found links are joined to components; then every pair of one token whose components still differ is a
-candidate, so no link between components is lost.  Candidates of the first order pass the prefix filters of the
-other orders before their full sets are compared.
+A posting carries how many tokens of its document come from there on: if a token is the first that two documents
+share, their intersection is no larger, so pairs that cannot reach the threshold are not formed.
+
+Within a token, documents are first compared with one leader only, the one with the fewest tokens of its own, so that
+a group of many copies costs a line and not a square.  Found links are joined to components; then every pair of one
+token whose components still differ is a candidate, so no link between components is lost.  Candidates of the first
+order pass the prefix filters of the other orders before their full sets are compared.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tutorlake.llm import exchange
@@ -69,18 +72,20 @@ def _frequency_class(tokens: np.ndarray, owner: np.ndarray, counts: np.ndarray,
     return np.where(total <= 1, 0, np.floor(np.log2(np.maximum(total, 1))) + 1)
 
 
-def _prefixes(tokens: np.ndarray, classes: np.ndarray, percent: int) -> list[np.ndarray]:
-    """The shared tokens of each order's prefix."""
+def _prefixes(tokens: np.ndarray, classes: np.ndarray, percent: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The shared tokens of each order's prefix, and how many tokens there are from each of the first order's on."""
     size = prefix_length(len(tokens), percent)
     out = []
     for salt in ORDERS:
         scrambled = mix(tokens, salt)
         first = np.lexsort((scrambled, classes))[:size]
         out.append(tokens[first][classes[first] > 0])
-    return out
+    # Tokens of one document alone come before all others.
+    alone = size - len(out[0])
+    return out, len(tokens) - np.arange(alone, size)
 
 
-_PREPARED = "doc_id long, n long, cid long, posts array<long>, marks binary, packed binary"
+_PREPARED = ("doc_id long, n long, cid long, posts array<long>, rests array<long>, own long, marks binary, packed binary")
 _MARK = np.dtype("<u4")
 
 
@@ -90,21 +95,21 @@ def _prepare(width: int, percent: int):
         known = np.unique(np.concatenate([_counted(s) for s in held])) if held else np.empty(0, np.uint64)
         squeeze, seen, out = zstandard.ZstdCompressor(level=3), set(), []
         for (doc_id, text), tokens in zip(rows, held):
-            posts = marks = packed = None
+            posts = rests = own = marks = packed = None
             cid = np.frombuffer(xxhash.xxh3_128_digest(tokens.tobytes())[:8], "<i8")[0].item()
             if len(tokens) and cid not in seen:
                 seen.add(cid)
                 classes = flags[np.searchsorted(known, _counted(tokens))]
-                first, *others = _prefixes(tokens, classes, percent)
+                (first, *others), left = _prefixes(tokens, classes, percent)
                 # A prefix without a shared token in any order rules out every partner.
                 if len(first) and all(map(len, others)):
-                    posts = first.view(np.int64).tolist()
+                    posts, rests, own = first.view(np.int64).tolist(), left.tolist(), int(np.count_nonzero(classes == 0))
                     short = [np.unique(p.astype(_MARK)) for p in others]
                     marks = np.array(list(map(len, short)), "<u4").tobytes() + b"".join(s.tobytes() for s in short)
                     packed = squeeze.compress((text or "").encode("utf-8", "surrogatepass"))
-            out.append((doc_id, len(tokens), cid, posts, marks, packed))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary())
-        names = ("doc_id", "n", "cid", "posts", "marks", "packed")
+            out.append((doc_id, len(tokens), cid, posts, rests, own, marks, packed))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.binary())
+        names = ("doc_id", "n", "cid", "posts", "rests", "own", "marks", "packed")
         return pa.table({k: pa.array(c, t) for k, t, c in zip(names, kinds, zip(*out))})
     return build
 
@@ -166,11 +171,19 @@ def _linked(pairs: DataFrame, sets: DataFrame, width: int, percent: int, label:
             .select("a", "b", "packed_a", "packed_b").mapInArrow(_verify(width, percent), "a long, b long"))
 
 
-def _pairs(left: DataFrame, percent: int) -> DataFrame:
-    """Distinct ordered pairs of rows with ``x``, ``nx``, ``y``, ``ny`` whose sizes allow the similarity."""
-    fits = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
-    return left.filter((F.col("x") != F.col("y")) & fits).select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def _fits(percent: int) -> Column:
+    """Whether sizes and what is left of both documents from the shared token on allow the similarity."""
+    sizes = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
+    return sizes & ((100 + percent) * F.least("rx", "ry") >= percent * (F.col("nx") + F.col("ny")))
+
+
+def _side(posts: DataFrame, end: str, *more: Column) -> DataFrame:
+    return posts.select("token", F.col("cid").alias(end), F.col("n").alias(f"n{end}"), F.col("rest").alias(f"r{end}"), *more)
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    """Distinct pairs of the rows' ``x`` and ``y``, the smaller first."""
+    return rows.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def similarity_classes(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT,
@@ -187,30 +200,30 @@ def similarity_classes(documents: DataFrame, width: int = WIDTH, percent: int =
     flags = exchange.answers(docs, _announce(width), _frequency_class, exchange.range_count(docs))
     prepared = stored(exchange.with_answers(docs, flags, _prepare(width, percent), _PREPARED), "similar-sets")
     sets = prepared.filter("posts IS NOT NULL").select("cid", "marks", "packed")
-    posts = stored(prepared.filter("posts IS NOT NULL").select(F.explode("posts").alias("token"), "cid", "n").distinct(),
+    posts = prepared.filter("posts IS NOT NULL").select("cid", "n", "own", F.explode(F.arrays_zip("posts", "rests")).alias("p"))
+    posts = stored(posts.select(F.col("p.posts").alias("token"), "cid", "n", "own", F.col("p.rests").alias("rest")).distinct(),
                    "similar-posts")
 
     # Comparison with one leader per token.
-    lead = posts.groupBy("token").agg(F.min(F.struct("n", "cid")).alias("low"), F.max(F.struct("n", "cid")).alias("high"))
-    lead = stored(lead.filter("low.cid <> high.cid").select("token", F.col("low.cid").alias("y"), F.col("low.n").alias("ny")),
-                  "similar-lead")
+    lead = posts.groupBy("token").agg(F.min(F.struct("own", "cid", "n", "rest")).alias("low"), F.count(F.lit(1)).alias("held"))
+    lead = stored(lead.filter("held > 1").select("token", F.col("low.cid").alias("y"), F.col("low.n").alias("ny"),
+                                                 F.col("low.rest").alias("ry")), "similar-lead")
     shared = stored(posts.join(lead, "token"), "similar-shared")
-    tried = stored(_pairs(shared.select(F.col("cid").alias("x"), F.col("n").alias("nx"), "y", "ny"), percent),
-                   "similar-tried")
+    tried = _side(shared, "x", F.col("y"), F.col("ny"), F.col("ry")).filter((F.col("x") != F.col("y")) & _fits(percent))
+    tried = stored(_pairs(tried), "similar-tried")
     links = stored(_linked(tried, sets, width, percent, "similar-1"), "similar-links")
     labels = components(links, "similar-first")
 
     # Pairs of one token whose components still differ.
-    named = stored(shared.select("token", "cid", "n").join(labels.withColumnRenamed("id", "cid"), "cid", "left")
+    named = stored(shared.select("token", "cid", "n", "rest").join(labels.withColumnRenamed("id", "cid"), "cid", "left")
                    .withColumn("component", F.coalesce("component", "cid")), "similar-named")
     mixed = stored(named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                    .filter("lo <> hi").select("token"), "similar-mixed")
     open_posts = stored(named.join(mixed, "token"), "similar-open")
-    left = open_posts.select("token", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    right = open_posts.select("token", F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-    fits = (F.col("cx") < F.col("cy")) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-    rest = left.join(right, (left["token"] == right["token"]) & fits)
-    rest = stored(_pairs(rest.select("x", "nx", "y", "ny"), percent).join(tried, ["a", "b"], "left_anti"), "similar-rest")
+    left = _side(open_posts, "x", F.col("component").alias("cx"))
+    right = _side(open_posts, "y", F.col("component").alias("cy"))
+    rest = left.join(right, (left["token"] == right["token"]) & (F.col("cx") < F.col("cy")) & _fits(percent))
+    rest = stored(_pairs(rest).join(tried, ["a", "b"], "left_anti"), "similar-rest")
     more = stored(_linked(rest, sets, width, percent, "similar-2"), "similar-more")
     labels = components(links.union(more), "similar-last")
 
