@@ -11,28 +11,33 @@ from tutorlake.plans import courses, gold, metadata
 
 _STAFF = "'%@staff%'"
 
+#: Enrolments that count: one row per course and user.
+_ENROLLED = f"""SELECT bundle_id, user_id, bool_or(source = 'webhook') AS live, bool_or(source = 'csv.import') AS imported,
+ min(start_date) AS opened, max(start_date) AS newest
+FROM fx_transactions WHERE user_id IS NOT NULL AND email IS NOT NULL AND NOT email LIKE {_STAFF} GROUP BY bundle_id, user_id"""
+
 COURSE_VIEW = f"""
-SELECT c.bundle_id, c.course_name, c.course_type, c.status, c.subject, c.term_of_course, c.position_in_funnel,
- c.adhyayanam_category, c.sss_category, c.viniyoga, c.division, l.type_of_launch, l.first_class_date, l.last_class_date,
- l.enrollments_on_fc AS enrollments_on_first_class, l.enrollments_on_lc AS enrollments_on_last_class,
- l.avg_attendance AS average_attendance, l.total_certified AS total_students_certified, l.overall_rating,
- COUNT(DISTINCT t.user_id) AS total_enrollments_count,
- COUNT(DISTINCT CASE WHEN t.source = 'webhook' THEN t.user_id END) AS live_enrollments_count,
- COUNT(DISTINCT CASE WHEN t.source = 'csv.import' THEN t.user_id END) AS historical_enrollments_count
-FROM fx_catalogue c LEFT JOIN fx_lifecycle l ON c.bundle_id = l.course_id
-LEFT JOIN fx_transactions t ON c.bundle_id = t.bundle_id AND t.email NOT LIKE {_STAFF}
-GROUP BY ALL"""
+WITH enrolled AS ({_ENROLLED}),
+heads AS (SELECT bundle_id, count(*) AS everyone, count(*) FILTER (WHERE coalesce(live, FALSE)) AS live,
+ count(*) FILTER (WHERE coalesce(imported, FALSE)) AS imported FROM enrolled GROUP BY bundle_id),
+stages AS (SELECT course_id AS bundle_id, type_of_launch, first_class_date, last_class_date,
+ enrollments_on_fc AS enrollments_on_first_class, enrollments_on_lc AS enrollments_on_last_class,
+ avg_attendance AS average_attendance, total_certified AS total_students_certified, overall_rating FROM fx_lifecycle),
+described AS (SELECT DISTINCT bundle_id, course_name, course_type, status, subject, term_of_course, position_in_funnel,
+ adhyayanam_category, sss_category, viniyoga, division, stages.* EXCLUDE (bundle_id)
+ FROM fx_catalogue LEFT JOIN stages USING (bundle_id))
+SELECT described.*, coalesce(everyone, 0) AS total_enrollments_count, coalesce(live, 0) AS live_enrollments_count,
+ coalesce(imported, 0) AS historical_enrollments_count
+FROM described LEFT JOIN heads USING (bundle_id)"""
 
 LEARNER_VIEW = f"""
-SELECT t.bundle_id, c.course_name, c.course_type, c.position_in_funnel,
- COUNT(DISTINCT t.user_id) AS total_learners_count,
- COUNT(DISTINCT CASE WHEN t.start_date = f.first_ever THEN t.user_id END) AS new_learners_count,
- COUNT(DISTINCT CASE WHEN t.start_date > f.first_ever THEN t.user_id END) AS returning_learners_count
-FROM fx_transactions t
-JOIN (SELECT user_id, MIN(start_date) AS first_ever FROM fx_transactions WHERE email NOT LIKE {_STAFF} GROUP BY user_id) f
- ON t.user_id = f.user_id
-LEFT JOIN fx_catalogue c ON t.bundle_id = c.bundle_id
-WHERE t.email NOT LIKE {_STAFF} GROUP BY ALL"""
+WITH enrolled AS ({_ENROLLED}),
+debut AS (SELECT user_id, min(opened) AS day FROM enrolled GROUP BY user_id),
+heads AS (SELECT bundle_id, count(*) AS everyone, count(*) FILTER (WHERE opened = day) AS fresh, count(*) FILTER (WHERE newest > day) AS back
+ FROM enrolled JOIN debut USING (user_id) GROUP BY bundle_id)
+SELECT heads.bundle_id, course_name, course_type, position_in_funnel, everyone AS total_learners_count,
+ fresh AS new_learners_count, back AS returning_learners_count
+FROM heads LEFT JOIN fx_catalogue ON fx_catalogue.bundle_id = heads.bundle_id"""
 
 _COURSE_NEEDS = ("catalogue", "lifecycle", "transactions")
 
@@ -118,20 +123,24 @@ _TRAITS = ("course_division type subject level language sss_category adhyayanam_
            "term_of_course texts certificate course_sponsor number_of_lectures duration").split()
 
 MERGE = f"""
-SELECT b.bundle_id, b.bundle_name, b.batch_id, b.batch_name,
- CASE WHEN b.place = 1 THEN c.status ELSE 'Completed' END AS final_status, c.status AS catalogue_status,
- CAST(b.place = 1 AS INT) AS is_latest_batch,
- CASE WHEN b.place = 1 AND c.status IN ('Completed', 'Ongoing', 'Upcoming') THEN 1 ELSE 0 END AS include_in_course_count,
- '' AS status_adjustment_reason, c.status, b.batch_status, 1 AS has_batch, b.start_date, b.end_date,
- b.admitted_students AS batch_enrollment_count, c.num_students AS bundle_enrollment_count, b.tutor_name, b.tutor_id,
+WITH usable AS (SELECT * FROM fx_batches WHERE strpos(batch_name, 'Test batch') = 0),
+newest AS (SELECT bundle_id, arg_max(batch_id, (coalesce(start_date, DATE '0001-01-01'), batch_id)) AS batch_id
+ FROM usable GROUP BY bundle_id),
+lonely AS (SELECT bundle_id FROM fx_catalogue EXCEPT SELECT bundle_id FROM usable),
+lines AS (
+ SELECT bundle_id, bundle_name, batch_id, batch_name, batch_status, 1 AS has_batch, start_date, end_date, admitted_students,
+  tutor_name, tutor_id, (bundle_id, batch_id) IN (SELECT (bundle_id, batch_id) FROM newest) AS top FROM usable
+ UNION ALL BY NAME
+ SELECT bundle_id, course_name AS bundle_name, 0 AS has_batch, 0 AS admitted_students
+ FROM fx_catalogue WHERE bundle_id IN (FROM lonely))
+SELECT l.bundle_id, l.bundle_name, l.batch_id, l.batch_name,
+ if(coalesce(l.top, TRUE), c.status, 'Completed') AS final_status, c.status AS catalogue_status,
+ CAST(coalesce(l.top, TRUE) AS INT) AS is_latest_batch,
+ CAST(coalesce(l.top AND list_contains(['Completed', 'Ongoing', 'Upcoming'], c.status), FALSE) AS INT) AS include_in_course_count,
+ '' AS status_adjustment_reason, c.status, l.batch_status, l.has_batch, l.start_date, l.end_date,
+ l.admitted_students AS batch_enrollment_count, c.num_students AS bundle_enrollment_count, l.tutor_name, l.tutor_id,
  {', '.join('c.' + t for t in _TRAITS)}, '' AS computer_based_assessment, c.course_ids
-FROM (SELECT *, row_number() OVER (PARTITION BY bundle_id ORDER BY start_date DESC NULLS LAST, batch_id DESC) AS place
-      FROM fx_batches WHERE batch_name NOT LIKE '%Test batch%') b LEFT JOIN fx_catalogue c ON b.bundle_id = c.bundle_id
-UNION ALL
-SELECT c.bundle_id, c.course_name, NULL, NULL, c.status, c.status, 1, 0, '', c.status, NULL, 0, NULL, NULL, 0, c.num_students,
- NULL, NULL, {', '.join('c.' + t for t in _TRAITS)}, '', c.course_ids
-FROM fx_catalogue c WHERE NOT EXISTS (
- SELECT 1 FROM fx_batches b WHERE b.bundle_id = c.bundle_id AND b.batch_name NOT LIKE '%Test batch%')"""
+FROM lines l LEFT JOIN fx_catalogue c ON c.bundle_id = l.bundle_id"""
 
 
 @query("course_batch_merge", oracle(MERGE, "batches", "catalogue"))
@@ -144,17 +153,19 @@ _MASTER_TRAITS = ("course_name subject course_type term_of_course position_in_fu
 
 
 @query("course_master", oracle(f"""
-SELECT b.bundle_id, b.bundle_name, b.batch_id, b.batch_name, b.batch_status, b.start_date, b.end_date, b.tutor_name,
- b.admitted_students, {', '.join('c.' + t for t in _MASTER_TRAITS)}, c.status AS catalogue_status, c.status AS final_status,
- CASE WHEN b.place = 1 THEN 1 ELSE 0 END AS is_latest_batch,
- CASE WHEN c.course_division = 'Course' AND c.status IN ('Completed', 'Ongoing', 'Upcoming') THEN 1 ELSE 0 END
-  AS include_in_course_count, '' AS status_adjustment_reason, 1 AS has_batch
-FROM (SELECT *, row_number() OVER (PARTITION BY bundle_id ORDER BY end_date DESC NULLS LAST, batch_id DESC) AS place
-      FROM fx_batches) b LEFT JOIN fx_catalogue c ON b.bundle_id = c.bundle_id
-UNION ALL
-SELECT c.bundle_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, {', '.join('c.' + t for t in _MASTER_TRAITS)},
- c.status, c.status, 0, 0, '', 0
-FROM fx_catalogue c WHERE NOT EXISTS (SELECT 1 FROM fx_batches b WHERE b.bundle_id = c.bundle_id)""", "batches", "catalogue"))
+WITH newest AS (SELECT bundle_id, arg_max(batch_id, (coalesce(end_date, DATE '0001-01-01'), batch_id)) AS batch_id
+ FROM fx_batches GROUP BY bundle_id),
+lines AS (
+ SELECT bundle_id, bundle_name, batch_id, batch_name, batch_status, start_date, end_date, tutor_name, admitted_students,
+  (bundle_id, batch_id) IN (SELECT (bundle_id, batch_id) FROM newest) AS top, 1 AS has_batch FROM fx_batches
+ UNION ALL BY NAME
+ SELECT bundle_id, FALSE AS top, 0 AS has_batch FROM (SELECT bundle_id FROM fx_catalogue EXCEPT SELECT bundle_id FROM fx_batches) lonely)
+SELECT l.* EXCLUDE (top, has_batch), {', '.join('c.' + t for t in _MASTER_TRAITS)}, c.status AS catalogue_status,
+ c.status AS final_status, CAST(l.top AS INT) AS is_latest_batch,
+ CAST(coalesce(l.has_batch = 1 AND c.course_division = 'Course'
+  AND list_contains(['Completed', 'Ongoing', 'Upcoming'], c.status), FALSE) AS INT) AS include_in_course_count,
+ '' AS status_adjustment_reason, l.has_batch
+FROM lines l LEFT JOIN fx_catalogue c ON c.bundle_id = l.bundle_id""", "batches", "catalogue"))
 def _(spark, sf_dir):
     return courses.master(fixture(spark, sf_dir, "batches"), fixture(spark, sf_dir, "catalogue"))
 

@@ -108,7 +108,8 @@ def _(spark, sf_dir):
 #: Student export: e-mails in mixed case, dates as local text.
 _STUDENTS = """
 SELECT user_id AS source_row, full_name AS name,
- CASE WHEN user_id % 2 = 0 THEN upper(email) ELSE ' ' || email END AS email, 'login' || CAST(user_id AS STRING) AS username,
+ CASE WHEN user_id % 8 = 3 THEN 'stranger' || CAST(user_id AS STRING) || '@mail.example' WHEN user_id % 2 = 0 THEN upper(email)
+  ELSE ' ' || email END AS email, 'login' || CAST(user_id AS STRING) AS username,
  'City ' || CAST(user_id % 9 AS STRING) AS city, state, CASE WHEN user_id % 4 = 0 THEN NULL ELSE 'Road' END AS address,
  CASE WHEN user_id % 6 = 0 THEN 'unknown' ELSE CAST(1 + user_id % 12 AS STRING) || '/' || CAST(1 + user_id % 28 AS STRING)
   || '/2021 ' || CAST(user_id % 24 AS STRING) || ':05' END AS date_created

@@ -163,19 +163,9 @@ def _duckdb_sql(text: str) -> str:
     return _EPOCH.sub(r"date_diff('second', TIMESTAMP '1970-01-01 00:00:00', date_trunc('second', \1))", text)
 
 
-#: Facts: the tables whose rows are worth spreading.
-LARGE = ("lineitem", "events")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One given table.
-
-    A fact whose file gives fewer splits than there are cores would keep the
-    others idle; it is spread over all cores first.  Larger data is read as it is.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if name in LARGE and df.rdd.getNumPartitions() < cores else df
+    """One given table, read as it is."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -197,4 +187,6 @@ def oracle(body: str, *names: str, **ctes: str) -> str:
             parts[f"fx_{needed}" if needed not in ("said", "messages", "heard", "logged") else needed] = text
     parts.update(ctes)
     with_part = ",\n".join(f"{name} AS ({text})" for name, text in parts.items())
+    if body.lstrip().startswith("WITH "):
+        body = f"SELECT * FROM ({body}) nested"
     return f"WITH {with_part}\n{body}" if parts else body

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from checks import attendance, courses, entities, reports, sources, text  # noqa: F401
+from checks import attendance, courses, entities, faults, reports, sources, text  # noqa: F401
 from checks.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

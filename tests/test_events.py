@@ -157,3 +157,19 @@ def test_replay(spark, tmp_path):
     recovered, remaining = replay(spark, str(tmp_path / "f"), known)
     assert ([r.event_id for r in recovered.collect()], remaining.count()) == (["transaction-2"], 1)
     assert "seq" in MESSAGE_SCHEMA
+
+
+def test_another_number_of_buckets_is_refused(spark, tmp_path):
+    EventPipeline(spark, str(tmp_path), buckets=2).process(landed(spark, EVENTS), 0)
+    with pytest.raises(ValueError):
+        EventPipeline(spark, str(tmp_path), buckets=3).table("sessions")
+
+
+def test_event_tables_are_added_to_and_never_rewritten(spark, tmp_path):
+    pipeline = EventPipeline(spark, str(tmp_path), buckets=2)
+    for number, (low, high) in enumerate(((0, 10), (10, 100))):
+        pipeline.process(landed(spark, EVENTS).filter((F.col("seq") >= low) & (F.col("seq") < high)), number)
+    path = pipeline.table("certificates").path
+    sizes = [sum(f.stat().st_size for f in tmp_path.joinpath("silver/certificates").joinpath(n).glob("*.parquet"))
+             for n in children(spark, path)]
+    assert pipeline.table("certificates").read().count() == 1 and len(sizes) >= 1

@@ -90,3 +90,12 @@ def test_coalescing_rule_keeps_last_known_values(spark):
 def test_policies_and_nulls(spark, policy, expected):
     rows = spark.createDataFrame([(1, 1, None), (1, 2, "q"), (1, 3, None)], "k int, seq int, v string")
     assert upsert.fold(rows, ["k"], ["seq"], {"v": policy}).first().v == expected
+
+
+def test_other_columns_of_the_target_stay(spark):
+    target = spark.createDataFrame([(1, "a", "kept", 5), (2, "b", "also", 6), (None, "n", "null key", 7)], "k int, v string, extra string, n int")
+    changes = spark.createDataFrame([(1, "x", 1.5, 1), (3, "y", 2.5, 2), (None, "z", 3.5, 3)], "k int, v string, cost double, seq int")
+    state = upsert.apply(target, changes, ["k"], ["seq"], {"v": upsert.LAST, "cost": upsert.FIRST})
+    assert sorted(map(tuple, state.select("k", "v", "cost", "extra", "n").collect()), key=repr) == sorted([
+        (1, "x", None, "kept", 5), (2, "b", None, "also", 6), (3, "y", 2.5, None, None), (None, "n", None, "null key", 7),
+        (None, "z", 3.5, None, None)], key=repr)

@@ -18,6 +18,9 @@ NULL_TOKENS_SHORT = ("", "nan", "None")
 EPOCH_NULL_TOKENS = ("", "0", "None")
 SPREADSHEET_ERROR = "#VALUE!"
 
+#: Epoch seconds of the first second of the year 1 and the last of the year 9999.
+EPOCH_RANGE = (-62135596800, 253402300799)
+
 # Date and time layouts, tried in this order.
 ATTENDANCE_DATE_FORMATS = ("d MMM yyyy", "yyyy-M-d", "d-M-yyyy", "d/M/yyyy", "M/d/yyyy")
 LIFECYCLE_DATE_FORMATS = ("M/d/yyyy", "d/M/yyyy", "yyyy-M-d")
@@ -99,18 +102,23 @@ def _shape(fmt: str) -> str:
     other layouts away, so that only impossible dates such as 31/2 still fail.
     """
     tokens = re.findall(r"'[^']*'|d+|M+|y+|H+|h+|m+|s+|a|.", fmt)
-    return "^" + "".join(_SHAPES.get(t) or re.escape(t.strip("'")) for t in tokens) + "$"
+    return "^" + "".join(_SHAPES.get(t) or (r"\s+" if t == " " else re.escape(t.strip("'"))) for t in tokens) + "$"
+
+
+def _squeezed(text: Column) -> Column:
+    """Runs of white space as one blank, as the layouts have it."""
+    return F.regexp_replace(text, r"\s+", " ")
 
 
 def parse_date(c: Column | str, formats: Sequence[str] = ATTENDANCE_DATE_FORMATS) -> Column:
     """First layout that fits gives the date, otherwise NULL."""
     text = strip(c)
-    return F.coalesce(*[F.when(text.rlike(_shape(fmt)), F.try_to_date(text, fmt)) for fmt in formats])
+    return F.coalesce(*[F.when(text.rlike(_shape(fmt)), F.try_to_date(_squeezed(text), fmt)) for fmt in formats])
 
 
 def _zoned(text: Column, fmt: str, zone: str) -> Column:
     # The zone travels with the text, so the session time zone has no influence.
-    stamp = F.try_to_timestamp(F.concat(text, F.lit(" " + zone)), F.lit(fmt + " VV"))
+    stamp = F.try_to_timestamp(F.concat(_squeezed(text), F.lit(" " + zone)), F.lit(fmt + " VV"))
     return F.when(text.rlike(_shape(fmt)), stamp)
 
 
@@ -123,7 +131,7 @@ def parse_timestamp(
     text = clean_text(c)
     number = F.when(text.rlike(_DECIMAL), text.try_cast("double"))
     head = strip(F.substring_index(text, "+", 1))
-    return F.coalesce(F.timestamp_seconds(number), *[_zoned(head, fmt, zone) for fmt in formats])
+    return F.coalesce(epoch_ts(number), *[_zoned(head, fmt, zone) for fmt in formats])
 
 
 def parse_local_timestamp(
@@ -142,9 +150,15 @@ def iso_epoch(c: Column | str) -> Column:
     return F.unix_seconds(zoned.try_cast("timestamp"))
 
 
+def epoch_fits(c: Column | str) -> Column:
+    """Whether epoch seconds lie in the years 1 to 9999; a count of milliseconds does not."""
+    return _col(c).between(*EPOCH_RANGE)
+
+
 def epoch_ts(c: Column | str) -> Column:
-    """Epoch seconds as an instant."""
-    return F.timestamp_seconds(_col(c))
+    """Epoch seconds as an instant; NULL for numbers that are no date between the years 1 and 9999."""
+    seconds = _col(c)
+    return F.when(epoch_fits(seconds), F.timestamp_seconds(F.when(epoch_fits(seconds), seconds)))
 
 
 def local_datetime(ts: Column | str, zone: str = "UTC") -> Column:

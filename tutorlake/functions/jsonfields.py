@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tutorlake.functions.clean import strip
 
 
+def accept_repeated_keys(spark: SparkSession) -> None:
+    """Documents that repeat a key are read, with the key's last value, instead of counting as broken."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def path(*keys: str) -> str:
     """JSON path of nested keys; keys may hold blanks."""
     return "$" + "".join(f'["{key}"]' for key in keys)

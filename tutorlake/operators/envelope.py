@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tutorlake.functions import clean
-from tutorlake.functions.jsonfields import is_object, is_present, node_at, staged, text_at, typed_at
+from tutorlake.functions.jsonfields import accept_repeated_keys, is_object, is_present, node_at, staged, text_at, typed_at
 
 # Reject classes.
 NOT_JSON = "Not JSON"
@@ -45,6 +45,7 @@ def parse(df: DataFrame, body: str = "body") -> DataFrame:
     A message is nested when it has an ``event`` and no ``id``; its id then is
     its type and time stamp, in which a missing or null part reads ``None``.
     """
+    accept_repeated_keys(df.sparkSession)
     doc = F.col("__doc")
     parsed = staged(df, __doc=F.try_parse_json(F.col(body)))
     parts = staged(

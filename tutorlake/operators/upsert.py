@@ -116,20 +116,32 @@ def fold(changes: DataFrame, keys: Sequence[str], seq: Sequence[str], policies:
 
 def apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], seq: Sequence[str],
           policies: Mapping[str, Policy], null_keys: str = "append") -> DataFrame:
-    """``target`` after ``changes``: its rows come before every change."""
+    """``target`` after ``changes``: its rows come before every change.
+
+    Columns of the target that the rule does not name stay as they are, and are NULL in new rows; columns that the
+    target lacks are added.  Only stored rows whose key is among the changes enter the aggregation.
+    """
+    kept = [c for c in target.columns if c not in keys and c not in policies]
     columns = [*keys, *policies]
     conditions = {p.when for p in policies.values() if p.when}
-    stored = target.select(*columns)
-    untouched = None
-    if null_keys == "append":
-        untouched = stored.filter(_key_has_null(keys))
-        stored = stored.filter(~_key_has_null(keys))
+    kinds = {f.name: f.dataType for f in changes.schema.fields}
+    stored = target.select(*target.columns, *[
+        F.lit(None).cast(kinds[c]).alias(c) for c in columns if c not in target.columns]).select(*columns, *kept)
+    changed = changes.select(*[F.col(k).alias(f"__key_{k}") for k in keys]).distinct()
+    same = F.lit(True)
+    for key in keys:
+        mine, other = F.col(key), F.col(f"__key_{key}")
+        same = same & (mine.eqNullSafe(other) if null_keys == "match" else mine == other)
+    untouched = stored.join(changed, same, "left_anti")
+    stored = stored.join(changed, same, "left_semi")
+    policies = {**policies, **keep_first(kept)}
     incoming = changes.select(
         *columns, F.struct(*seq).alias("__seq"), F.lit(True).alias("__change"),
         *[F.expr(c).alias(f"__when{i}") for i, c in enumerate(sorted(conditions))],
+        *[F.lit(None).cast(target.schema[c].dataType).alias(c) for c in kept],
     )
     rows = incoming.unionByName(stored.withColumn("__change", F.lit(False)), allowMissingColumns=True)
     renamed = {c: f"__when{i}" for i, c in enumerate(sorted(conditions))}
     policies = {n: Policy(p.kind, renamed.get(p.when)) for n, p in policies.items()}
     result = _fold(rows, keys, F.struct("__change", "__seq"), policies, F.col("__change"), null_keys)
-    return result if untouched is None else result.unionByName(untouched)
+    return result.unionByName(untouched)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,7 +12,9 @@ from tutorlake.functions.jsonfields import first_truthy, text_at
 from tutorlake.operators import predicates, upsert
 from tutorlake.operators.policies import ATTENDANCE_RAW, CLASS_ATTENDANCE
 from tutorlake.operators.ranking import number_by_day
+from tutorlake.session import stored
 
+# Names of the reply's fields.
 _IDS = {
     "student_id": ("student_Id", "student_id"),
     "batch_id": ("batch_Id", "batch_id"),
@@ -53,7 +56,7 @@ def landed_rows(rows: DataFrame, staff_token: str = predicates.STAFF_TOKEN) -> D
         "pull_date", "seq",
         *[clean.safe_int(first_truthy(row, *names)).alias(name) for name, names in _IDS.items()],
         clean.safe_int(text_at(row, "attendance_id")).alias("attendance_id"),
-        clean.safe_int(text_at(row, "studentRating")).cast("int").alias("student_rating"),
+        clean.safe_int(text_at(row, "studentRating")).try_cast("int").alias("student_rating"),
         email.alias("student_email"),
         *[text_at(row, key).alias(name) for name, key in _TEXTS.items()],
         clean.parse_date(text_at(row, "classDate")).alias("class_date_parsed"),
@@ -184,6 +187,34 @@ def number_classes(classes: DataFrame, touched: DataFrame | None = None) -> Data
     return renumbered.unionByName(classes.join(batches, "batch_id", "left_anti"))
 
 
+@dataclass(frozen=True)
+class Loaded:
+    """The tables after a pull, and what the pull brought."""
+    bronze: DataFrame
+    classes: DataFrame
+    metrics: DataFrame
+
+
+def load_pull(rows: DataFrame, loaded_at: Column, bronze: DataFrame | None = None, classes: DataFrame | None = None,
+              late_counts: bool = False) -> Loaded:
+    """One pull date's rows (with ``is_staff``) through all tables.
+
+    Raw rows are merged into ``bronze``; the bronze rows of that date are summarised per class and merged into
+    ``classes``; the batches of that date get their classes numbered anew.  Loading a pull again changes nothing but
+    ``loaded_at``.
+    """
+    saved = rows.filter(~F.col("is_staff")).drop("is_staff").withColumn("loaded_at", loaded_at)
+    bronze = stored(upsert_raw(saved, bronze), "attendance-bronze")
+    mine = bronze.join(saved.select("pull_date").distinct(), "pull_date", "left_semi")
+    summary = summarise(mine, late_counts)
+    if classes is None:
+        merged = upsert_classes(summary).withColumn("class_number", F.lit(None).cast("int"))
+    else:
+        merged = upsert_classes(summary, classes)
+    numbered = number_classes(stored(merged, "attendance-classes"), mine)
+    return Loaded(bronze, numbered, ingest_metrics(rows))
+
+
 def ingest_metrics(rows: DataFrame, totals: bool = True) -> DataFrame:
     """Per pull date (and overall, with a NULL date): received, saved, skipped staff, silver rows."""
     silver_row = F.when(

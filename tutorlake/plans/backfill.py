@@ -23,8 +23,8 @@ def enrolment_rows(enrolments: DataFrame) -> DataFrame:
         F.lit(IMPORT_TYPE).alias("event_type"),
         "email", F.col("name").alias("full_name"), F.col("class_name").alias("course_name"), "master_batch_name",
         clean.epoch_or_null("institution_bundle_id").alias("institution_bundle_id"),
-        F.timestamp_seconds(clean.epoch_or_null("classusers_start_date")).alias("start_date"),
-        F.timestamp_seconds(clean.epoch_or_null("classusers_end_date")).alias("end_date"),
+        clean.epoch_ts(clean.epoch_or_null("classusers_start_date")).alias("start_date"),
+        clean.epoch_ts(clean.epoch_or_null("classusers_end_date")).alias("end_date"),
         F.lit(IMPORT_SOURCE).alias("source"),
     ).filter(F.col("user_id").isNotNull())
 

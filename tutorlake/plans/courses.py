@@ -83,7 +83,7 @@ def catalogue_from_raw(raw: DataFrame, target: DataFrame | None = None) -> DataF
     special = {
         "course_type": text("type"),
         "status": predicates.listed_or_null(text("status")),
-        "num_students": clean.safe_int("num_students", commas=True).cast("int"),
+        "num_students": clean.safe_int("num_students", commas=True).try_cast("int"),
     }
     rows = first.select(
         F.col("course_key").alias("bundle_id"), "source_row",
@@ -96,7 +96,7 @@ def catalogue_from_csv(raw: DataFrame, target: DataFrame | None = None) -> DataF
     rows = raw.select(
         clean.safe_int("bundle_id", commas=True).alias("bundle_id"), "source_row",
         *[clean.clean_text(c).alias(c) for c in ("course_name", "subject", "status")],
-        clean.safe_int("num_students", commas=True).cast("int").alias("num_students"),
+        clean.safe_int("num_students", commas=True).try_cast("int").alias("num_students"),
     )
     return _upsert(rows, target, CATALOGUE_FROM_CSV, ["source_row"])
 
@@ -143,7 +143,7 @@ def upsert_lifecycle(raw: DataFrame, target: DataFrame | None = None) -> DataFra
         *[clean.clean_text(raw_text(src)).alias(name) for name, src in LIFECYCLE_TEXTS.items()],
         *[clean.parse_date(clean.clean_text(raw_text(src)), clean.LIFECYCLE_DATE_FORMATS).alias(name)
           for name, src in LIFECYCLE_DATES.items()],
-        *[clean.safe_int(raw_text(src), commas=True).cast("int").alias(name)
+        *[clean.safe_int(raw_text(src), commas=True).try_cast("int").alias(name)
           for name, src in LIFECYCLE_COUNTS.items()],
         *[clean.safe_float(raw_text(src)).try_cast(kind).alias(name)
           for name, (src, kind) in LIFECYCLE_DECIMALS.items()],
@@ -187,7 +187,7 @@ def upsert_batches(raw: DataFrame, target: DataFrame | None = None, assume_zone:
         *[clean.clean_text(c).alias(c) for c in ("bundle_name", "batch_name", "batch_status", "tutor_name")],
         *[clean.parse_timestamp(c, zone=assume_zone).alias(c) for c in ("start_date", "end_date")],
         clean.safe_bigint("tutor_id").alias("tutor_id"),
-        clean.safe_int("admitted_students", commas=True).cast("int").alias("admitted_students"),
+        clean.safe_int("admitted_students", commas=True).try_cast("int").alias("admitted_students"),
     )
     return _upsert(rows, target, COURSE_BATCHES, ["source_row"])
 
@@ -206,6 +206,7 @@ def without_batches(catalogue: DataFrame, batches: DataFrame) -> DataFrame:
     return catalogue.join(batches.select("bundle_id"), "bundle_id", "left_anti")
 
 
+# Columns of the master tables.
 _MERGE_TRAITS = (
     "course_division type subject level language sss_category adhyayanam_category personas position_in_funnel "
     "term_of_course texts certificate course_sponsor number_of_lectures duration").split()

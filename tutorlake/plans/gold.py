@@ -7,7 +7,7 @@ carry one row per course or batch instead of one per enrolment or class.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tutorlake.functions.labels import learning_model as learning_model_label
 from tutorlake.operators.predicates import STAFF_PATTERN, not_staff
@@ -39,9 +39,10 @@ def _per_batch(classes: DataFrame) -> DataFrame:
         F.max(F.when(number == 1, present)).alias("first_present"),
         F.max(packed).alias("last"),
     )
-    top = classes.groupBy("batch_id").agg(F.max("class_number").alias("top_number"))
+    # The batch's highest number is the highest over its bundles, of which there are few.
+    top = F.max("total_class_count").over(Window.partitionBy("batch_id"))
     last_present = F.nullif(F.col("last").bitwiseAND((1 << 32) - 1), F.lit(0)) - 1
-    return measures.join(top, "batch_id", "left").withColumn(
+    return measures.withColumn("top_number", top).withColumn(
         "last_present", F.when(F.col("total_class_count") == F.col("top_number"), last_present.cast("int")),
     ).drop("last", "top_number")
 
@@ -120,6 +121,7 @@ def first_vs_last_class(classes: DataFrame, catalogue: DataFrame, batches: DataF
 
 # --- courses and learners --------------------------------------------------
 
+# Columns of the course views.
 _COURSE_TRAITS = (
     "course_name course_type status subject term_of_course position_in_funnel adhyayanam_category sss_category "
     "viniyoga division").split()
@@ -175,10 +177,11 @@ def learner(transactions: DataFrame, catalogue: DataFrame, staff_pattern: str =
     Rows without a start date count in the total only.
     """
     students = transactions.filter(not_staff("email", staff_pattern) & F.col("user_id").isNotNull())
-    first_ever = students.groupBy("user_id").agg(F.min("start_date").alias("first_ever"))
     per_user = students.groupBy("bundle_id", "user_id").agg(
         F.min("start_date").alias("earliest"), F.max("start_date").alias("latest"))
-    counted = per_user.join(first_ever, "user_id").groupBy("bundle_id").agg(
+    # One row per course and user is left, so a user's window holds at most as many rows as there are courses.
+    per_user = per_user.withColumn("first_ever", F.min("earliest").over(Window.partitionBy("user_id")))
+    counted = per_user.groupBy("bundle_id").agg(
         F.count("*").alias("total_learners_count"),
         F.count_if(F.col("earliest") == F.col("first_ever")).alias("new_learners_count"),
         F.count_if(F.col("latest") > F.col("first_ever")).alias("returning_learners_count"),

@@ -74,7 +74,7 @@ def tracker(raw: DataFrame) -> DataFrame:
         *[clean.clean_text(raw_text(src)).alias(name) for name, src in TRACKER_TEXTS.items()],
         *[clean.parse_date(raw_text(src), clean.LIFECYCLE_DATE_FORMATS).alias(name)
           for name, src in TRACKER_DATES.items()],
-        *[clean.safe_int(raw_text(src), commas=True).cast("int").alias(name) for name, src in TRACKER_COUNTS.items()],
+        *[clean.safe_int(raw_text(src), commas=True).try_cast("int").alias(name) for name, src in TRACKER_COUNTS.items()],
         *[clean.safe_float(raw_text(src)).try_cast("decimal(8,2)").alias(name)
           for name, src in TRACKER_NUMBERS.items()],
     ).filter(F.col("bundle_id").isNotNull() & F.col("batch_name").isNotNull())

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tutorlake.functions import clean
 from tutorlake.functions.jsonfields import (
     LOCATION_ALIASES, PARENT_ALIASES, field_lookup, first_present, is_object, node_at, staged,
 )
@@ -104,7 +105,7 @@ def _typed(table: str) -> dict[str, Column]:
         text = F.col(_raw(names))
         if kind == _EPOCH:
             seconds = text.try_cast("bigint")
-            columns[name] = F.timestamp_seconds(
+            columns[name] = clean.epoch_ts(
                 F.coalesce(seconds, F.col("event_epoch")) if name in _EVENT_TIME else seconds)
         else:
             columns[name] = text if kind == "string" else text.try_cast(kind)
@@ -125,7 +126,10 @@ def _problem(table: str, typed: dict[str, Column]) -> Column:
     for kind, names in FIELDS[table].values():
         if kind != "string":
             text = F.col(_raw(names))
-            bad = bad | (text.isNotNull() & text.try_cast("bigint" if kind == _EPOCH else kind).isNull())
+            value = text.try_cast("bigint" if kind == _EPOCH else kind)
+            fits = F.coalesce(clean.epoch_fits(value), F.lit(False)) if kind == _EPOCH else value.isNotNull()
+            bad = bad | (text.isNotNull() & ~fits)
+    bad = bad | ~F.coalesce(clean.epoch_fits("event_epoch"), F.lit(True))
     missing = F.lit(False)
     for key in ROUTED_TABLES[table].required:
         missing = missing | typed[key].isNull()
@@ -152,7 +156,7 @@ def entity_rows(events: DataFrame, table: str) -> DataFrame:
         typed["created_at"] = F.when(_is_created(), typed["created_at"])
         typed |= {name: F.when(~_is_created(), {**typed, **looked_up}[name]) for name in _UPDATE_ONLY}
     elif table == "transactions":
-        typed["event_timestamp"] = F.timestamp_seconds("event_epoch")
+        typed["event_timestamp"] = clean.epoch_ts("event_epoch")
         typed["source"] = F.lit("webhook")
     elif table == "announcements":
         typed["raw_data"] = F.when(~F.is_variant_null("data"), F.to_json("data"))

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
 from tutorlake.functions.clean import blank_to_null
 from tutorlake.functions.headers import sanitize_header
 from tutorlake.operators import dedup
-
-#: The offset table has one short entry per file split; up to this many (some tens of megabytes) it is broadcast.
-MAX_BROADCAST_SPLITS = 300_000
+from tutorlake.operators.totals import total_before
 
 # Header names of the student export and their columns.
 STUDENT_COLUMNS = {
@@ -50,17 +49,30 @@ ENROLMENT_COLUMNS = (
 
 
 def _header(spark: SparkSession, path: str, skip_lines: int) -> list[str]:
-    """Header names; all files of one export share them."""
-    lines = spark.read.text(path).where("_metadata.file_block_start = 0").limit(skip_lines + 1).collect()
-    return next(csv.reader([lines[-1].value])) if len(lines) > skip_lines else []
+    """Header names; all files of one export share them.
+
+    A header cell may hold line breaks, so lines are taken until no quote is open.
+    """
+    lines = spark.read.text(path).where("_metadata.file_block_start = 0").select(
+        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    first = lines.limit(1).collect()
+    if not first:
+        return []
+    own = lines.where(F.col("file") == first[0].file).orderBy("at").select("value")
+    wanted = skip_lines + 1
+    while True:
+        found = [row.value for row in own.limit(wanted).collect()]
+        text = "\n".join(found[skip_lines:])
+        if text.count('"') % 2 == 0 or len(found) < wanted:
+            return next(csv.reader(io.StringIO(text, newline="")), []) if len(found) > skip_lines else []
+        wanted *= 2
 
 
 def _records(spark: SparkSession, path: str, skip_lines: int, multi_line: bool) -> tuple[list[str], DataFrame]:
     """Header and records, columns ``c0 .. cn`` by position, with ``source_row``.
 
-    The reader's own header handling removes the first line of every file: the
-    header, or the line before it.  In the second case the header then is the
-    one record that equals the header names.
+    The reader's own header handling removes the first record of every file: the header, or the line before it.  In
+    the second case the first record that is left is the header, and it alone goes, whatever further records equal it.
     """
     if skip_lines not in (0, 1):
         raise ValueError("at most one line may precede the header")
@@ -72,43 +84,28 @@ def _records(spark: SparkSession, path: str, skip_lines: int, multi_line: bool)
         path, header=True, multiLine=multi_line, quote='"', escape='"', mode="PERMISSIVE", encoding="UTF-8")
     numbered = raw.select(
         "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"))
-    if skip_lines:
-        is_header = F.lit(True)
-        for position, name in enumerate(header):
-            is_header = is_header & F.col(f"c{position}").eqNullSafe(F.lit(name or None))
-        numbered = numbered.filter(~is_header)
-    return header, _with_source_row(numbered, _most_splits(raw, multi_line))
-
-
-def _most_splits(raw: DataFrame, multi_line: bool) -> int:
-    """Upper bound of the number of splits the files are read in, from their count and size."""
-    files = len(raw.inputFiles())
-    if multi_line:
-        return files
-    session = raw.sparkSession
-    conf = session._jsparkSession.sessionState().conf()
-    size = int(raw._jdf.queryExecution().analyzed().stats().sizeInBytes())
-    per_core = size // session.sparkContext.defaultParallelism
-    split = max(min(conf.filesMaxPartitionBytes(), max(conf.filesOpenCostInBytes(), per_core)), 1)
-    return files + size // split + 1
-
-
-def _with_source_row(records: DataFrame, splits_at_most: int) -> DataFrame:
+    is_header = F.lit(bool(skip_lines))
+    for position, name in enumerate(header if skip_lines else ()):
+        is_header = is_header & F.col(f"c{position}").eqNullSafe(F.lit(name or None))
+    return header, _with_source_row(numbered, is_header)
+
+
+def _with_source_row(records: DataFrame, is_header: Column) -> DataFrame:
     """0-based record number in file order, without sorting or gathering the records.
 
     ``monotonically_increasing_id`` counts records in reading order inside a
-    split; a small table of record counts per split supplies the offsets.
+    split; a small table of record counts per split supplies the offsets.  A
+    header that is the first record of a file gets no number and is left out.
     """
     ordered = records.withColumn("__id", F.monotonically_increasing_id())
-    splits = ordered.groupBy("__file", "__block").agg(F.min("__id").alias("__first"), F.count("*").alias("__n"))
-    before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        "__file", "__block", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    if splits_at_most <= MAX_BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
-    number = F.col("__id") - F.col("__first") + F.col("__offset")
-    return ordered.join(offsets, ["__file", "__block"]).withColumn("source_row", number).drop(
-        "__file", "__block", "__id", "__first", "__offset")
+    splits = ordered.groupBy("__file", "__block").agg(
+        F.min("__id").alias("__first"), F.count("*").alias("__n"), F.min(F.when(is_header, F.col("__id"))).alias("__head"))
+    leads = (F.col("__block") == 0) & F.col("__head").eqNullSafe(F.col("__first"))
+    splits = splits.withColumn("__skip", F.when(leads, 1).otherwise(0)).withColumn("__n", F.col("__n") - F.col("__skip"))
+    offsets = total_before(splits.drop("__head"), ["__file", "__block"], "__n", "__offset", "csv-offsets").drop("__n")
+    place = F.col("__id") - F.col("__first") - F.col("__skip")
+    return ordered.join(offsets, ["__file", "__block"]).filter(place >= 0).withColumn(
+        "source_row", place + F.col("__offset")).drop("__file", "__block", "__id", "__first", "__skip", "__offset")
 
 
 def _by_name(header: Sequence[str]) -> dict[str, str]:

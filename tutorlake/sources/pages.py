@@ -4,26 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tutorlake.functions.jsonfields import is_string, node_at, staged, text_at
+from tutorlake.functions.jsonfields import accept_repeated_keys, is_string, node_at, staged, text_at
+from tutorlake.operators.totals import total_before
 
 # Keys that may hold the row list, in order of preference.
 ATTENDANCE_KEYS = ("data", "rows", "report")
 CATALOGUE_KEYS = ("response", "data", "courses", "bundles", "result", "items")
 BATCH_KEY = "courses"
 
+#: Bytes that a parsed document can hold.
+DOCUMENT_LIMIT = 128 * 1024 * 1024
+#: Reasons of rejected pages.
+NOT_JSON, TOO_LARGE = "Not JSON", "too large"
+
 
 def read_pages(spark: SparkSession, paths: str | Sequence[str], one_per_line: bool = False) -> DataFrame:
-    """``page`` (file path) and ``doc`` (VARIANT, NULL when it is not JSON) of landed replies.
+    """``page`` (file path), ``doc`` (VARIANT) and ``size`` (bytes) of landed replies.
 
-    Several days or pages are several paths of one read.
+    Several days or pages are several paths of one read.  ``doc`` is NULL when a page is no JSON or too large for one
+    value; :func:`page_rejects` lists such pages with their reason.
     """
+    accept_repeated_keys(spark)
     text = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=not one_per_line)
-    pages = text.select(F.col("_metadata.file_path").alias("page"), "value")
+    pages = text.select(F.col("_metadata.file_path").alias("page"), "value", F.octet_length("value").alias("size"))
     return staged(pages, doc=F.try_parse_json("value")).drop("value")
 
 
+def page_rejects(pages: DataFrame, limit: int = DOCUMENT_LIMIT) -> DataFrame:
+    """``page``, ``size`` and ``reason`` of the pages that give no rows because they could not be read."""
+    reason = F.when(F.col("size") > limit, F.lit(TOO_LARGE)).otherwise(F.lit(NOT_JSON))
+    return pages.filter(F.col("doc").isNull()).select("page", "size", reason.alias("reason"))
+
+
 def _list_at(doc: Column, *keys: str) -> Column:
     node = node_at(doc, *keys) if keys else doc
     return F.try_variant_get(node, "$", "array<variant>")
@@ -86,7 +100,6 @@ def number_rows(rows: DataFrame, page: str = "page", target: DataFrame | None =
         # The target's rows act as one page before all others.
         stored = target.agg(F.coalesce(F.max("source_row") + 1, F.lit(0)).alias("__n"))
         counts = counts.unionByName(stored.withColumn("__page", F.lit(None).cast(rows.schema[page].dataType)))
-    before = Window.orderBy(F.col("__page").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__page", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    offsets = total_before(counts, [F.col("__page").asc_nulls_first()], "__n", "__offset", "page-offsets").drop("__n")
     number = (F.col("pos") + F.col("__offset")).alias("source_row")
     return rows.join(offsets, F.col(page) == F.col("__page")).select(*rows.columns, number)

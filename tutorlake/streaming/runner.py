@@ -12,16 +12,12 @@ from tutorlake.operators import dedup, envelope, upsert
 from tutorlake.operators.policies import ROUTED_TABLES
 from tutorlake.plans import routing
 from tutorlake.sources import sinks
-from tutorlake.streaming.tables import StateTable, children
+from tutorlake.streaming.tables import EventTable, StateTable, children
 
 #: Landed messages: arrival number, arrival time, content type and raw body.
 MESSAGE_SCHEMA = "seq bigint, received_at timestamp, content_type string, body string"
 
 
-#: Up to this many event ids (some tens of megabytes) are broadcast.
-MAX_BROADCAST_IDS = 500_000
-
-
 def read_messages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(MESSAGE_SCHEMA)
     if files_per_batch:
@@ -39,7 +35,9 @@ class EventPipeline:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64, watermark: str | None = None):
         self.spark, self.root, self.buckets, self.watermark = spark, root, buckets, watermark
 
-    def table(self, name: str) -> StateTable:
+    def table(self, name: str) -> StateTable | EventTable:
+        if ROUTED_TABLES[name].keys == ("event_id",):
+            return EventTable(self.spark, f"{self.root}/silver/{name}")
         return StateTable(self.spark, f"{self.root}/silver/{name}", ROUTED_TABLES[name].keys, self.buckets)
 
     def _log_path(self, batch: int) -> str:
@@ -68,36 +66,48 @@ class EventPipeline:
     def _without_known(events: DataFrame, earlier: DataFrame | None) -> DataFrame:
         """Events whose id the log lacks.
 
-        The log's ids are reduced to those of this micro-batch first.  A batch of
-        counted, moderate size is broadcast for that, so the log is read but not
-        shuffled; a larger one is joined by shuffling both.
+        The log's ids are reduced to those of this micro-batch first; by their
+        measured size Spark broadcasts the batch's ids for that or shuffles both.
         """
         if earlier is None:
             return events
-        ids = events.select("event_id")
-        if events.count() <= MAX_BROADCAST_IDS:
-            ids = F.broadcast(ids)
-        known = earlier.join(ids, "event_id", "left_semi")
+        known = earlier.join(events.select("event_id"), "event_id", "left_semi")
         return events.join(known, "event_id", "left_anti")
 
+    def _open_before(self, batch: int, schema: StructType) -> DataFrame:
+        """The retry queue that the last finished micro-batch left."""
+        path = f"{self.root}/retry"
+        numbers = sorted(int(n.split("=")[1]) for n in children(self.spark, path) if n.startswith("batch="))
+        for number in reversed([n for n in numbers if n < batch]):
+            if "_SUCCESS" in children(self.spark, f"{path}/batch={number}"):
+                return self.spark.read.schema(schema).parquet(f"{path}/batch={number}")
+        return self.spark.createDataFrame([], schema)
+
     def _route(self, batch: int, schema: StructType) -> None:
+        """New and open events into their tables; what still cannot enter is the queue for the next micro-batch."""
         # The log is partitioned by route, so each table reads only its own events.
         path = self._log_path(batch)
-        logged = self.spark.read.schema(schema).parquet(path).withColumn("data", F.parse_json("data"))
+        again = self._open_before(batch, schema).persist()
+        logged = self.spark.read.schema(schema).parquet(path).unionByName(again).withColumn("data", F.parse_json("data"))
         present = {n.split("=")[1] for n in children(self.spark, path) if n.startswith("route=")}
+        present |= {row.route for row in again.select("route").distinct().collect()}
         typed = {
             name: routing.entity_rows(logged.filter(F.col("route") == name), name).persist()
             for name in ROUTED_TABLES if name in present}
         for name, rows in typed.items():
             self._update(name, routing.sound(rows), batch)
-        open_events = [routing.problems(rows, name) for name, rows in typed.items()]
-        if open_events:
-            reduce(DataFrame.unionByName, open_events).write.mode("overwrite").json(f"{self.root}/retry/batch={batch}")
-        for rows in typed.values():
+        open_events = [routing.problems(rows, name).select("event_id", "problem") for name, rows in typed.items()]
+        none = self.spark.createDataFrame([], "event_id string, problem string")
+        queue = logged.withColumn("data", F.to_json("data")).join(reduce(DataFrame.unionByName, open_events, none), "event_id")
+        queue.write.mode("overwrite").parquet(f"{self.root}/retry/batch={batch}")
+        for rows in (*typed.values(), again):
             rows.unpersist()
 
     def _update(self, name: str, rows: DataFrame, batch: int) -> None:
         rule, table = ROUTED_TABLES[name], self.table(name)
+        if isinstance(table, EventTable):
+            table.write(upsert.fold(rows, rule.keys, ["seq"], rule.policies), batch)
+            return
         buckets = table.touched(rows)
         if not buckets:
             return
@@ -137,7 +147,10 @@ class EventPipeline:
         return self.spark.read.json(f"{self.root}/bronze/failed_events/*")
 
     def retry(self) -> DataFrame:
-        return self.spark.read.json(f"{self.root}/retry/*")
+        """Events that are open after the last micro-batch, whole and with their reason."""
+        path = f"{self.root}/retry"
+        last = max(int(n.split("=")[1]) for n in children(self.spark, path) if n.startswith("batch="))
+        return self.spark.read.parquet(f"{path}/batch={last}")
 
 
 def replay(spark: SparkSession, path: str, known: DataFrame) -> tuple[DataFrame, DataFrame]:

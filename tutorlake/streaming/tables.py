@@ -26,9 +26,29 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+class EventTable:
+    """Rows of single events, each of which arrives once: a micro-batch adds its own folder and rewrites nothing."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def read(self, before: int | None = None) -> DataFrame | None:
+        numbers = sorted(int(n.split("=")[1]) for n in children(self.spark, self.path) if n.startswith("version="))
+        paths = [f"{self.path}/version={n}" for n in numbers if before is None or n < before]
+        return self.spark.read.option("basePath", self.path).parquet(*paths).drop("version") if paths else None
+
+    def write(self, rows: DataFrame, version: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/version={version}")
+
+
 class StateTable:
+    """The number of buckets belongs to the stored table; opening it with another number is refused."""
+
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int):
         self.spark, self.path, self.keys, self.buckets = spark, path, list(keys), buckets
+        kept = children(spark, f"{path}.buckets")
+        if kept and kept != [str(buckets)]:
+            raise ValueError(f"{path} has {kept[0]} buckets, not {buckets}")
 
     def _current(self, before: int | None) -> dict[int, int]:
         """Newest finished version of every bucket; folder names only, no data is read."""
@@ -56,6 +76,9 @@ class StateTable:
         return sorted(r[0] for r in rows.select(bucket_of(self.keys, self.buckets)).distinct().collect())
 
     def write(self, rows: DataFrame, version: int) -> None:
+        jvm = self.spark.sparkContext._jvm
+        mark = jvm.org.apache.hadoop.fs.Path(f"{self.path}.buckets/{self.buckets}")
+        mark.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(mark)
         # One file per bucket instead of one per task and bucket.
         (rows.withColumn("bucket", bucket_of(self.keys, self.buckets)).repartition("bucket")
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/version={version}"))
