@@ -9,21 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tutorlake.llm import mixing, quality, sharding, similar, templates
-from tutorlake.llm.common import table
+from tutorlake.llm.common import table, unused
 from tutorlake.session import scratch_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier predicts as label 1; the model is fitted on the labelled rows among ``docs``."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.scored(docs, model).filter("predicted = 1").select(*docs.columns)
+    score, good = unused(docs, "_score"), unused(docs, "_good")
+    return quality.scored(docs, model, score=score, predicted=good).filter(F.col(good) == 1).select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates; rows without id are groups of their own."""
     classes = similar.similarity_classes(docs)
-    others = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(others, F.col("doc_id") == F.col("_id"), "left_anti")
+    key = unused(docs, "_id")
+    others = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(others, F.col("doc_id") == F.col(key), "left_anti")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

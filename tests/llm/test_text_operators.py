@@ -246,7 +246,7 @@ def test_personal_base_spans_and_digest(spark):
     for got, want in zip(found, ordered(plain)):
         assert tuple(got[:6]) == want[:6]
         assert set(want[6]) <= set(filter(None, got[6].split(",")))
-    spans = {r.doc_id: r.spans for r in found}
+    spans = {r[0]: r[6] for r in found}
     assert "local_phone:" in spans[2007] and "person:" in spans[2009] and "iban:" in spans[2010] and "spelled_email:" in spans[2011]
     assert "national_id:" not in spans[2008]
 

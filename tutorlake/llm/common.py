@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like the given one that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def word_count(text: str) -> Column:
     """Words of a text column as a long; NULL has none."""
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
@@ -78,18 +86,17 @@ def numbered(df: DataFrame, order: Sequence[str | Column], number: str, label: s
     """
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    place, part, before = (unused(df, name) for name in ("_at", "_part", "_before"))
     ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    ranged = stored(ranged.withColumn("_at", F.monotonically_increasing_id()), label)
-    part = F.shiftright("_at", 33).alias("_part")
-    counts = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect()
-    before, starts = 0, []
-    for row in sorted(counts, key=lambda r: r["_part"]):
-        starts.append((row["_part"], before))
-        before += row["n"]
-    offsets = spark.createDataFrame(starts, "_part long, _before long")
-    return (ranged.withColumn("_part", F.shiftright("_at", 33)).join(F.broadcast(offsets), "_part")
-            .withColumn(number, F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
-            .drop("_at", "_part", "_before"))
+    ranged = stored(ranged.withColumn(place, F.monotonically_increasing_id()), label)
+    counts = ranged.groupBy(F.shiftright(place, 33).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+    total, starts = 0, []
+    for row in sorted(counts, key=lambda r: r["part"]):
+        starts.append((row["part"], total))
+        total += row["n"]
+    offsets = spark.createDataFrame(starts, f"{part} long, {before} long")
+    return (ranged.withColumn(part, F.shiftright(place, 33)).join(F.broadcast(offsets), part)
+            .withColumn(number, F.col(before) + F.col(place).bitwiseAND(F.lit((1 << 33) - 1))).drop(place, part, before))
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:

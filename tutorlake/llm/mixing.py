@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tutorlake.llm.common import numbered, word_count
+from tutorlake.llm.common import numbered, unused, word_count
 from tutorlake.session import stored
 
 #: Weights of the sources in order, repeating; words of the mix over words of the input; copies of a document at most.
@@ -100,6 +100,7 @@ def _few(targets: DataFrame, bound: int = 100_000) -> bool:
 def take(documents: DataFrame, copies: DataFrame) -> DataFrame:
     """The documents as often as ``doc_id``/``copies`` says; of an id's several numbers the largest counts."""
     names = documents.columns
-    wanted = copies.groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies")).filter("_copies > 0")
-    return (documents.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*names))
+    key, number, each = (unused(documents, name) for name in ("_id", "_copies", "_copy"))
+    wanted = copies.groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(number)).filter(F.col(number) > 0)
+    return (documents.join(wanted, F.col("doc_id").eqNullSafe(F.col(key)))
+            .withColumn(each, F.explode(F.sequence(F.lit(1).cast("long"), F.col(number)))).select(*names))

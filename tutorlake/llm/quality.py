@@ -151,15 +151,16 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     return fit(counts, np.array([r["_label"] for r in rows], np.float64))
 
 
-def scored(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns of the documents and ``score`` (double) and ``predicted`` (int).
+def scored(documents: DataFrame, model: Model, text: str = "text", score: str = "score",
+           predicted: str = "predicted") -> DataFrame:
+    """All columns of the documents and ``score`` (double) and ``predicted`` (int), under these or other names.
 
-    Columns of these names are replaced.  A missing text is scored as an empty one; equal texts have equal scores.
+    Columns of the two names are replaced.  A missing text is scored as an empty one; equal texts have equal scores.
     """
     spark = documents.sparkSession
     sent = spark.sparkContext.broadcast(model)
-    kept = documents.drop("score", "predicted")
-    schema = kept.withColumns({"score": F.lit(0.0), "predicted": F.lit(0)}).schema
+    kept = documents.drop(score, predicted)
+    schema = kept.withColumns({score: F.lit(0.0), predicted: F.lit(0)}).schema
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
@@ -171,7 +172,7 @@ def scored(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 scores = np.round(np.clip(model.score(counts), 0, 1), 5)
                 columns = [*block.columns, pa.array(scores, pa.float64()),
                            pa.array((scores >= 0.5).astype(np.int32), pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, [*block.schema.names, "score", "predicted"])
+                yield pa.RecordBatch.from_arrays(columns, [*block.schema.names, score, predicted])
 
     return kept.mapInArrow(vote, schema)
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tutorlake.llm.common import window_hashes, words_of
+from tutorlake.llm.common import unused, window_hashes, words_of
 from tutorlake.session import stored
 
 #: Tokens of a window.  A shorter benchmark item is one window of its own length, if it has LEAST tokens.
@@ -203,5 +203,6 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without those that hold benchmark items; a row without id stays, as nothing can name it."""
-    found = contaminated(documents, benchmark).filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")).distinct()
-    return documents.join(found, F.col("doc_id") == F.col("_id"), "left_anti")
+    key = unused(documents, "_id")
+    found = contaminated(documents, benchmark).filter("doc_id IS NOT NULL").select(F.col("doc_id").alias(key)).distinct()
+    return documents.join(found, F.col("doc_id") == F.col(key), "left_anti")
