@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from checks import registry
 from checks.fixtures import fixture
 from tutorlake.operators.ranking import latest_flag, number_by_day
 from tutorlake.plans import attendance, gold
@@ -72,7 +72,7 @@ def test_latest_flag_marks_one_row_per_group(spark):
 
 
 def test_plans_stay_on_the_jvm_without_cross_joins(spark):
-    for name, build in queries().items():
+    for name, build in registry.QUERIES.items():
         if name in ("csv_students_scan", "events_stream_equals_batch"):  # these write their input with Python
             continue
         plan = plan_of(build(spark, SF_DIR))
