@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pytest
 from fixtures import components, documents, ordered, texts, words
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tutorlake.llm import quality, queries, sharding, templates, topk
@@ -47,7 +48,7 @@ def test_quality_of_awkward_rows(spark):
     labels = spark.createDataFrame([(70, 1, "x"), (71, 0, "x"), (60, 1, "x"), (None, 1, "x"), (9, None, "x"), (10, 7, "x"), (10, 0, "x")],
                                    "doc_id long, quality int, text string")
     found = quality.quality_scores(documents(spark), labels).collect()
-    assert ordered(r.doc_id for r in found) == ordered(i for i, _, _ in texts())
+    assert sorted((r.doc_id for r in found), key=repr) == sorted((i for i, _, _ in texts()), key=repr)
     assert all(0 <= r.score <= 1 for r in found)
     by_text: dict = {}
     for doc_id, text, _ in texts():
@@ -99,19 +100,19 @@ def test_search_equals_all_scores(spark, monkeypatch, block):
              (None, [1.0] * 6, 1), (304, [], 1), (320, [], 1), (305, [1.0, 2.0], 1), (360, [3.0, -2.0], 1), (40, rows[40][1], 0),
              (-20, [0.25] * 6, 0)]
     table = spark.createDataFrame([(*r, "x", 5) for r in rows], "vec_id long, embedding array<float>, label int, block string, score int")
-    found = topk.nearest(table, table["vec_id"] % 20 == 0, k=7).collect()
+    found = topk.nearest(table, F.col("vec_id") % 20 == 0, k=7).collect()
     assert ordered(found) == ordered(_nearest(rows, 7, lambda q: q % 20 == 0))
 
 
 def test_search_over_nothing(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
-    assert topk.nearest(table, table["vec_id"] % 20 == 0).count() == 0
+    assert topk.nearest(table, F.col("vec_id") % 20 == 0).count() == 0
 
 
 def test_large_products_stay_exact(spark):
     rows = [(0, [2.0 ** 20] * 9), (1, [2.0 ** 20 + 1] * 9), (2, [2.0 ** 20 - 1] * 9), (3, [-(2.0 ** 20)] * 9)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    found = topk.nearest(table, table["vec_id"] == 0, k=3).collect()
+    found = topk.nearest(table, F.col("vec_id") == 0, k=3).collect()
     assert ordered(found) == ordered(_nearest(rows, 3, lambda q: q == 0))
 
 
@@ -129,7 +130,8 @@ def _benchmark(spark, rows=None):
 
 def test_leaks_and_clean_texts(spark):
     changed = ITEM.replace("48", "52").replace(" 3 ", " 5 ").replace("Alice", "Bob").replace("210", "300")
-    torn = ITEM.replace("48 passengers", "52 passengers").replace("Alice", "Bob").replace("210", "300")
+    # One number of the item stands for two numbers here, so the slots do not fit.
+    torn = changed.replace("52 others", "61 others")
     rows = [(1, f"{FOREIGN} {ITEM} {FOREIGN}", "s"), (2, f"{FOREIGN}. {changed} {FOREIGN}", "s"), (3, ITEM.upper(), "s"), (4, FOREIGN, "s"),
             (5, f"{FOREIGN} {torn}", "s"), (6, "Well, what is 9 times 4 really?", "s"), (7, "12 34 56 78 90 12 34 56 78 90 12 34 56 78", "s"),
             (None, ITEM, "s"), (8, None, "s"), (9, "", "s"), (1, f"{FOREIGN} {ITEM} {FOREIGN}", "s"), (10, f"{FOREIGN} " * 3000 + ITEM, "s")]
@@ -141,7 +143,7 @@ def test_leaks_and_clean_texts(spark):
     assert first.first_word == len(words(FOREIGN)) and first.last_word == first.first_word + len(words(ITEM)) - 1
     kept = templates.clean(documents(spark, rows), _benchmark(spark))
     assert kept.columns == documents(spark, []).columns
-    assert ordered(r.doc_id for r in kept.collect()) == ordered([4, 5, 7, 8, 9, None])
+    assert {r.doc_id for r in kept.collect()} == {4, 5, 7, 8, 9, None}
 
 
 def test_leaks_of_nothing(spark):
@@ -209,7 +211,7 @@ def test_mixing_stage_takes_near_the_targets(stages):
 
 def test_sharding_stage_places_every_row(stages):
     rows = stages[5][1]
-    assert ordered(r.doc_id for r in rows) == ordered(r.doc_id for r in stages[4][1])
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in stages[4][1])
     assert len({(r.shard, r.slot) for r in rows}) == len(rows)
     counts = np.bincount([r.shard for r in rows], minlength=sharding.SHARDS)
     assert counts.max() - counts.min() <= 1
