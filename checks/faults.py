@@ -9,12 +9,12 @@ from checks.attendance import _summary_sql
 from checks.common import fold_sql, query
 from checks.courses import _CLEAN, _RAW_CTE, _STUDENTS, _WHOLE_ID, raw_catalogue
 from checks.entities import _BACKFILL_FIRST, KEYS, purchases
-from checks.fixtures import SEQ, SEQ_SQL, fixture, oracle, table
+from checks.fixtures import SEQ, fixture, oracle, table
 from tutorlake import session
 from tutorlake.operators import predicates, upsert
 from tutorlake.operators.policies import TRANSACTIONS, TRANSACTIONS_BACKFILL, TRANSACTIONS_INSERT_ONLY
-from tutorlake.plans import attendance, courses, routing
-from tutorlake.sources import csvfiles, pages
+from tutorlake.plans import attendance, courses, gold, quality, reports
+from tutorlake.sources import csvfiles, pages, sinks
 from tutorlake.streaming.runner import EventPipeline
 
 
@@ -205,7 +205,7 @@ def _chain_sql() -> str:
     identity = fold_sql("(SELECT * FROM seen WHERE NOT staff)", ["student_id", "class_id"], ["load", "pull_date", *SEQ], first=first)
     latest = fold_sql("(SELECT * FROM seen WHERE NOT staff)", ["student_id", "class_id", "load"], ["pull_date", *SEQ], last=last)
     current = f"SELECT l.*, {', '.join('i.' + c for c in first)} FROM latest l JOIN identity i USING (student_id, class_id)"
-    per_pull = _summary_sql("current").replace("WITH marks AS (", "WITH marks AS (", 1)
+    per_pull = _summary_sql("current")
     # Within the first load a class is summarised for every date on which its marks were last changed.
     picked = "SELECT * FROM per_pull QUALIFY row_number() OVER (PARTITION BY batch_id, class_id, pull_date ORDER BY bundle_id) = 1"
     kept = fold_sql("picked", ["batch_id", "class_id"], ["pull_date"], first=["bundle_id"],
@@ -228,3 +228,103 @@ def _(spark, sf_dir):
         bronze, classes = done.bronze, session.stored(done.classes, "classes")
     return classes.select("batch_id", "class_id", "bundle_id", "class_date", "present_count", "late_count", "absent_count",
                           "total_records", "attendance_pct", "pull_date", "class_number")
+
+
+# --- results whose order counts, and the smaller sinks ------------------------
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    """The rows with their place in the result's order."""
+    return df.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+
+
+@query("report_order", oracle("""
+SELECT row_number() OVER (ORDER BY n DESC, label) - 1 AS place, label, n FROM (
+ SELECT coalesce(subject, '(not set)') AS label, count(*) AS n FROM fx_catalogue GROUP BY 1) counted""", "catalogue"))
+def _(spark, sf_dir):
+    return _placed(reports.breakdown(fixture(spark, sf_dir, "catalogue"), F.col("subject")))
+
+
+@query("attendance_years_in_order", oracle("""
+SELECT row_number() OVER (ORDER BY attendance_year) - 1 AS place, attendance_year FROM (
+ SELECT DISTINCT CAST(year(class_date) AS INT) AS attendance_year FROM classes) years""", "attendance", **attendance_checks.CLASSES_CTES))
+def _(spark, sf_dir):
+    return _placed(gold.attendance_by_year(attendance_checks.classes(spark, sf_dir)).select("attendance_year"))
+
+
+@query("csv_missing_and_invalid", """
+SELECT s_suppkey - (SELECT min(s_suppkey) FROM supplier) AS source_row, chr(65533) || s_name AS name, CAST(0 AS BIGINT) AS missing FROM supplier""")
+def _(spark, sf_dir):
+    """Bytes that are no UTF-8 are read as the replacement character; a missing file has no rows."""
+    path = session.scratch_path(spark, "invalid")
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.concat(F.lit("\u00ff"), F.col("s_name")).alias("Name"))
+    rows = rows.repartitionByRange(1, "s_suppkey").sortWithinPartitions("s_suppkey").select("Name")
+    rows.write.option("encoding", "ISO-8859-1").csv(path, header=True)
+    missing = csvfiles.read_students_if_present(spark, f"{path}-none").agg(F.count("*").alias("missing"))
+    read = csvfiles.read_csv_mapped(spark, path, {"Name": "name"})
+    return read.withColumn("one", F.lit(1)).join(missing.withColumn("one", F.lit(1)), "one").select("source_row", "name", "missing")
+
+
+@query("append_log_only_new", """
+SELECT event_id, min(event_id) AS seq FROM (
+ SELECT event_id FROM events WHERE event_id % 2 = 0 UNION ALL SELECT event_id FROM events) e GROUP BY event_id""")
+def _(spark, sf_dir):
+    """Appending to a log that holds half of the rows, twice, adds each row once."""
+    path = session.scratch_path(spark, "log")
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("event_id").alias("seq"))
+    rows.filter("event_id % 2 = 0").write.parquet(path)
+    for _ in range(2):
+        sinks.append_new(rows.unionByName(rows), spark.read.parquet(path), path, ["event_id"], ["seq"])
+    return spark.read.parquet(path)
+
+
+@query("summary_csv", oracle("""
+SELECT CAST(batch_id AS VARCHAR) AS batch_id, CAST(class_id AS VARCHAR) AS class_id, CAST(present_count AS VARCHAR) AS present_count,
+ CAST(attendance_pct AS VARCHAR) AS attendance_pct, '2024-01-02' AS loaded_at FROM summary""", "attendance", summary=_summary_sql()))
+def _(spark, sf_dir):
+    path = session.scratch_path(spark, "summary")
+    summary = attendance.summarise(attendance_checks.raw(spark, sf_dir))
+    sinks.write_summary_csv(attendance.summary_export(summary, F.lit("2024-01-02")), path)
+    return spark.read.csv(path, header=True).select("batch_id", "class_id", "present_count", "attendance_pct", "loaded_at")
+
+
+@query("events_rebuild", """
+SELECT 'e' || CAST(event_id AS VARCHAR) AS event_id, 'c' || CAST(event_id AS VARCHAR) AS certificate_id FROM events
+WHERE event_id % 7 IN (0, 4)""")
+def _(spark, sf_dir):
+    pipeline = _pipeline(spark, "rebuild")
+    pipeline.process(_certificates(spark, sf_dir), 0)
+    return pipeline.rebuild("certificates").select("event_id", "certificate_id")
+
+
+@query("events_body_preview", """
+SELECT event_id AS seq, '{"id":"e' || CAST(event_id AS VARCHAR) AS preview FROM events WHERE event_id < 100""")
+def _(spark, sf_dir):
+    rows = _certificates(spark, sf_dir).filter("seq < 100")
+    return rows.select("seq", quality.preview(F.col("body"), 8 + F.length(F.col("seq").cast("string"))).alias("preview"))
+
+
+_CLEANED = ("bronze.webhook_events", "silver.transactions", "silver.users", "silver.sessions", "silver.assessments", "silver.certificates")
+
+
+@query("cleanup_all_targets", "\nUNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) FILTER (WHERE c_custkey % {5 + i} <> 0) AS rows_after FROM customer"
+    for i, name in enumerate(_CLEANED)))
+def _(spark, sf_dir):
+    """Test rows go from every target and the rows that stay are written back."""
+    root, parts = session.scratch_path(spark, "cleanup"), []
+    for i, name in enumerate(_CLEANED):
+        key = F.col("c_custkey")
+        hit = key % (5 + i) == 0
+        rows = table(spark, sf_dir, "customer").select(
+            F.concat(F.when(hit, F.lit("e2e-")).otherwise(F.lit("ev-")), key.cast("string")).alias("event_id"),
+            (key + F.when(hit, F.lit(99990000)).otherwise(F.lit(0))).alias("user_id"),
+            F.concat(F.when(hit & (key % 2 == 0), F.lit("test")).otherwise(F.lit("u")), key.cast("string"), F.lit("@mail.example")).alias("email"))
+        found = {"bronze.webhook_events": predicates.test_event(F.col("event_id")),
+                 "silver.users": predicates.test_user(F.col("email"), F.col("user_id")),
+                 "silver.transactions": predicates.test_user(F.col("email"), F.col("user_id"))}
+        kept = quality.split_test_rows(rows, found.get(name, predicates.test_user(None, F.col("user_id"))))[1]
+        sinks.overwrite(kept, f"{root}/{name}")
+        parts.append(spark.read.parquet(f"{root}/{name}").agg(F.count("*").alias("rows_after")).select(
+            F.lit(name).alias("table_name"), "rows_after"))
+    return reports.union_all(parts)

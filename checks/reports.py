@@ -243,7 +243,7 @@ def _(spark, sf_dir):
     return quality.populated(spark, ["check_batches", "check_empty", "check_missing"])
 
 
-_TEST_EMAIL = "CASE WHEN k_line = 1 THEN 'test.' || email WHEN k_line = 2 THEN 'up' || 'load.' || email ELSE email END"
+_TEST_EMAIL = "CASE WHEN k_line = 1 THEN 'test.' || email WHEN k_line = 2 THEN 'upload.' || email ELSE email END"
 _TEST_USER = "user_id + CASE WHEN k_line = 3 THEN 99990000 ELSE 0 END"
 _TEST_EVENT = "CASE WHEN k_line = 1 THEN 'e2e-' WHEN k_line = 2 THEN 'reload-' ELSE '' END || event_id"
 

@@ -51,17 +51,34 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def data_health(tables: Mapping[str, DataFrame], events: DataFrame | None = None) -> DataFrame:
-    parts = [_rows(row_counts(tables), 1, "rows", F.col("row_count"), F.col("table_name"))]
+    """Rows of each table and, with the events, when the last one arrived."""
+    parts = [_rows(row_counts(tables), 1, "rows", F.col("row_count"), F.col("table_name"))] if tables else []
     if events is not None:
         parts.append(_rows(events.agg(F.max("received_epoch").alias("latest")), 1, "last event received", F.col("latest")))
     return union_all(parts)
 
 
+def _in_total_and_by(df: DataFrame, label: Column, **measures: Column) -> DataFrame:
+    """``n`` and the measures over all rows (``whole``) and per label, from one reading of the table."""
+    labelled = df.withColumn("label", labels.or_not_set(label))
+    aggregates = [F.count("*").alias("n"), *[value.alias(name) for name, value in measures.items()]]
+    return labelled.groupingSets([[], ["label"]], "label").agg((F.grouping_id("label") == 1).alias("whole"), *aggregates)
+
+
+def _metrics(rows: DataFrame, *metrics: Column) -> DataFrame:
+    """Each metric that applies to a row as a row of its own."""
+    return rows.select(F.explode(F.array(*metrics)).alias("m")).filter(F.col("m").isNotNull()).select("m.*")
+
+
+def _table_rows(name: str, condition: Column | None = None) -> Column:
+    return _metric(F.lit(True) if condition is None else condition, 1, "rows", F.col("n"), F.lit(name))
+
+
 def catalogue_section(catalogue: DataFrame) -> DataFrame:
-    return union_all([
-        _count(catalogue, 2, "courses"),
-        _rows(breakdown(catalogue, F.col("subject")), 2, "courses by subject", F.col("n"), F.col("label")),
-    ])
+    whole, n = F.col("whole"), F.col("n")
+    return _metrics(
+        _in_total_and_by(catalogue, F.col("subject")), _table_rows("course_catalogue", whole), _metric(whole, 2, "courses", n),
+        _metric(~whole, 2, "courses by subject", n, F.col("label")))
 
 
 def active_batches(batches: DataFrame, as_of: date, zone: str = "UTC") -> DataFrame:
@@ -70,19 +87,22 @@ def active_batches(batches: DataFrame, as_of: date, zone: str = "UTC") -> DataFr
 
 
 def batch_section(batches: DataFrame, as_of: date, zone: str = "UTC") -> DataFrame:
-    return union_all([
-        _count(batches, 3, "batches"),
-        _rows(breakdown(batches, F.col("batch_status")), 3, "batches by status", F.col("n"), F.col("label")),
-        _count(active_batches(batches, as_of, zone), 3, "ongoing or future batches"),
-    ])
+    whole, n = F.col("whole"), F.col("n")
+    active = F.count_if(as_date(batches, "end_date", zone) >= F.lit(as_of))
+    return _metrics(
+        _in_total_and_by(batches, F.col("batch_status"), active=active), _table_rows("course_batches", whole),
+        _metric(whole, 3, "batches", n), _metric(~whole, 3, "batches by status", n, F.col("label")),
+        _metric(whole, 3, "ongoing or future batches", F.col("active")))
 
 
 def student_section(users: DataFrame, staff_pattern: str = STAFF_PATTERN) -> DataFrame:
-    students = users.filter(not_staff("email", staff_pattern))
+    student = F.coalesce(not_staff("email", staff_pattern), F.lit(False))
+    totals = users.agg(F.count("*").alias("n"), F.count_if(student).alias("students"))
+    every = F.lit(True)
     return union_all([
-        _count(users, 5, "registered users"),
-        _count(students, 5, "students"),
-        _rows(breakdown(students, F.col("state"), TOP), 5, "top states", F.col("n"), F.col("label")),
+        _metrics(totals, _table_rows("users"), _metric(every, 5, "registered users", F.col("n")),
+                 _metric(every, 5, "students", F.col("students"))),
+        _rows(breakdown(users.filter(student), F.col("state"), TOP), 5, "top states", F.col("n"), F.col("label")),
     ])
 
 
@@ -94,22 +114,23 @@ def mean(total: Column, count: Column) -> Column:
 def attendance_section(classes: DataFrame) -> DataFrame:
     totals = classes.agg(
         F.count("*").alias("n"), F.sum("attendance_pct").alias("s"), F.count("attendance_pct").alias("c"))
-    return union_all([
-        _rows(totals, 6, "class records", F.col("n")),
-        _rows(totals, 6, "average attendance", mean(F.col("s"), F.col("c"))),
-    ])
+    every = F.lit(True)
+    return _metrics(totals, _table_rows("class_attendance"), _metric(every, 6, "class records", F.col("n")),
+                    _metric(every, 6, "average attendance", mean(F.col("s"), F.col("c"))))
 
 
 def assessment_section(assessments: DataFrame, certificates: DataFrame) -> DataFrame:
-    return union_all([_count(assessments, 7, "assessment events"), _count(certificates, 7, "certificates issued")])
+    counted = ((assessments, "assessments", "assessment events"), (certificates, "certificates", "certificates issued"))
+    return union_all([
+        _metrics(df.agg(F.count("*").alias("n")), _table_rows(name), _metric(F.lit(True), 7, metric, F.col("n")))
+        for df, name, metric in counted])
 
 
 def session_section(sessions: DataFrame) -> DataFrame:
     totals = sessions.agg(F.count("*").alias("n"), F.count("cancellation_reason").alias("cancelled"))
-    return union_all([
-        _rows(totals, 9, "sessions", F.col("n")),
-        _rows(totals, 9, "cancelled sessions", F.col("cancelled")),
-    ])
+    every = F.lit(True)
+    return _metrics(totals, _table_rows("sessions"), _metric(every, 9, "sessions", F.col("n")),
+                    _metric(every, 9, "cancelled sessions", F.col("cancelled")))
 
 
 _CUBE_KEYS = ("source", "year", "bundle_id", "course_name")
@@ -184,20 +205,22 @@ def enrolment_sections(transactions: DataFrame, catalogue: DataFrame, staff_patt
     rolled = _roll_out(stored(_enrolment_cube(transactions, staff_pattern), "enrolment-cube"))
     n, revenue = F.col("n"), F.col("revenue")
     level = F.col("level")
-    metrics = F.array(
+    metrics = (
         _metric(level == "total", 4, "enrolments", n),
         _metric(level == "source", 4, "enrolments by source", n, labels.or_not_set(F.col("source"))),
         _metric(level == "total", 8, "revenue", revenue),
         _metric(level == "total", 8, "average paid price", mean(F.col("paid"), F.col("paid_n"))),
         _metric(level == "year", 8, "revenue by year", revenue, labels.or_not_set(F.col("year"))),
     )
-    plain = rolled.select(F.explode(metrics).alias("m")).filter(F.col("m").isNotNull()).select("m.*")
+    plain = _metrics(rolled, *metrics)
     named = (rolled.filter(level == "bundle_id").join(catalogue.select("bundle_id", F.col("course_name").alias("title")), "bundle_id")
              .groupBy(labels.or_not_set(F.col("title")).alias("label")).agg(F.sum("n").alias("n"))
              .orderBy(F.desc("n"), "label").limit(TOP))
+    student = F.when(not_staff("email", staff_pattern), F.col("user_id"))
+    people = transactions.agg(F.count("*").alias("n"), F.countDistinct(student).alias("students"))
     return union_all([
         plain,
-        _rows(unique_students(transactions, staff_pattern), 4, "unique students", n),
+        _metrics(people, _table_rows("transactions"), _metric(F.lit(True), 4, "unique students", F.col("students"))),
         _rows(named, 10, "top courses", n, F.col("label")),
     ])
 
@@ -208,10 +231,15 @@ def _metric(condition: Column, section: int, metric: str, value: Column, label:
         (F.lit(None) if label is None else label).cast("string").alias("label"), value.cast(VALUE).alias("value")))
 
 
-def full_report(tables: Mapping[str, DataFrame], as_of: date, staff_pattern: str = STAFF_PATTERN) -> DataFrame:
-    """All sections over the silver tables (keys as in the warehouse: ``users``, ``transactions`` ...)."""
-    return union_all([
-        data_health(tables),
+def full_report(tables: Mapping[str, DataFrame], as_of: date, staff_pattern: str = STAFF_PATTERN,
+                events: DataFrame | None = None) -> DataFrame:
+    """All sections over the silver tables (keys as in the warehouse: ``users``, ``transactions`` ...).
+
+    A section that reads a table anyway also gives its row count.  Ordered by section and metric, larger values first,
+    years in their order.
+    """
+    whole = union_all([
+        *([data_health({}, events)] if events is not None else []),
         catalogue_section(tables["course_catalogue"]),
         batch_section(tables["course_batches"], as_of),
         enrolment_sections(tables["transactions"], tables["course_catalogue"], staff_pattern),
@@ -220,6 +248,8 @@ def full_report(tables: Mapping[str, DataFrame], as_of: date, staff_pattern: str
         assessment_section(tables["assessments"], tables["certificates"]),
         session_section(tables["sessions"]),
     ])
+    by_label = F.when((F.col("section") == 1) | (F.col("metric") == "revenue by year"), F.col("label"))
+    return whole.orderBy("section", "metric", by_label, F.desc("value"), "label")
 
 
 def formatted(report: DataFrame) -> DataFrame:
