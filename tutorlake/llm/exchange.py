@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tutorlake.llm.common import cuts, pack, pack_plain, unpack, unpack_plain
 
 #: Text bytes of a chunk; one longer text is a chunk of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 #: (hashes of a chunk, ascending and distinct; one number per hash; numbers that every range gets, such as ids)
 Announce = Callable[[list[tuple]], tuple[np.ndarray, np.ndarray | None, np.ndarray | None]]
