@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -178,8 +181,16 @@ def cuts(sorted_hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def scanned(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a stored table, so that a second read deals them to the same partitions."""
-    return df if df.inputFiles() else stored(df, label)
+    """Rows that a second read deals to the same partitions in the same order.
+
+    That holds for a plain reading of files; anything else, with a shuffle or a limit for instance, is stored first.
+    """
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    plan = re.sub(r"Location: .*?, PartitionFilters", "", text.getvalue())
+    plain = "FileScan " in plan and not re.search("Exchange|Join|Union|Limit|Sample|InMemoryTable|ExistingRDD|LocalTable|Python|Arrow", plan)
+    return df if plain and df.inputFiles() else stored(df, label)
 
 
 Mapper = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]

@@ -118,6 +118,12 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(send, "chunk long, payload binary")
 
 
+def expect(answers: np.ndarray, hashes: np.ndarray) -> None:
+    """Fails if the two scans did not see the same chunk; silent misalignment would give wrong answers."""
+    if len(answers) != len(hashes):
+        raise ValueError(f"{len(answers)} answers for {len(hashes)} hashes: the input was dealt out differently when read again")
+
+
 _ARROW = {"bigint": pa.int64(), "string": pa.string(), "int": pa.int32()}
 
 

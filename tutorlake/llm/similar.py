@@ -93,6 +93,7 @@ def _prepare(width: int, percent: int):
     def build(chunk: int, rows: list[tuple], flags: np.ndarray) -> pa.Table:
         held = [token_set(row[-1], width) for row in rows]
         known = np.unique(np.concatenate([_counted(s) for s in held])) if held else np.empty(0, np.uint64)
+        exchange.expect(flags, known)
         squeeze, seen, out = zstandard.ZstdCompressor(level=3), set(), []
         for (doc_id, text), tokens in zip(rows, held):
             posts = rests = own = marks = packed = None

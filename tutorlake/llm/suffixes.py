@@ -165,6 +165,7 @@ def without_repeated_bytes(documents: DataFrame, length: int = LENGTH, order: in
     def cut(chunk: int, rows: list[tuple], flags: np.ndarray) -> pa.Table:
         raws, starts, prints, later = _open(cover, rows, flags)
         known, out = np.unique(np.concatenate(prints)), []
+        exchange.expect(later, known)
         for (doc_id, _), raw, at, own in zip(rows, raws, starts, prints):
             hits = at[later[np.searchsorted(known, own)] > 0]
             change = np.zeros(len(raw) + 1, np.int32)
