@@ -1,6 +1,7 @@
 """Corpus pipeline: quality, near duplicates, decontamination, mixing, sharding.
 
-Each stage reads the documents that its predecessor kept and returns documents; the last returns their places.
+Each stage reads the documents that its predecessor kept and returns documents; the last returns their places.  Stages
+decide row by row: rows that share an id, or have none, are documents of their own.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tutorlake.llm import mixing, quality, sharding, similar, templates
-from tutorlake.llm.common import table, unused
+from tutorlake.llm.common import table, unused, with_row
 from tutorlake.session import scratch_path
 
 
@@ -21,21 +22,27 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; rows without id are groups of their own."""
-    classes = similar.similarity_classes(docs)
-    key = unused(docs, "_id")
-    others = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(others, F.col("doc_id") == F.col(key), "left_anti")
+    """One row of each group of near duplicates: the one with the smallest id, a row without id only where none has one.
+
+    Of rows that share the smallest id the first stays.  Rows without words are no duplicates of each other.
+    """
+    rows, row = with_row(docs, "near-rows")
+    classes = similar.similarity_classes(rows.select(F.col(row).alias("doc_id"), "text"))
+    ids = rows.select(F.col(row).alias("doc_id"), F.col("doc_id").cast("long").alias("id"))
+    kept = (classes.join(ids, "doc_id").groupBy("component_id")
+            .agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "doc_id")).alias("least"))
+            .select(F.col("least.doc_id").alias(row)))
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark items, verbatim or with other numbers and names."""
-    return templates.clean(docs, table(spark, sf_dir, "benchmark"))
+    return templates.clean_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as many times as the mix takes it: not at all, once or twice."""
-    return mixing.take(docs, mixing.mixed(docs))
+    """Every row as many times as the mix takes it: not at all, once or twice."""
+    return mixing.take_rows(docs)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,6 +32,12 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def with_row(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The rows, stored with a number of their own, and the name of its column.  The numbers are unique, not gapless."""
+    row = unused(df, "_row")
+    return stored(df.withColumn(row, F.monotonically_increasing_id()), label), row
+
+
 def word_count(text: str) -> Column:
     """Words of a text column as a long; NULL has none."""
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tutorlake.llm.common import numbered, unused, word_count
+from tutorlake.llm.common import numbered, unused, with_row, word_count
 from tutorlake.session import stored
 
 #: Weights of the sources in order, repeating; words of the mix over words of the input; copies of a document at most.
@@ -54,15 +54,16 @@ def uniform(seed: int, *columns: str) -> Column:
 
 
 def mixed(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST,
-          seed: int = 7) -> DataFrame:
+          seed: int = 7, keep: Sequence[str] = ()) -> DataFrame:
     """``doc_id``, ``size``, ``source_size``, ``target``, ``taken``, ``copies`` and ``source``, one row per input row.
 
     Documents without words (missing, empty or blank text) have size 0, are never taken and have 0 copies.  A missing
     source is a source of its own; a missing doc_id ranks like any other value.  Repeated rows share their random
-    number and are ranked next to each other.  Other columns are ignored.
+    number and are ranked next to each other.  Other columns are ignored, but for those named in ``keep``, which follow and
+    decide ties of the ranking; their names must not clash with those of the result.
     """
     sizes = stored(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                                    word_count("text").alias("size")), "mix-sizes")
+                                    word_count("text").alias("size"), *keep), "mix-sizes")
     targets = stored(source_targets(sizes, weights, share, most), "mix-targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     # The margin keeps a ratio that is whole but for rounding from leaving a stray fraction.
@@ -75,7 +76,7 @@ def mixed(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
     odds = F.col("chance") / (1 - F.col("chance"))
     rows = rows.withColumn("rank", u / (1 - u) / odds)
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.asc_nulls_last("source"), F.col("rank"), F.asc_nulls_last("doc_id"), F.col("size")]
+    order = [F.asc_nulls_last("source"), F.col("rank"), F.asc_nulls_last("doc_id"), F.col("size"), *keep]
     dealt = stored(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                    .withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.shiftright("at", 33)), "mix-ranks")
     inside = Window.partitionBy("part", "source").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
@@ -89,7 +90,7 @@ def mixed(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
     middle = F.col("offset") + F.col("before") + F.col("size") / 2
     copies = F.when(F.col("size") > 0, F.col("whole") + F.when(middle <= F.col("left"), 1).otherwise(0)).otherwise(F.lit(0))
     return placed.withColumn("copies", copies.cast("long")).select(
-        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source")
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source", *keep)
 
 
 def _few(targets: DataFrame, bound: int = 100_000) -> bool:
@@ -104,3 +105,12 @@ def take(documents: DataFrame, copies: DataFrame) -> DataFrame:
     wanted = copies.groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(number)).filter(F.col(number) > 0)
     return (documents.join(wanted, F.col("doc_id").eqNullSafe(F.col(key)))
             .withColumn(each, F.explode(F.sequence(F.lit(1).cast("long"), F.col(number)))).select(*names))
+
+
+def take_rows(documents: DataFrame) -> DataFrame:
+    """Every row as often as ``mixed`` says of that row, whatever its id."""
+    rows, row = with_row(documents, "mix-rows")
+    number, each = (unused(rows, name) for name in ("_copies", "_copy"))
+    wanted = mixed(rows, keep=[row]).filter("copies > 0").select(row, F.col("copies").alias(number))
+    return (rows.join(wanted, row)
+            .withColumn(each, F.explode(F.sequence(F.lit(1).cast("long"), F.col(number)))).select(*documents.columns))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tutorlake.llm.common import unused, window_hashes, words_of
+from tutorlake.llm.common import unused, window_hashes, with_row, words_of
 from tutorlake.session import stored
 
 #: Tokens of a window.  A shorter benchmark item is one window of its own length, if it has LEAST tokens.
@@ -206,3 +206,10 @@ def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     key = unused(documents, "_id")
     found = contaminated(documents, benchmark).filter("doc_id IS NOT NULL").select(F.col("doc_id").alias(key)).distinct()
     return documents.join(found, F.col("doc_id") == F.col(key), "left_anti")
+
+
+def clean_rows(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows without those that hold benchmark items, whatever their ids."""
+    rows, row = with_row(documents, "leak-rows")
+    found = contaminated(rows.select(F.col(row).alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(row)).distinct()
+    return rows.join(found, row, "left_anti").select(*documents.columns)
