@@ -6,7 +6,11 @@ numbers the placeholders of a window by first occurrence of their value, so only
 pattern meet; across the windows of one alignment a benchmark value must always stand for the same document value.
 That catches questions with other numbers and names and leaves texts alone that merely have the same shape.
 
-Documents send only windows whose plain template may be in the benchmark: a bit table of fixed size says so.
+A second key of a window holds its lower-cased token values alone.  It finds verbatim copies whatever the types of their
+tokens, also of items that are dense in numbers and names, or too short for a template.
+
+Documents send only windows whose plain template or whose values may be in the benchmark: a bit table each, of fixed size,
+says so.
 """
 
 from __future__ import annotations
@@ -23,11 +27,11 @@ from pyspark.sql import functions as F
 from tutorlake.llm.common import unused, window_hashes, with_row, words_of
 from tutorlake.session import stored
 
-#: Tokens of a window.  A shorter benchmark item is one window of its own length, if it has LEAST tokens.
+#: Tokens of a window.  A shorter benchmark item is one window of its own length; a template has LEAST tokens.
 WIDTH, LEAST = 13, 5
-#: Share of a window's tokens that must be plain words.
+#: Share of a template's tokens that must be plain words.
 PLAIN = 0.5
-#: Cells of the bit table that is sent to every task: 512 KB whatever the benchmark's size.
+#: Cells of each bit table that is sent to every task: 512 KB whatever the benchmark's size.
 CELLS = 1 << 22
 
 # Unit words, number words and common first names.
@@ -127,37 +131,45 @@ def _signed(numbers: list[int]) -> list[int]:
     return [n - (1 << 64) if n >= 1 << 63 else n for n in numbers]
 
 
-_WINDOWS = "id long, at int, width int, word int, last_word int, loose long, key long, slots array<long>"
+_WINDOWS = "id long, at int, width int, word int, last_word int, loose long, key long, slots array<long>, same boolean"
+
+
+def _set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places of the hashes whose cell is set."""
+    cell = (hashes % np.uint64(CELLS)).astype(np.int64)
+    return np.flatnonzero(bits[cell >> 3] >> (cell & 7).astype(np.uint8) & 1)
 
 
 def _windows(table: DataFrame, widths: list[int] | None, cells, whole_items: bool) -> DataFrame:
-    """Windows of the texts (``id``, ``text``): all, or those whose cell is set."""
+    """Windows of the texts (``id``, ``text``), by template and by value (``same``): all, or those whose cell is set."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, bits = Lexicon(), None if cells is None else np.frombuffer(cells.value, np.uint8)
+        lexicon, bits = Lexicon(), None if cells is None else np.frombuffer(cells.value, np.uint8).reshape(2, -1)
         for batch in batches:
             out = []
             for row_id, text in zip(batch.column("id").to_pylist(), batch.column("text")):
                 types, values, plain, words = lexicon.tokens(text.as_py())
                 own = [min(WIDTH, len(types))] if whole_items else widths
                 for width in own:
-                    if width < LEAST or len(types) < width:
+                    if width < 1 or len(types) < width:
+                        continue
+                    exact = window_hashes(values, width)
+                    for i in (np.arange(len(exact)) if bits is None else _set(bits[1], exact)).tolist():
+                        number = _signed([int(exact[i])])
+                        out.append((row_id, i, width, int(words[i]), int(words[i + width - 1]), *number, *number, [], True))
+                    if width < LEAST:
                         continue
                     loose = window_hashes(plain, width)
-                    if bits is None:
-                        chosen = np.arange(len(loose))
-                    else:
-                        cell = (loose % np.uint64(CELLS)).astype(np.int64)
-                        chosen = np.flatnonzero(bits[cell >> 3] >> (cell & 7).astype(np.uint8) & 1)
-                    for i in chosen.tolist():
+                    for i in (np.arange(len(loose)) if bits is None else _set(bits[0], loose)).tolist():
                         kinds = types[i:i + width]
                         if np.count_nonzero(kinds == 0) < PLAIN * width:
                             continue
                         key, slots = window_key(kinds, values[i:i + width])
                         out.append((row_id, i, width, int(words[i]), int(words[i + width - 1]),
-                                    *_signed([int(loose[i])]), key, _signed(slots)))
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            names = ("id", "at", "width", "word", "last_word", "loose", "key", "slots")
+                                    *_signed([int(loose[i])]), key, _signed(slots), False))
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()),
+                     pa.bool_())
+            names = ("id", "at", "width", "word", "last_word", "loose", "key", "slots", "same")
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for t, c in zip(kinds, zip(*out))], names)
 
@@ -168,7 +180,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id``, ``item_id``, ``n_windows``, ``first_word``, ``last_word``, ``verbatim``: where documents hold benchmark items.
 
     One row per document, item and alignment; of items that share a window the smallest id is named.  ``verbatim`` says
-    that all slots have the benchmark's values.  Texts that are missing, empty or too short match nothing; repeated
+    that all slots have the benchmark's values.  An item of fewer than LEAST tokens is found verbatim only.
+    Texts that are missing or empty match nothing; repeated
     documents are reported once; a missing doc_id is reported as such.  Items without id or text are left out.
     Clashing further columns are ignored.
     """
@@ -176,25 +189,28 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.filter("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     items = stored(_windows(items, None, None, True), "leak-items")
     # Of windows with one key the smallest item stands for all: a hot template meets a document once.
-    known = stored(items.groupBy("key").agg(F.min(F.struct("id", "at", "width", "slots")).alias("i"))
-                   .select("key", F.col("i.id").alias("item_id"), F.col("i.at").alias("item_at"),
+    known = stored(items.groupBy("same", "key").agg(F.min(F.struct("id", "at", "width", "slots")).alias("i"))
+                   .select("same", "key", F.col("i.id").alias("item_id"), F.col("i.at").alias("item_at"),
                            F.col("i.slots").alias("item_slots")), "leak-keys")
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # at most WIDTH of them
-    bits = np.zeros(CELLS // 8, np.uint8)
-    cell = F.col("loose").bitwiseAND(F.lit(CELLS - 1)).cast("int")
-    marked = items.select(cell.alias("cell")).distinct().toPandas()["cell"].to_numpy()  # at most CELLS numbers
+    bits = np.zeros(2 * CELLS // 8, np.uint8)
+    cell = F.col("loose").bitwiseAND(F.lit(CELLS - 1)).cast("int") + F.when(F.col("same"), CELLS).otherwise(0)
+    marked = items.select(cell.alias("cell")).distinct().toPandas()["cell"].to_numpy()  # at most 2 * CELLS numbers
     np.bitwise_or.at(bits, marked >> 3, (1 << (marked & 7)).astype(np.uint8))
     sent = spark.sparkContext.broadcast(bits.tobytes())
     texts = documents.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    hits = _windows(texts, widths, sent, False).dropDuplicates(["id", "at", "width", "key"]).join(known, "key")
+    hits = _windows(texts, widths, sent, False).dropDuplicates(["id", "at", "width", "same", "key"]).join(known, ["same", "key"])
     hits = stored(hits.withColumn("shift", F.col("at") - F.col("item_at")), "leak-hits")
     slots = hits.select("id", "item_id", "shift", F.explode(F.arrays_zip("item_slots", "slots")).alias("s"))
     torn = (slots.groupBy("id", "item_id", "shift", "s.item_slots").agg(F.min("s.slots").alias("lo"), F.max("s.slots").alias("hi"))
             .filter("lo <> hi").select("id", "item_id", "shift").distinct())
-    groups = hits.groupBy("id", "item_id", "shift").agg(
+    # A window that is found by template and by value counts once.
+    equal = F.col("same") | (F.col("slots") == F.col("item_slots"))
+    once = hits.groupBy("id", "item_id", "shift", "at", "width").agg(
+        F.min("word").alias("word"), F.max("last_word").alias("last_word"), F.max(equal).alias("equal"))
+    groups = once.groupBy("id", "item_id", "shift").agg(
         F.count(F.lit(1)).alias("n_windows"), F.min("word").alias("first_word"), F.max("last_word").alias("last_word"),
-        F.min(F.col("slots") == F.col("item_slots")).alias("verbatim"),
-        F.max(F.col("slots") == F.col("item_slots")).alias("some_verbatim"))
+        F.min("equal").alias("verbatim"), F.max("equal").alias("some_verbatim"))
     torn = torn.select(F.col("id").alias("i"), F.col("item_id").alias("t"), F.col("shift").alias("s"), F.lit(True).alias("torn"))
     groups = groups.join(torn, F.col("id").eqNullSafe(F.col("i")) & (F.col("item_id") == F.col("t")) & (F.col("shift") == F.col("s")), "left")
     return groups.filter("some_verbatim OR torn IS NULL").select(
