@@ -21,3 +21,25 @@ def test_verbatim_copies_need_no_plain_words(spark):
     assert all(r.verbatim for r in found)
     whole = next(r for r in found if r.doc_id == 4)
     assert (whole.n_windows, whole.first_word, whole.last_word) == (1, len(OWN.split()), len(OWN.split()) + 9)
+
+
+ITEM = ("A train leaves the northern station with 48 passengers and after 3 hours it has carried Alice over 210 km "
+        "through the valley to the old harbour, where 48 others wait for the next departure.")
+
+
+def test_every_sibling_is_compared(spark):
+    sibling = ITEM.replace("48 others", "61 others")
+    changed = sibling.replace("48", "52").replace("61", "70").replace(" 3 ", " 5 ").replace("210", "300")
+    found = _found(spark, [(1, ITEM), (2, sibling), (3, sibling)], [(1, f"{OWN} {ITEM}"), (2, f"{OWN} {sibling} {OWN}"), (3, f"{OWN} {changed}")])
+    assert {(r.doc_id, r.item_id): r.verbatim for r in found} == {(1, 1): True, (1, 2): False, (2, 1): False, (2, 2): True, (3, 2): False}
+    whole = next(r for r in found if (r.doc_id, r.item_id) == (2, 2))
+    assert whole.n_windows == len(ITEM.split()) - templates.WIDTH + 1
+    assert whole.last_word == len(OWN.split()) + len(ITEM.split()) - 1
+
+
+def test_siblings_whose_shared_value_stands_for_two(spark):
+    before, after = "how many of the {} boxes did the old carrier bring up that day", "and then how many of these {} boxes were left at the gate"
+    items = [(1, f"{before} {after}".format(40, 40)), (2, f"{before} {after}".format(40, 55))]
+    found = _found(spark, items, [(7, f"{OWN} {before} {after}".format(81, 93)), (8, f"{OWN} {before} {after}".format(81, 81))])
+    assert {(r.doc_id, r.item_id) for r in found} >= {(7, 2), (8, 1)}
+    assert not any(r.verbatim for r in found)

@@ -179,19 +179,19 @@ def _windows(table: DataFrame, widths: list[int] | None, cells, whole_items: boo
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id``, ``item_id``, ``n_windows``, ``first_word``, ``last_word``, ``verbatim``: where documents hold benchmark items.
 
-    One row per document, item and alignment; of items that share a window the smallest id is named.  ``verbatim`` says
-    that all slots have the benchmark's values.  An item of fewer than LEAST tokens is found verbatim only.
+    One row per document, item and alignment; items that share a window are all named, of items with one text the
+    smallest id.  ``verbatim`` says that all slots have the item's values.  An item of fewer than LEAST tokens is found verbatim only.
     Texts that are missing or empty match nothing; repeated
     documents are reported once; a missing doc_id is reported as such.  Items without id or text are left out.
     Clashing further columns are ignored.
     """
     spark = documents.sparkSession
-    items = benchmark.filter("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    items = benchmark.filter("item_id IS NOT NULL").groupBy(F.col("text").cast("string").alias("text")).agg(
+        F.min(F.col("item_id").cast("long")).alias("id")).select("id", "text")
     items = stored(_windows(items, None, None, True), "leak-items")
-    # Of windows with one key the smallest item stands for all: a hot template meets a document once.
-    known = stored(items.groupBy("same", "key").agg(F.min(F.struct("id", "at", "width", "slots")).alias("i"))
-                   .select("same", "key", F.col("i.id").alias("item_id"), F.col("i.at").alias("item_at"),
-                           F.col("i.slots").alias("item_slots")), "leak-keys")
+    # Items with one template and other values stay apart, so that each one's slots are checked along its whole alignment.
+    known = stored(items.groupBy("same", "key", "id", "slots").agg(F.min("at").alias("item_at"))
+                   .select("same", "key", F.col("id").alias("item_id"), "item_at", F.col("slots").alias("item_slots")), "leak-keys")
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # at most WIDTH of them
     bits = np.zeros(2 * CELLS // 8, np.uint8)
     cell = F.col("loose").bitwiseAND(F.lit(CELLS - 1)).cast("int") + F.when(F.col("same"), CELLS).otherwise(0)
