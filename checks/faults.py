@@ -197,9 +197,15 @@ _PULLED = [f"SELECT * FROM fx_attendance WHERE pull_date <= DATE '{_DAYS[0]}'",
            *(f"SELECT * FROM fx_attendance WHERE pull_date = DATE '{day}'" for day in _DAYS[1:])]
 
 
-def _chain_sql() -> str:
+#: Three loads that deal every row by ranges of dates; without a date it is in the first.
+_RANGES = [f"SELECT * FROM fx_attendance WHERE pull_date <= DATE '{_DAYS[0]}' OR pull_date IS NULL",
+           f"SELECT * FROM fx_attendance WHERE pull_date > DATE '{_DAYS[0]}' AND pull_date <= DATE '{_DAYS[1]}'",
+           f"SELECT * FROM fx_attendance WHERE pull_date > DATE '{_DAYS[1]}'"]
+
+
+def _chain_sql(pulled: list[str]) -> str:
     """Raw rows of the loads, the first load's dates in order; each date's rows keep the identity first seen."""
-    seen = " UNION ALL ".join(f"SELECT *, {i} AS load FROM ({text}) r{i}" for i, text in enumerate(_PULLED))
+    seen = " UNION ALL ".join(f"SELECT *, {i} AS load FROM ({text}) r{i}" for i, text in enumerate(pulled))
     last = "pull_date attendance_status".split()
     first = "batch_id batch_name bundle_id bundle_name class_date_parsed attendance_id teacher_id teacher_name class_duration".split()
     identity = fold_sql("(SELECT * FROM seen WHERE NOT staff)", ["student_id", "class_id"], ["load", "pull_date", *SEQ], first=first)
@@ -217,11 +223,7 @@ SELECT batch_id, class_id, bundle_id, class_date, present_count, late_count, abs
                   identity=identity, latest=latest, current=current, per_pull=per_pull, picked=picked, kept=kept)
 
 
-@query("attendance_chain", _chain_sql())
-def _(spark, sf_dir):
-    rows = attendance_checks.raw(spark, sf_dir).withColumn("is_staff", predicates.staff_at_ingest(F.col("student_email")))
-    day = F.col("pull_date")
-    loads = [rows.filter(day <= F.lit(_DAYS[0]).cast("date")), *(rows.filter(day == F.lit(d).cast("date")) for d in _DAYS[1:])]
+def _chained(loads: list[DataFrame]) -> DataFrame:
     bronze = classes = None
     for number, load in enumerate(loads):
         done = attendance.load_pull(load, F.timestamp_seconds(F.lit(1700000000 + number)), bronze, classes)
@@ -230,6 +232,21 @@ def _(spark, sf_dir):
                           "total_records", "attendance_pct", "pull_date", "class_number")
 
 
+@query("attendance_chain", _chain_sql(_PULLED))
+def _(spark, sf_dir):
+    rows = attendance_checks.raw(spark, sf_dir).withColumn("is_staff", predicates.staff_at_ingest(F.col("student_email")))
+    day = F.col("pull_date")
+    return _chained([rows.filter(day <= F.lit(_DAYS[0]).cast("date")), *(rows.filter(day == F.lit(d).cast("date")) for d in _DAYS[1:])])
+
+
+@query("attendance_chain_all_pulls", _chain_sql(_RANGES))
+def _(spark, sf_dir):
+    """The chain over every row; ``attendance_chain`` takes a subset by date, as its SQL does."""
+    rows = attendance_checks.raw(spark, sf_dir).withColumn("is_staff", predicates.staff_at_ingest(F.col("student_email")))
+    day, (first, second) = F.col("pull_date"), (F.lit(d).cast("date") for d in _DAYS[:2])
+    return _chained([rows.filter((day <= first) | day.isNull()), rows.filter((day > first) & (day <= second)), rows.filter(day > second)])
+
+
 # --- results whose order counts, and the smaller sinks ------------------------
 
 
