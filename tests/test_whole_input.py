@@ -1,8 +1,8 @@
-"""Checks over whole tables: every pull takes part in the chain."""
+"""Checks over whole tables: every pull takes part in the chain, every event has its preview."""
 
 import pytest
 
-from __spark_entry__ import oracle_sql
+from __spark_entry__ import oracle_sql, queries
 from checks import faults
 from checks.compare import connect
 
@@ -20,3 +20,7 @@ def test_chain_takes_every_pull(duck):
     every = " UNION ALL ".join(f"({load})" for load in faults._RANGES)
     loaded, stored = duck.sql(f"{head} SELECT (SELECT count(*) FROM ({every}) e), (SELECT count(*) FROM fx_attendance)").fetchall()[0]
     assert loaded == stored
+
+
+def test_preview_of_every_event(spark):
+    assert queries()["events_body_preview_all"](spark, SF_DIR).count() == spark.read.parquet(f"{SF_DIR}/events.parquet").count()
