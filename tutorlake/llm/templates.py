@@ -64,9 +64,10 @@ class Lexicon:
 
     def clear(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.kinds: list[int] = []
-        self.hashes: list[int] = []
-        self.ends: list[bool] = []
+        # Longer than the index; doubled when full.
+        self.kinds = np.empty(1024, np.int8)
+        self.hashes = np.empty(1024, np.uint64)
+        self.ends = np.empty(1024, bool)
 
     def _add(self, raw: bytes) -> int:
         text = raw.decode("utf-8", "surrogatepass")
@@ -84,10 +85,12 @@ class Lexicon:
             kind = NAME_LIKE
         else:
             kind = WORD_KIND
-        self.index[raw] = place = len(self.kinds)
-        self.kinds.append(kind)
-        self.hashes.append(xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")))
-        self.ends.append(text.rstrip("\"')]»”").endswith((".", "!", "?", ":")))
+        self.index[raw] = place = len(self.index)
+        if place == len(self.kinds):
+            self.kinds, self.hashes, self.ends = (np.concatenate((x, np.empty_like(x))) for x in (self.kinds, self.hashes, self.ends))
+        self.kinds[place] = kind
+        self.hashes[place] = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass"))
+        self.ends[place] = text.rstrip("\"')]»”").endswith((".", "!", "?", ":"))
         return place
 
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -96,12 +99,11 @@ class Lexicon:
         if len(self.index) > self.BOUND:
             self.clear()
         find = self.index.get
-        at = [find(w) for w in words]
-        if None in at:
-            at = [self._add(w) if (i := find(w)) is None else i for w in words]
-        kinds = np.array([self.kinds[i] for i in at], np.int8)
-        values = np.array([self.hashes[i] for i in at], np.uint64)
-        ends = np.array([self.ends[i] for i in at], bool)
+        places = list(map(find, words))
+        if None in places:
+            places = [self._add(w) if (i := find(w)) is None else i for w in words]
+        at = np.fromiter(places, np.int64, len(places))
+        kinds, values, ends = self.kinds[at], self.hashes[at], self.ends[at]
         kept = np.flatnonzero(kinds != NOTHING)
         kinds, values, ends = kinds[kept], values[kept], ends[kept]
         starts = np.concatenate(([True], ends[:-1])) if len(ends) else ends
