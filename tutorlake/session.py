@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+_CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cores: int | str = "*", app: str = "tutorlake", **extra: str) -> SparkSession:
     """A local session for tests and the benchmark."""
@@ -57,6 +59,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     For results with several readers: each would otherwise compute it again,
     and a lost executor would send Spark back to the sources.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    # Once the table is written nothing reads the shuffles behind it; without this they stay until the driver collects garbage.
+    kept = spark.conf.get(_CLEAN_SHUFFLES, None)
+    spark.conf.set(_CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if kept is None:
+            spark.conf.unset(_CLEAN_SHUFFLES)
+        else:
+            spark.conf.set(_CLEAN_SHUFFLES, kept)
+    return spark.read.schema(df.schema).parquet(path)
