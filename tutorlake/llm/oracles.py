@@ -38,3 +38,35 @@ scores AS (
  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores)
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20"""
+
+# The checksum is not built in: its table comes from the polynomial, a letter beyond 127 is two bytes.
+OP13 = r"""
+WITH RECURSIVE runs AS (
+ SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+ FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS times FROM runs WHERE length(run) >= 5 GROUP BY 1, 2),
+crc AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS t
+ FROM range(256) AS r(i)),
+summed AS (
+ SELECT run, times, doc_id, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+  string_split(doc_id || ':' || run, ''), lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)] ELSE [195, ord(x) - 64] END))),
+  lambda c, b: xor(c // 256, t[1 + xor(c % 256, b)]))) AS h
+ FROM counted, crc),
+typed AS (
+ SELECT CASE WHEN doc_id IS NOT NULL AND h % 97 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+  ELSE run END AS word, times FROM summed),
+vocabulary AS (
+ SELECT word, CAST(sum(times) AS BIGINT) AS n FROM typed WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+cuts AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM vocabulary, UNNEST(range(1, length(word) + 1)) AS u(i)),
+near AS (
+ SELECT a.word, b.word AS other, b.n FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+ UNION SELECT a.word, v.word, v.n FROM cuts a JOIN vocabulary v ON v.word = a.rest
+ UNION SELECT v.word, a.word, a.n FROM cuts a JOIN vocabulary v ON v.word = a.rest),
+best AS (SELECT word, count(*) AS n_near, max(n) AS most, arg_min(other, (-n, other)) AS other FROM near GROUP BY word),
+found AS (
+ SELECT v.word, CASE WHEN most >= 2 * v.n THEN other END AS form, v.n, coalesce(n_near, 0) AS n_near,
+  CASE WHEN most >= 2 * v.n THEN most END AS form_n FROM vocabulary v LEFT JOIN best USING (word)),
+path AS (
+ SELECT word, word AS at FROM found UNION ALL SELECT p.word, f.form FROM path p JOIN found f ON f.word = p.at WHERE f.form IS NOT NULL),
+ends AS (SELECT p.word, p.at AS root FROM path p JOIN found f ON f.word = p.at WHERE f.form IS NULL)
+SELECT f.word, f.form, e.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n FROM found f JOIN ends e USING (word)"""

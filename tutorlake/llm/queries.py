@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tutorlake.llm import debruijn, mixing, oracles, pii, quality, secrets, sharding, similar, suffixes, templates, topk
+from tutorlake.llm import (
+    alignment, debruijn, kneserney, mixing, oracles, pii, quality, secrets, sharding, similar, suffixes, templates, topk, variants,
+)
 from tutorlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +73,18 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_suffix_array_dedup")
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.without_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+@_query("op11_tokenizer_alignment")
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_measures(table(spark, sf_dir, "documents"))
+
+
+@_query("op12_language_model_scores")
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneserney.language_scores(table(spark, sf_dir, "documents"))
+
+
+@_query("op13_spelling_variants", oracles.OP13)
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
