@@ -30,8 +30,8 @@ SYMBOLS = "01234567"
 LEAST_LENGTH, LEAST_COUNT = 5, 3
 #: A form occurs at least this many times as often as the word.
 RATIO = 2
-#: Bits of the table of reduced words: 16 MB, in pieces of 4 KB.
-BITS = 1 << 27
+#: Bits of the table of reduced words, 8 MB of them, and the bits of one bucket, which the bitmap functions fix.
+BITS, BUCKET = 1 << 26, 1 << 15
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -54,39 +54,50 @@ def reduced(word: Column) -> Column:
     return F.translate(word, letters, "".join(SYMBOLS[zlib.crc32(c.encode()) % len(SYMBOLS)] for c in letters))
 
 
-def neighbourhood(word: Column) -> Column:
-    """All reduced words within one edit of a reduced word, itself included, as an array without repeats."""
-    symbols = F.array(*[F.lit(s) for s in SYMBOLS])
-    places, gaps = F.sequence(F.lit(1), F.length(word)), F.sequence(F.lit(0), F.length(word))
+def neighbourhoods(words: DataFrame, form: str = "form") -> DataFrame:
+    """``word`` and ``form``: all reduced words within one edit of the reduced word, itself included, each once.
 
-    def before(i: Column, n: int) -> Column:
-        return word.substr(F.lit(1), i - n)
-
-    def after(i: Column) -> Column:
-        return word.substr(i + 1, F.length(word))
-
-    deleted = F.transform(places, lambda i: F.concat(before(i, 1), after(i)))
-    replaced = F.flatten(F.transform(places, lambda i: F.transform(symbols, lambda s: F.concat(before(i, 1), s, after(i)))))
-    inserted = F.flatten(F.transform(gaps, lambda i: F.transform(symbols, lambda s: F.concat(before(i, 0), s, after(i)))))
-    return F.array_distinct(F.concat(F.array(word), deleted, replaced, inserted))
+    Every place of a word is met by every symbol, which is inserted before the place or replaces what stands there; without
+    a symbol the place is deleted.  Edits with the same outcome are told apart by place: a symbol is inserted behind its
+    like, and of a run the first place is deleted.
+    """
+    none = F.lit("")
+    edits = F.array(*[F.struct(F.lit(s).alias("put"), F.lit(drop).alias("drop")) for s in ("", *SYMBOLS) for drop in (False, True)])
+    places = words.select("word", reduced(F.col("word")).alias("whole"), F.explode(F.sequence(F.lit(0), F.length("word"))).alias("at"))
+    cut = places.select("word", "at", F.substr("whole", F.lit(1), F.col("at")).alias("head"),
+                        F.substr("whole", F.col("at") + 1, F.lit(1)).alias("here"), F.substr("whole", F.col("at") + 2).alias("rest"),
+                        F.substr("whole", F.col("at"), F.least("at", F.lit(1))).alias("last"))
+    edit = cut.select("*", F.explode(edits).alias("edit")).select("word", "at", "head", "here", "rest", "last", "edit.put", "edit.drop")
+    put, here = F.col("put"), F.col("here")
+    whole = (put == none) & ~F.col("drop") & (F.col("at") == 0)
+    deleted = (put == none) & F.col("drop") & (here != none) & (here != F.col("last"))
+    placed = (put != none) & (put != here) & (~F.col("drop") | (here != none))
+    outcome = F.concat("head", put, F.when(F.col("drop"), none).otherwise(here), "rest")
+    return edit.filter(whole | deleted | placed).select("word", outcome.alias(form))
 
 
 def _bit_of(form: Column) -> Column:
     return F.pmod(F.xxhash64(form), F.lit(BITS))
 
 
+def _bit_table(forms: DataFrame) -> DataFrame:
+    """``bucket`` and ``numbers``: the bits of all forms, 32 in a number, a fixed count of numbers in a bucket."""
+    marked = forms.select(_bit_of(F.col("form")).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap"))
+    four = F.transform(F.sequence(F.lit(0), F.lit(BUCKET // 32 - 1)), lambda i: F.conv(
+        F.hex(F.substr("bitmap", i * 4 + 1, F.lit(4))), 16, 10).cast("long"))
+    return marked.select("bucket", four.alias("numbers"))
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """``word``, ``near``, ``near_n``: every ordered pair of words that differ by exactly one edit."""
     forms = words.select(F.col("word").alias("near"), F.col("n").alias("near_n"), reduced(F.col("word")).alias("form"))
-    bits = (forms.select(_bit_of(F.col("form")).alias("bit"))
-            .groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap")))
-    asked = words.select("word", F.explode(neighbourhood(reduced(F.col("word")))).alias("form"))
-    asked = asked.withColumn("bit", _bit_of(F.col("form"))).withColumn("bucket", F.bitmap_bucket_number("bit"))
-    at = F.bitmap_bit_position("bit")
-    # One byte of a piece, read as a number: the bit of the asked form in it.
-    byte = F.conv(F.hex(F.substring("bitmap", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    known = asked.join(F.broadcast(bits), "bucket").filter(F.getbit(byte, (at % 8).cast("int")) == 1).select("word", "form")
+    asked = neighbourhoods(words).withColumn("bit", _bit_of(F.col("form"))).withColumn("bucket", F.bitmap_bucket_number("bit"))
+    at = F.bitmap_bit_position("bit").cast("int")
+    # Of a number's four bytes the first is the highest.
+    number, place = F.get("numbers", F.shiftright(at, 5)), (3 - F.shiftright(at, 3) % 4) * 8 + at % 8
+    asked = asked.join(F.broadcast(_bit_table(forms)), "bucket")
+    known = asked.filter(F.getbit(number, place) == 1).select("word", "form")
     met = known.join(forms, "form").filter(F.col("word") != F.col("near"))
     return met.filter(F.levenshtein("word", "near", 1) == 1).select("word", "near", "near_n")
 
