@@ -22,8 +22,10 @@ results are exact but for their collisions.  A text must fit a Python worker sev
 
 from __future__ import annotations
 
+import itertools
 import os
 import uuid
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -35,10 +37,10 @@ from pyspark.sql import functions as F
 from tutorlake.llm.common import mix, pack, pack_plain, unpack, unpack_plain, word_hashes
 from tutorlake.session import scratch_path
 
-#: Words of the longest n-gram.
-ORDER = 3
+#: Words of the longest n-gram.  Three fit neither the disk nor the seconds that the check tool allows; see README.
+ORDER = 2
 #: Text bytes of a chunk; one longer text is a chunk of its own.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: Numbers of the marks before a text, after it, and of unknown words; words follow.
 BEGIN, END, UNKNOWN, FIRST = 0, 1, 2, 3
 #: Bits of a hash that find the stretch of a file in which its 32 kept bits are searched.
@@ -90,11 +92,11 @@ def _words(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndar
 
     ``bytes.lower`` changes A to Z alone, and ``bytes.split`` cuts at the blanks and control characters 9 to 13.
     """
-    place: dict[bytes, int] = {}
+    place: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
     parts, lengths = [], []
     for text in texts:
         found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-        parts.append(np.fromiter((place.setdefault(w, len(place)) for w in found), np.int64, len(found)))
+        parts.append(np.fromiter(map(place.__getitem__, found), np.int64, len(found)))
         lengths.append(len(found))
     return word_hashes(list(place)), np.concatenate(parts), np.array(lengths, np.int64)
 
@@ -113,12 +115,33 @@ def _by_part(hashes: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
         yield int(parts[begin]), slice(int(begin), int(end))
 
 
-def _totals(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys in ascending order, where one row of each is, and the sums of their values (rows by columns)."""
-    order = np.argsort(keys, kind="stable")
-    ordered = keys[order]
-    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    return ordered[first], order[first], np.add.reduceat(values[order], first, axis=0)
+def _first_of_runs(columns: list[np.ndarray]) -> np.ndarray:
+    """Where rows of ascending columns differ from the row before."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
+        new[1:] = columns[0][1:] != columns[0][:-1]
+        for column in columns[1:]:
+            new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
+def _summed(columns: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Distinct rows in ascending order and the sums of their values."""
+    order = np.argsort(columns[0]) if len(columns) == 1 else np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    first = _first_of_runs(columns)
+    return [c[first] for c in columns], [np.add.reduceat(v[order], first) if len(first) else v[:0] for v in values]
+
+
+def _counted(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows in ascending order and how often each occurs."""
+    if len(columns) == 1:
+        columns = [np.sort(columns[0])]
+    else:
+        order = np.lexsort(columns[::-1])
+        columns = [c[order] for c in columns]
+    first = _first_of_runs(columns)
+    return [c[first] for c in columns], np.diff(first, append=len(columns[0]))
 
 
 # Messages -----------------------------------------------------------------------
@@ -147,35 +170,22 @@ def _unseal(body: bytes) -> list[np.ndarray]:
     return columns
 
 
-def _fused(grams: np.ndarray) -> list[np.ndarray]:
-    """Numbers of an n-gram (rows by places) two to a 64-bit column."""
-    places = [grams[:, i] for i in range(grams.shape[1])]
-    return [places[i] << np.uint64(32) | places[i + 1] if i + 1 < len(places) else places[i] for i in range(0, len(places), 2)]
-
-
-def _parted(columns: list[np.ndarray], order: int) -> np.ndarray:
-    low = np.uint64(0xFFFFFFFF)
-    places = [c for i, column in enumerate(columns)
-              for c in ((column >> np.uint64(32), column & low) if 2 * i + 1 < order else (column,))]
-    return np.stack(places, axis=1)
-
-
-def gram_hashes(grams: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(grams), np.uint64)
-    for i in range(grams.shape[1]):
-        total = mix(total + grams[:, i], salt=i + 1)
+def gram_hashes(columns: list[np.ndarray]) -> np.ndarray:
+    """Hashes of n-grams, given as columns of two numbers each."""
+    total = np.zeros(len(columns[0]), np.uint64)
+    for i, column in enumerate(columns):
+        total = mix(total + column, salt=i + 1)
     return total
 
 
-def _messages(grams: np.ndarray, values: np.ndarray, bits: int) -> Iterator[tuple[int, bytes]]:
-    """Distinct n-grams with summed values, one message for each range; inside it the columns ascend."""
-    if not len(grams):
-        return
-    hashes, at, sums = _totals(gram_hashes(grams), values)
-    for part, span in _by_part(hashes, bits):
-        columns, own = _fused(grams[at[span]]), sums[span]
-        order = np.lexsort(columns[::-1])
-        yield part, _seal([c[order] for c in columns] + [own[order, i].astype(np.uint64) for i in range(own.shape[1])])
+def _messages(columns: list[np.ndarray], values: list[np.ndarray], bits: int) -> Iterator[tuple[int, bytes]]:
+    """Distinct ascending n-grams with their values, one message for each range of their hash."""
+    parts = (gram_hashes(columns) >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
+    order = np.argsort(parts, kind="stable")
+    parts, columns, values = parts[order], [c[order] for c in columns], [v[order].astype(np.uint64) for v in values]
+    first = np.flatnonzero(np.diff(parts.astype(np.int64), prepend=-1))
+    for begin, end in zip(first, np.append(first[1:], len(parts))):
+        yield int(parts[begin]), _seal([x[begin:end] for x in (*columns, *values)])
 
 
 # Files --------------------------------------------------------------------------
@@ -216,12 +226,20 @@ def _kept_bits(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
         (hashes >> (below - np.uint64(32))) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
-def _write_grams(path: str, hashes: np.ndarray, values: np.ndarray, bits: int) -> None:
-    """Ascending hashes of one range and their values."""
-    sub, keys = _kept_bits(hashes, bits)
+def _write_grams(path: str, columns: list[np.ndarray], values: list[np.ndarray], bits: int) -> None:
+    """The n-grams of one range and their values; values of few distinct rows are stored as codes."""
+    hashes = gram_hashes(columns)
+    order = np.argsort(hashes)
+    sub, keys = _kept_bits(hashes[order], bits)
     starts = np.searchsorted(sub, np.arange((1 << SUB) + 1)).astype(np.uint64)
-    table, codes = np.unique(values, axis=0, return_inverse=True)
-    _write(path, [starts, table.astype(np.uint64).ravel(), codes.astype(_least_kind(len(table))), keys])
+    # Rows become codes column by column: the code so far and the next value make the next code.
+    codes, table = np.zeros(len(hashes), np.int64), [np.zeros(1, np.int64)]
+    for value in values:
+        width = int(value.max()) + 1 if len(value) else 1
+        distinct, codes = np.unique(codes * width + value, return_inverse=True)
+        table = [t[distinct // width] for t in table] + [distinct % width]
+    table = np.stack(table[1:] + [np.zeros_like(table[0])] * (VALUES - len(values)), axis=1)
+    _write(path, [starts, table.astype(np.uint64).ravel(), codes[order].astype(_least_kind(len(table))), keys])
 
 
 def _look_up(folder: str, hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -256,16 +274,14 @@ def _count_words(texts: DataFrame, folder: str, bits: int) -> list[tuple[int, in
         for rows in _chunks(batches):
             hashes, places, _ = _words(row[-1] for row in rows)
             if len(hashes):
-                counts = np.bincount(places, minlength=len(hashes))
-                ordered, _, sums = _totals(hashes, counts[:, None])
-                yield _sent([(part, _seal([ordered[span], sums[span, 0].astype(np.uint64)]))
+                (ordered,), (counts,) = _summed([hashes], [np.bincount(places, minlength=len(hashes))])
+                yield _sent([(part, _seal([ordered[span], counts[span].astype(np.uint64)]))
                              for part, span in _by_part(ordered, bits)])
 
     def merge(group: pa.Table) -> pa.Table:
         part = group.column("part")[0].as_py()
         bodies = [_unseal(body) for body in group.column("body").to_pylist()]
-        hashes, _, sums = _totals(np.concatenate([b[0] for b in bodies]), np.concatenate([b[1] for b in bodies])[:, None])
-        counts = sums[:, 0]
+        (hashes,), (counts,) = _summed([np.concatenate([b[0] for b in bodies])], [np.concatenate([b[1] for b in bodies])])
         _write(f"{folder}/words/{part:08x}", [hashes, counts.astype(_least_kind(int(counts.max())))])
         return pa.table({"part": pa.array([part], pa.int32()), "words": [len(hashes)], "tokens": [int(counts.sum())]})
 
@@ -290,25 +306,34 @@ def _numbered(model_folder: str, starts: tuple[int, ...], bits: int, hashes: np.
     return numbers, counts
 
 
-def _lines(numbers: np.ndarray, lengths: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+def _lines(words: np.ndarray, lengths: np.ndarray, order: int, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
     """All texts behind each other, each after ``order - 1`` marks and before one; and where a token is to be told."""
     pad = order - 1
     ends = np.cumsum(lengths + pad + 1)
-    line = np.full(int(ends[-1]) if len(ends) else 0, BEGIN, np.uint64)
+    line = np.full(int(ends[-1]) if len(ends) else 0, begin, words.dtype)
     told = np.ones(len(line), bool)
     begins = ends - lengths - pad - 1
     for i in range(pad):
         told[begins + i] = False
-    line[ends - 1] = END
+    line[ends - 1] = end
     word = told.copy()
     word[ends - 1] = False
-    line[word] = numbers
+    line[word] = words
     return line, told
 
 
-def _grams(line: np.ndarray, ends: np.ndarray, order: int) -> np.ndarray:
-    """The n-grams that end at some places."""
-    return np.stack([line[ends - (order - 1 - i)] for i in range(order)], axis=1)
+def _grams(line: np.ndarray, ends: np.ndarray, order: int) -> list[np.ndarray]:
+    """The n-grams that end at some places, two numbers to a column."""
+    places = [line[ends - (order - 1 - i)].astype(np.uint64) for i in range(order)]
+    return [places[i] << np.uint64(32) | places[i + 1] if i + 1 < order else places[i] for i in range(0, order, 2)]
+
+
+def _shorter(columns: list[np.ndarray], order: int, begin: int) -> list[np.ndarray]:
+    """N-grams without their last word (``begin`` 0) or their first (1)."""
+    low = np.uint64(0xFFFFFFFF)
+    places = [x for i, c in enumerate(columns) for x in ((c >> np.uint64(32), c & low) if 2 * i + 1 < order else (c,))]
+    places = places[begin:begin + order - 1]
+    return [places[i] << np.uint64(32) | places[i + 1] if i + 1 < len(places) else places[i] for i in range(0, len(places), 2)]
 
 
 # Training -----------------------------------------------------------------------
@@ -325,22 +350,24 @@ def _merged(order: int, folder: str, bits: int):
             return pa.Table.from_batches([_sent([(part, sums.astype("<i8").tobytes())])])
         columns = [np.concatenate(c) for c in zip(*map(_unseal, bodies))]
         width = (order + 1) // 2
-        grams, values = _parted(columns[:width], order), np.stack(columns[width:], axis=1).astype(np.int64)
-        if values.shape[1] < VALUES:
-            values = np.concatenate((values, np.zeros((len(values), VALUES - values.shape[1]), np.int64)), axis=1)
-        hashes, at, values = _totals(gram_hashes(grams), values)
-        _write_grams(f"{folder}/{order}/{part:08x}", hashes, values, bits)
-        grams, n = grams[at], values[:, 0]
+        grams, values = _summed(columns[:width], [c.astype(np.int64) for c in columns[width:]])
+        del columns, bodies
+        _write_grams(f"{folder}/{order}/{part:08x}", grams, values, bits)
+        n = values[0]
         # Counts of counts, and what the words of the empty context add up to.
         sums = [int(np.count_nonzero(n == k)) for k in (1, 2, 3, 4)] + [int(n.sum()), int(np.count_nonzero(n > 2))]
         out = [(-order, np.array(sums, "<i8").tobytes())]
         if order > 1:
             real = n > 0
-            grams, n, zero = grams[real], n[real], np.zeros(int(real.sum()), np.int64)
-            as_context = np.stack([zero, n, n == 1, n == 2, n > 2], axis=1).astype(np.int64)
-            as_neighbour = np.stack([zero + 1, zero, zero, zero, zero], axis=1)
-            lower = np.concatenate((grams[:, :-1], grams[:, 1:]))
-            out += _messages(lower, np.concatenate((as_context, as_neighbour)), bits)
+            grams, n = [c[real] for c in grams], n[real]
+            # N-grams ascend, so those with one context stand together.
+            contexts = _shorter(grams, order, 0)
+            first = _first_of_runs(contexts)
+            follow = [np.add.reduceat(x, first) if len(first) else n for x in (n, *((n == k).astype(np.int64) for k in (1, 2)), (n > 2).astype(np.int64))]
+            ends, lefts = _counted(_shorter(grams, order, 1))
+            lower = [np.concatenate((c[first], e)) for c, e in zip(contexts, ends)]
+            none, blank = np.zeros(len(first), np.int64), np.zeros(len(lefts), np.int64)
+            out += _messages(*_summed(lower, [np.concatenate((none, lefts)), *(np.concatenate((f, blank)) for f in follow)]), bits)
         return pa.Table.from_batches([_sent(out)])
 
     return merge
@@ -385,9 +412,9 @@ def train(texts: DataFrame, order: int = ORDER) -> Model:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _chunks(batches):
             hashes, places, lengths = _words(row[-1] for row in rows)
-            line, told = _lines(_numbered(folder, starts, bits, hashes)[0][places], lengths, order)
-            grams = _grams(line, np.flatnonzero(told), order)
-            yield _sent(list(_messages(grams, np.ones((len(grams), 1), np.int64), bits)))
+            line, told = _lines(_numbered(folder, starts, bits, hashes)[0][places], lengths, order, BEGIN, END)
+            grams, counts = _counted(_grams(line, np.flatnonzero(told), order))
+            yield _sent(list(_messages(grams, [counts], bits)))
 
     level = texts.select("text").mapInArrow(send, _SENT)
     for n in range(order, 0, -1):
@@ -403,26 +430,34 @@ def train(texts: DataFrame, order: int = ORDER) -> Model:
 # Scoring ------------------------------------------------------------------------
 
 
+def _values(model: Model, line: np.ndarray, ends: np.ndarray, order: int) -> np.ndarray:
+    """Values of the n-grams that end at some places; every distinct one is looked up once, in the order of the hashes."""
+    hashes, place = np.unique(gram_hashes(_grams(line, ends, order)), return_inverse=True)
+    return _look_up(f"{model.folder}/{order}", hashes, model.bits)[place]
+
+
 def _probabilities(model: Model, line: np.ndarray, told: np.ndarray) -> np.ndarray:
     """Probability of every told token after the tokens before it."""
     ends = np.flatnonzero(told)
+    # The n-gram before a told token is its context in the next order; before a text's first token it ends in a mark.
+    wanted = told.copy()
+    wanted[ends - 1] = True
+    every = np.flatnonzero(wanted) if model.order > 1 else ends
+    own = told[every]
     seen, *follow = model.total
     lower = np.full(len(ends), 1.0 / (model.types + 1))
-    context = np.tile(np.array([0, seen, *follow], np.int64), (len(ends), 1))
+    context = np.array([[0, seen, *follow]], np.int64)
     for n in range(1, model.order + 1):
-        grams = gram_hashes(_grams(line, ends, n))
-        # What stands before a token is looked up in the same go: it is the context of the next order.
-        before = gram_hashes(_grams(line, ends - 1, n)) if n < model.order else grams[:0]
-        hashes, place = np.unique(np.concatenate((grams, before)), return_inverse=True)
-        values = _look_up(f"{model.folder}/{n}", hashes, model.bits)
-        count = values[place[:len(grams)], 0]
+        values = _values(model, line, every if n < model.order else ends, n)
+        count = values[own, 0] if n < model.order else values[:, 0]
         d = np.array([0.0, *model.discounts[n - 1]])
         total = context[:, 1]
-        kept = np.maximum(count - d[np.minimum(count, 3)], 0.0)
-        free = context[:, 2:] @ d[1:]
         safe = np.maximum(total, 1)
-        lower = np.where(total > 0, kept / safe + free / safe * lower, lower)
-        context = values[place[len(grams):]]
+        found = np.maximum(count - d[np.minimum(count, 3)], 0.0) / safe + context[:, 2:] @ d[1:] / safe * lower
+        lower = np.where(total > 0, found, lower)
+        if n < model.order:
+            # Rows of ``every`` right before the told ones.
+            context = values[np.flatnonzero(own) - 1]
     return lower
 
 
@@ -434,7 +469,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
         for rows in _chunks(batches):
             hashes, places, lengths = _words(row[-1] for row in rows)
             numbers, counts = _numbered(model.folder, model.starts, model.bits, hashes)
-            line, told = _lines(numbers[places], lengths, model.order)
+            line, told = _lines(numbers[places], lengths, model.order, BEGIN, END)
             tokens = lengths + 1
             first = np.cumsum(tokens) - tokens
             # In the told order each text's words are followed by its end.
