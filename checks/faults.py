@@ -12,10 +12,11 @@ from checks.entities import _BACKFILL_FIRST, KEYS, purchases
 from checks.fixtures import SEQ, fixture, oracle, table
 from tutorlake import session
 from tutorlake.operators import predicates, upsert
+from tutorlake.operators.totals import total_before
 from tutorlake.operators.policies import TRANSACTIONS, TRANSACTIONS_BACKFILL, TRANSACTIONS_INSERT_ONLY
 from tutorlake.plans import attendance, courses, gold, quality, reports
 from tutorlake.sources import csvfiles, pages, sinks
-from tutorlake.streaming.runner import EventPipeline
+from tutorlake.streaming.runner import EventPipeline, read_messages
 
 
 # --- events -----------------------------------------------------------------
@@ -60,12 +61,9 @@ def _(spark, sf_dir):
     pipeline = _pipeline(spark, "retries")
     pipeline.process(_certificates(spark, sf_dir), 0)
     # The queue is mended by hand, as an operator would: all but the events with microseconds.
-    queue = pipeline.retry().drop("problem")
     sound = F.format_string('{"certificate_id":"c%d","user_id":1}', F.col("seq"))
-    mended = queue.withColumn("data", F.when(F.col("seq") % 7 == 1, F.col("data")).otherwise(sound)).withColumn(
-        "event_epoch", F.when(F.col("seq") % 7 == 3, F.lit(None)).otherwise(F.col("event_epoch")))
-    mended = session.stored(mended, "mended")
-    mended.withColumn("problem", F.lit("mended")).write.mode("overwrite").parquet(f"{pipeline.root}/retry/batch=0")
+    pipeline.mend(pipeline.retry().withColumn("data", F.when(F.col("seq") % 7 == 1, F.col("data")).otherwise(sound)).withColumn(
+        "event_epoch", F.when(F.col("seq") % 7 == 3, F.lit(None)).otherwise(F.col("event_epoch"))))
     pipeline.process(_certificates(spark, sf_dir).limit(0), 1)
     counts = [pipeline.table("certificates").read().agg(F.count("*").alias("n")).select(F.lit("certificates").alias("place"), "n"),
               pipeline.retry().agg(F.count("*").alias("n")).select(F.lit("queue").alias("place"), "n")]
@@ -193,10 +191,6 @@ def _(spark, sf_dir):
 # --- attendance, pull by pull ------------------------------------------------
 
 _DAYS = ("1996-03-13", "1997-05-05", "1998-06-01")
-_PULLED = [f"SELECT * FROM fx_attendance WHERE pull_date <= DATE '{_DAYS[0]}'",
-           *(f"SELECT * FROM fx_attendance WHERE pull_date = DATE '{day}'" for day in _DAYS[1:])]
-
-
 #: Three loads that deal every row by ranges of dates; without a date it is in the first.
 _RANGES = [f"SELECT * FROM fx_attendance WHERE pull_date <= DATE '{_DAYS[0]}' OR pull_date IS NULL",
            f"SELECT * FROM fx_attendance WHERE pull_date > DATE '{_DAYS[0]}' AND pull_date <= DATE '{_DAYS[1]}'",
@@ -232,16 +226,9 @@ def _chained(loads: list[DataFrame]) -> DataFrame:
                           "total_records", "attendance_pct", "pull_date", "class_number")
 
 
-@query("attendance_chain", _chain_sql(_PULLED))
-def _(spark, sf_dir):
-    rows = attendance_checks.raw(spark, sf_dir).withColumn("is_staff", predicates.staff_at_ingest(F.col("student_email")))
-    day = F.col("pull_date")
-    return _chained([rows.filter(day <= F.lit(_DAYS[0]).cast("date")), *(rows.filter(day == F.lit(d).cast("date")) for d in _DAYS[1:])])
-
-
 @query("attendance_chain_all_pulls", _chain_sql(_RANGES))
 def _(spark, sf_dir):
-    """The chain over every row; ``attendance_chain`` takes a subset by date, as its SQL does."""
+    """Three loads one after the other, each into the tables that the one before left."""
     rows = attendance_checks.raw(spark, sf_dir).withColumn("is_staff", predicates.staff_at_ingest(F.col("student_email")))
     day, (first, second) = F.col("pull_date"), (F.lit(d).cast("date") for d in _DAYS[:2])
     return _chained([rows.filter((day <= first) | day.isNull()), rows.filter((day > first) & (day <= second)), rows.filter(day > second)])
@@ -251,8 +238,9 @@ def _(spark, sf_dir):
 
 
 def _placed(df: DataFrame) -> DataFrame:
-    """The rows with their place in the result's order."""
-    return df.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+    """The rows with their place in the result's order: the place inside a partition after the rows of those before."""
+    at = session.stored(df.withColumn("__at", F.monotonically_increasing_id()), "placed").withColumn("__n", F.lit(1))
+    return total_before(at, ["__at"], "__n", "place").drop("__at", "__n")
 
 
 @query("report_order", oracle("""
@@ -308,22 +296,59 @@ def _(spark, sf_dir):
 SELECT 'e' || CAST(event_id AS VARCHAR) AS event_id, 'c' || CAST(event_id AS VARCHAR) AS certificate_id FROM events
 WHERE event_id % 7 IN (0, 4)""")
 def _(spark, sf_dir):
+    """The table is built anew beside the old one, takes its place, and is then read."""
     pipeline = _pipeline(spark, "rebuild")
     pipeline.process(_certificates(spark, sf_dir), 0)
-    return pipeline.rebuild("certificates").select("event_id", "certificate_id")
+    pipeline.rebuild_in_place("certificates")
+    return pipeline.table("certificates").read().select("event_id", "certificate_id")
 
 
-@query("events_body_preview", """
-SELECT event_id AS seq, '{"id":"e' || CAST(event_id AS VARCHAR) AS preview FROM events WHERE event_id < 100""")
+@query("events_redelivered_once", """
+SELECT 'e' || CAST(event_id AS VARCHAR) AS event_id, event_id AS seq FROM events""")
 def _(spark, sf_dir):
-    rows = _certificates(spark, sf_dir).filter("seq < 100")
-    return rows.select("seq", quality.preview(F.col("body"), 8 + F.length(F.col("seq").cast("string"))).alias("preview"))
+    """A stream of many micro-batches in which every message comes again later: the log keeps the first of each."""
+    root, rows = session.scratch_path(spark, "redelivered"), _certificates(spark, sf_dir)
+    for shift in (0, 10**9):
+        rows.withColumn("seq", F.col("seq") + shift).repartitionByRange(3, "seq").write.mode("append").json(f"{root}/landing")
+        pipeline = EventPipeline(spark, f"{root}/out", buckets=4)
+        pipeline.start(read_messages(spark, f"{root}/landing", files_per_batch=2), f"{root}/checkpoint").awaitTermination()
+    return pipeline.events().select("event_id", "seq")
+
+
+_BUYERS = """SELECT c_custkey AS u, c_custkey % 5 = 0 AS test_event, c_custkey % 7 = 0 AS test_user FROM customer"""
+
+
+@query("events_cleanup", f"""
+WITH buyers AS ({_BUYERS})
+SELECT 'webhook_events' AS place, count(*) FILTER (WHERE NOT test_event) AS n FROM buyers
+UNION ALL SELECT 'users', count(*) FILTER (WHERE NOT test_user) FROM buyers
+UNION ALL SELECT 'assessments', count(*) FILTER (WHERE NOT test_user) FROM buyers""")
+def _(spark, sf_dir):
+    """Test rows go from the tables that the pipeline itself wrote; neither a repeated nor a later micro-batch brings them back."""
+    key = F.col("c_custkey")
+    user = F.when(key % 7 == 0, key + 99990000).otherwise(key).cast("string")
+    name = F.concat(F.when(key % 5 == 0, F.lit("e2e-")).otherwise(F.lit("ev-")), key.cast("string"))
+    bodies = [F.concat(F.lit('{"id":"'), name, F.lit(f'-{kind}","event_name":"{event}","event_timestamp":1700000000,"data":{{"user_id":'), user, F.lit(f"{more}}}}}"))
+              for kind, event, more in (("u", "user.user_created", ',"email":"a@mail.example"'), ("a", "assessments.test_submitted", ',"attempt_id":1'))]
+    rows = table(spark, sf_dir, "customer").select(
+        F.posexplode(F.array(*bodies)).alias("place", "body"), key.alias("key")).select(
+        (F.col("key") * 2 + F.col("place")).alias("seq"), F.timestamp_seconds(F.lit(1700000000)).alias("received_at"),
+        F.lit("application/json").alias("content_type"), "body")
+    pipeline = EventPipeline(spark, session.scratch_path(spark, "clean"), buckets=4, fan_in=2)
+    pipeline.process(rows, 0)
+    pipeline.clean({"webhook_events": predicates.test_event(F.col("event_id")),
+                    "users": predicates.test_user(F.col("email"), F.col("user_id")),
+                    "assessments": predicates.test_user(None, F.col("user_id"))})
+    pipeline.process(rows, 0)
+    pipeline.process(rows.limit(0), 1)
+    users = [pipeline.log.read().filter(F.col("event_id").endswith("-u")).select(F.lit("webhook_events").alias("place")),
+             *[pipeline.table(name).read().select(F.lit(name).alias("place")) for name in ("users", "assessments")]]
+    return reports.union_all([part.groupBy("place").agg(F.count("*").alias("n")) for part in users])
 
 
 @query("events_body_preview_all", """
 SELECT event_id AS seq, '{"id":"e' || CAST(event_id AS VARCHAR) AS preview FROM events""")
 def _(spark, sf_dir):
-    """The preview of every body; ``events_body_preview`` takes a hundred events, as its SQL does."""
     rows = _certificates(spark, sf_dir)
     return rows.select("seq", quality.preview(F.col("body"), 8 + F.length(F.col("seq").cast("string"))).alias("preview"))
 

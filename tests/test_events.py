@@ -131,11 +131,13 @@ def test_repeated_micro_batch_changes_nothing(spark, tmp_path):
 
 
 def test_old_versions_go_but_a_repeat_still_works(spark, tmp_path):
-    pipeline = EventPipeline(spark, str(tmp_path), buckets=1)
+    pipeline = EventPipeline(spark, str(tmp_path), buckets=1, fan_in=2)
     waves = [landed(spark, EVENTS).filter(F.col("seq") == n) for n in range(2, 6)]
     for number, wave in enumerate(waves):
         pipeline.process(wave, number)
-    assert sorted(children(spark, pipeline.table("sessions").path)) == ["version=2", "version=3"]
+    table = pipeline.table("sessions")
+    assert sorted(children(spark, table.path)) == ["version=1", "version=3"]
+    assert sorted(children(spark, table.changes)) == ["versions=2-2", "versions=3-3"]
     once = state_of(pipeline, "sessions")
     pipeline.process(waves[-1], 3)
     assert state_of(pipeline, "sessions") == once
