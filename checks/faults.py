@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from checks import attendance as attendance_checks
@@ -73,14 +76,21 @@ def _(spark, sf_dir):
 # --- files ------------------------------------------------------------------
 
 
+def _led(lines: DataFrame, lead: list[str], key: str, path: str) -> None:
+    """Lines as files that follow a key, each of them after the same lead."""
+    def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"value": lead})
+        yield from batches
+
+    lines.repartitionByRange(4, key).sortWithinPartitions(key).select("value").mapInPandas(begin, "value string").write.text(path)
+
+
 @query("csv_header_with_line_break", """
 SELECT s_suppkey - (SELECT min(s_suppkey) FROM supplier) AS source_row, CAST(s_suppkey AS VARCHAR) AS a_x, s_name AS b FROM supplier""")
 def _(spark, sf_dir):
     path = session.scratch_path(spark, "broken-header")
-    lines = table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(F.when(
-        F.col("s_suppkey") == 0, F.array(F.lit('"a\nx",b'), F.concat_ws(",", "s_suppkey", "s_name"))).otherwise(
-        F.array(F.concat_ws(",", "s_suppkey", "s_name")))).alias("value"))
-    lines.repartitionByRange(1, "s_suppkey").sortWithinPartitions("s_suppkey").select("value").write.text(path)
+    lines = table(spark, sf_dir, "supplier").select("s_suppkey", F.concat_ws(",", "s_suppkey", "s_name").alias("value"))
+    _led(lines, ['"a', 'x",b'], "s_suppkey", path)
     read = csvfiles.read_csv_dynamic(spark, path)
     return read.select("source_row", F.col(read.columns[1]).alias("a_x"), F.col(read.columns[2]).alias("b"))
 
@@ -92,9 +102,7 @@ def _(spark, sf_dir):
     path = session.scratch_path(spark, "repeated-header")
     key = F.col("s_suppkey")
     line = F.when(key % 10 == 3, F.lit("Name,Email")).otherwise(F.concat(F.col("s_name"), F.lit(",m"), key.cast("string")))
-    lead = F.when(key == 0, F.array(F.lit("Exported today"), F.lit("Name,Email"), line)).otherwise(F.array(line))
-    lines = table(spark, sf_dir, "supplier").select(key, F.posexplode(lead).alias("at", "value"))
-    lines.repartitionByRange(1, "s_suppkey", "at").sortWithinPartitions("s_suppkey", "at").select("value").write.text(path)
+    _led(table(spark, sf_dir, "supplier").select(key, line.alias("value")), ["Exported today", "Name,Email"], "s_suppkey", path)
     return csvfiles.read_csv_mapped(spark, path, {"Name": "name", "Email": "email"}, skip_lines=1)
 
 
@@ -263,7 +271,7 @@ def _(spark, sf_dir):
     """Bytes that are no UTF-8 are read as the replacement character; a missing file has no rows."""
     path = session.scratch_path(spark, "invalid")
     rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.concat(F.lit("\u00ff"), F.col("s_name")).alias("Name"))
-    rows = rows.repartitionByRange(1, "s_suppkey").sortWithinPartitions("s_suppkey").select("Name")
+    rows = rows.repartitionByRange(4, "s_suppkey").sortWithinPartitions("s_suppkey").select("Name")
     rows.write.option("encoding", "ISO-8859-1").csv(path, header=True)
     missing = csvfiles.read_students_if_present(spark, f"{path}-none").count()
     return csvfiles.read_csv_mapped(spark, path, {"Name": "name"}).withColumn("missing", F.lit(missing).cast("bigint"))

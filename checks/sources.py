@@ -57,7 +57,7 @@ def _(spark, sf_dir):
     # The blanks around cells are part of them.
     _in_order(enrolments(spark, sf_dir), "source_row").drop("source_row").write.csv(
         path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    return csvfiles.read_enrolments(spark, path, multi_line=False).select(
+    return csvfiles.read_enrolments(spark, path).select(
         "source_row", "user_id", "name", "email", "bundle_id", "class_name", "master_batch_id", "institution_bundle_id",
         "classusers_end_date", "tutor_name")
 
