@@ -14,6 +14,7 @@ from checks.courses import _CLEAN, _RAW_CTE, _STUDENTS, _WHOLE_ID, raw_catalogue
 from checks.entities import _BACKFILL_FIRST, KEYS, purchases
 from checks.fixtures import SEQ, fixture, oracle, table
 from tutorlake import session
+from tutorlake.functions.jsonfields import text_at, typed_at
 from tutorlake.operators import predicates, upsert
 from tutorlake.operators.totals import total_before
 from tutorlake.operators.policies import TRANSACTIONS, TRANSACTIONS_BACKFILL, TRANSACTIONS_INSERT_ONLY
@@ -125,6 +126,20 @@ def _(spark, sf_dir):
         F.count_if(F.col("reason") == "read").alias("read_rows"))
 
 
+@query("pages_large", """
+SELECT s_suppkey AS id, s_name AS name, CAST(s_suppkey % 50 AS INT) AS pos FROM supplier""")
+def _(spark, sf_dir):
+    """Pages of fifty rows, read as if a value could hold a thousand bytes: each is cut by its structure and gives all rows."""
+    path, key = session.scratch_path(spark, "large-pages"), F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select(F.floor(key / 50).alias("page_no"), key.alias("id"), F.to_json(F.struct(
+        key.alias("id"), F.col("s_name").alias("name"), F.concat(F.col("s_name"), F.lit('},{"a":["')).alias("note"))).alias("row"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("id", "row"))), lambda r: r["row"])
+    whole = F.concat(F.lit('{"code":0,"data":['), F.array_join(listed, ", "), F.lit('],"page_context":{"has_more_page":false}}'))
+    rows.groupBy("page_no").agg(whole.alias("value")).repartition("page_no").write.partitionBy("page_no").text(path)
+    read = pages.unwrap_rows(pages.read_pages(spark, path, limit=1000))
+    return read.select(typed_at(F.col("row"), "bigint", "id").alias("id"), text_at(F.col("row"), "name").alias("name"), "pos")
+
+
 # --- changes to stored tables -----------------------------------------------
 
 _STORED = ["event_id", "event_type", "event_timestamp", "email", "full_name", "course_name", "master_batch_name", "original_price",

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tutorlake.functions.jsonfields import accept_repeated_keys, is_string, node_at, staged, text_at
 from tutorlake.operators.totals import total_before
+from tutorlake.session import stored
+from tutorlake.sources.cutpages import cut_pages
 
 # Keys that may hold the row list, in order of preference.
 ATTENDANCE_KEYS = ("data", "rows", "report")
@@ -18,23 +20,44 @@ BATCH_KEY = "courses"
 DOCUMENT_LIMIT = 128 * 1024 * 1024
 #: Reasons of rejected pages.
 NOT_JSON, TOO_LARGE = "Not JSON", "too large"
+_SIZE = "_metadata.file_size"
 
 
-def read_pages(spark: SparkSession, paths: str | Sequence[str], one_per_line: bool = False) -> DataFrame:
+def read_pages(spark: SparkSession, paths: str | Sequence[str], one_per_line: bool = False, limit: int = DOCUMENT_LIMIT) -> DataFrame:
     """``page`` (file path), ``doc`` (VARIANT) and ``size`` (bytes) of landed replies.
 
-    Several days or pages are several paths of one read.  ``doc`` is NULL when a page is no JSON or too large for one
-    value; :func:`page_rejects` lists such pages with their reason.
+    Several days or pages are several paths of one read.  Where there are files above ``limit`` they are cut by their
+    structure: their rows come as several documents of the same shape, and ``first`` is the place of a document's first
+    row.  ``doc`` is NULL when a page is no JSON, or when a page on a line of its own is too large for one value;
+    :func:`page_rejects` lists such pages with their reason.
     """
     accept_repeated_keys(spark)
-    text = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=not one_per_line)
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    text = spark.read.text(paths, wholetext=not one_per_line)
+    large = not one_per_line and not text.where(F.col(_SIZE) > limit).select(F.lit(1)).isEmpty()
+    if large:
+        text = text.where(F.col(_SIZE) <= limit)
     pages = text.select(F.col("_metadata.file_path").alias("page"), "value", F.octet_length("value").alias("size"))
-    return staged(pages, doc=F.try_parse_json("value")).drop("value")
+    small = staged(pages, doc=F.try_parse_json("value")).drop("value")
+    if not large:
+        return small
+    cut = stored(cut_pages(spark, paths, limit, [*ATTENDANCE_KEYS, *CATALOGUE_KEYS, BATCH_KEY]), "cut-pages")
+    parsed = staged(cut, doc=F.try_parse_json("value")).drop("value")
+    # One broken entry makes its page broken, as it would be if it were read whole.
+    broken = parsed.filter(F.col("doc").isNull()).select("page", "size").distinct()
+    none = F.parse_json(F.lit(None).cast("string"))
+    rejected = broken.select("page", "size", none.alias("doc"), F.lit(-1).cast("long").alias("first"))
+    whole = parsed.join(broken.select("page"), "page", "left_anti").select("page", "size", "doc", "first")
+    return small.withColumn("first", F.lit(0).cast("long")).unionByName(whole).unionByName(rejected)
 
 
 def page_rejects(pages: DataFrame, limit: int = DOCUMENT_LIMIT) -> DataFrame:
-    """``page``, ``size`` and ``reason`` of the pages that give no rows because they could not be read."""
-    reason = F.when(F.col("size") > limit, F.lit(TOO_LARGE)).otherwise(F.lit(NOT_JSON))
+    """``page``, ``size`` and ``reason`` of the pages that give no rows because they could not be read.
+
+    A file of any size is read unless it is broken; only a page on a line of its own can be too large.
+    """
+    whole = F.col("first") >= 0 if "first" in pages.columns else F.lit(True)
+    reason = F.when((F.col("size") > limit) & whole, F.lit(TOO_LARGE)).otherwise(F.lit(NOT_JSON))
     return pages.filter(F.col("doc").isNull()).select("page", "size", reason.alias("reason"))
 
 
@@ -44,7 +67,10 @@ def _list_at(doc: Column, *keys: str) -> Column:
 
 
 def _explode(pages: DataFrame, rows: Column, name: str, *carry: str) -> DataFrame:
-    return pages.select(*carry, F.posexplode(rows).alias("pos", name))
+    if "first" not in pages.columns:
+        return pages.select(*carry, F.posexplode(rows).alias("pos", name))
+    found = pages.select("*", F.posexplode(rows).alias("__at", name))
+    return found.select(*carry, (F.col("__at") + F.col("first")).cast("int").alias("pos"), name)
 
 
 def unwrap_rows(pages: DataFrame, *carry: str, keys: Sequence[str] = ATTENDANCE_KEYS) -> DataFrame:
@@ -80,6 +106,15 @@ def flatten_batches(pages: DataFrame, *carry: str) -> DataFrame:
     doc = F.col("doc")
     bundles = F.coalesce(_list_at(doc), _list_at(doc, BATCH_KEY))
     flat = F.flatten(F.transform(bundles, _batches_of))
+    if "first" in pages.columns:
+        # A document holds one bundle here; its batches come after those of the bundles before.
+        flats = stored(pages.filter(F.col("doc").isNotNull()).select("*", flat.alias("__flat")).drop("doc"), "page-batches")
+        counts = flats.select("page", "first", F.coalesce(F.size("__flat"), F.lit(0)).alias("__n"))
+        before = total_before(counts, ["page", "first"], "__n", "__before", "page-batch-counts").drop("__n")
+        begin = before.groupBy("page").agg(F.min("__before").alias("__begin"))
+        offsets = before.join(begin, "page").select("page", "first", (F.col("__before") - F.col("__begin")).alias("first_batch"))
+        placed = flats.join(offsets, ["page", "first"]).drop("first").withColumnRenamed("first_batch", "first")
+        return _explode(placed, F.col("__flat"), "entry", *carry).select(*carry, "pos", "entry.*")
     rows = pages.select(*carry, F.posexplode(flat).alias("pos", "entry"))
     return rows.select(*carry, "pos", "entry.*")
 
