@@ -19,6 +19,7 @@ from tutorlake.operators import predicates, upsert
 from tutorlake.operators.totals import total_before
 from tutorlake.operators.policies import TRANSACTIONS, TRANSACTIONS_BACKFILL, TRANSACTIONS_INSERT_ONLY
 from tutorlake.plans import attendance, courses, gold, quality, reports
+from tutorlake.plans.attendance_store import AttendanceStore
 from tutorlake.sources import csvfiles, pages, sinks
 from tutorlake.streaming.runner import EventPipeline, read_messages
 
@@ -240,13 +241,12 @@ SELECT batch_id, class_id, bundle_id, class_date, present_count, late_count, abs
                   identity=identity, latest=latest, current=current, per_pull=per_pull, picked=picked, kept=kept)
 
 
-def _chained(loads: list[DataFrame]) -> DataFrame:
-    bronze = classes = None
+def _chained(spark, loads: list[DataFrame]) -> DataFrame:
+    store = AttendanceStore(spark, session.scratch_path(spark, "attendance"), buckets=8, fan_in=2, days=64)
     for number, load in enumerate(loads):
-        done = attendance.load_pull(load, F.timestamp_seconds(F.lit(1700000000 + number)), bronze, classes)
-        bronze, classes = done.bronze, session.stored(done.classes, "classes")
-    return classes.select("batch_id", "class_id", "bundle_id", "class_date", "present_count", "late_count", "absent_count",
-                          "total_records", "attendance_pct", "pull_date", "class_number")
+        store.load(load, F.timestamp_seconds(F.lit(1700000000 + number)), number)
+    return store.classes.read().select("batch_id", "class_id", "bundle_id", "class_date", "present_count", "late_count", "absent_count",
+                                       "total_records", "attendance_pct", "pull_date", "class_number")
 
 
 @query("attendance_chain_all_pulls", _chain_sql(_RANGES))
@@ -254,7 +254,7 @@ def _(spark, sf_dir):
     """Three loads one after the other, each into the tables that the one before left."""
     rows = attendance_checks.raw(spark, sf_dir).withColumn("is_staff", predicates.staff_at_ingest(F.col("student_email")))
     day, (first, second) = F.col("pull_date"), (F.lit(d).cast("date") for d in _DAYS[:2])
-    return _chained([rows.filter((day <= first) | day.isNull()), rows.filter((day > first) & (day <= second)), rows.filter(day > second)])
+    return _chained(spark, [rows.filter((day <= first) | day.isNull()), rows.filter((day > first) & (day <= second)), rows.filter(day > second)])
 
 
 # --- results whose order counts, and the smaller sinks ------------------------

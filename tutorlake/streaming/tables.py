@@ -103,7 +103,7 @@ def next_folder(spark: SparkSession, path: str, name: str = "number") -> str:
 class StateTable:
     """The number of buckets belongs to the stored table; opening it with another number is refused."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int | str):
         self.spark, self.path, self.keys, self.buckets = spark, path, list(keys), buckets
         kept = children(spark, f"{path}.buckets")
         if kept and kept != [str(buckets)]:
@@ -131,9 +131,16 @@ class StateTable:
         paths = [f"{self.path}/version={v}/bucket={b}" for b, v in sorted(chosen.items())]
         return self.spark.read.option("basePath", self.path).parquet(*paths).drop("version", "bucket")
 
+    def bucket(self) -> Column:
+        return bucket_of(self.keys, self.buckets)
+
+    def laid_out(self, rows: DataFrame) -> DataFrame:
+        """Rows with their ``bucket``, as they are written: one file per bucket instead of one per task and bucket."""
+        return rows.repartition("bucket")
+
     def touched(self, rows: DataFrame) -> list[int]:
-        """Bucket numbers of some rows; at most ``buckets`` of them."""
-        return sorted(r[0] for r in rows.select(bucket_of(self.keys, self.buckets)).distinct().collect())
+        """Bucket numbers of some rows; at most as many as there are buckets."""
+        return sorted(r[0] for r in rows.select(self.bucket()).distinct().collect())
 
     def finished_version(self, before: int | None = None) -> int | None:
         """The newest version that is whole."""
@@ -150,8 +157,7 @@ class StateTable:
         mark(self.spark, f"{self.path}.buckets/{self.buckets}")
         for bucket in empty:  # counts only once the version is whole
             mark(self.spark, f"{self.path}.empty/version={version}/bucket={bucket}")
-        # One file per bucket instead of one per task and bucket.
-        (rows.withColumn("bucket", bucket_of(self.keys, self.buckets)).repartition("bucket")
+        (self.laid_out(rows.withColumn("bucket", self.bucket()))
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/version={version}"))
 
     def expire(self, before: int) -> None:
@@ -165,6 +171,23 @@ class StateTable:
                 remove(self.spark, f"{self.path}/version={version}")
 
 
+class DatedTable(StateTable):
+    """A state table whose buckets are stretches of ``days`` of a date column; a large one is written by several tasks."""
+
+    #: Bucket of rows without a date.
+    NO_DAY = -(10**7)
+
+    def __init__(self, spark: SparkSession, path: str, day: str, days: int = 1):
+        super().__init__(spark, path, [day], f"{days}-days")
+        self.days = days
+
+    def bucket(self) -> Column:
+        return F.coalesce(F.floor(F.unix_date(F.col(self.keys[0])) / self.days).cast("int"), F.lit(self.NO_DAY))
+
+    def laid_out(self, rows: DataFrame) -> DataFrame:
+        return rows.hint("rebalance", "bucket")
+
+
 class MergedTable:
     """One row per key, kept as a base and the changes since.
 
@@ -178,6 +201,8 @@ class MergedTable:
     """
 
     def __init__(self, spark: SparkSession, path: str, rule: TableRule, buckets: int, fan_in: int = 8, share: float = 0.5):
+        if fan_in < 2:
+            raise ValueError("at least two folders are joined")
         self.spark, self.path, self.rule, self.fan_in, self.share = spark, path, rule, fan_in, share
         self.base = StateTable(spark, path, rule.keys, buckets)
         self.changes = f"{path}.changes"
@@ -248,6 +273,11 @@ class MergedTable:
         """Current rows, or those before a version; None while there are none."""
         return self._merged(before)
 
+    def lookup(self, keys: DataFrame, before: int | None = None) -> DataFrame | None:
+        """Current rows of some keys; of the base only their buckets are read."""
+        rows = self._merged(before, self.base.touched(keys))
+        return None if rows is None else rows.join(keys, list(self.rule.keys), "left_semi")
+
     def append(self, rows: DataFrame, version: int) -> None:
         """Add the changes of a micro-batch, then fold or join folders where enough have gathered."""
         mark(self.spark, f"{self.path}.buckets/{self.base.buckets}")
