@@ -102,23 +102,27 @@ def _shape(fmt: str) -> str:
     other layouts away, so that only impossible dates such as 31/2 still fail.
     """
     tokens = re.findall(r"'[^']*'|d+|M+|y+|H+|h+|m+|s+|a|.", fmt)
-    return "^" + "".join(_SHAPES.get(t) or (r"\s+" if t == " " else re.escape(t.strip("'"))) for t in tokens) + "$"
+    return "^" + "".join(_SHAPES.get(t) or re.escape(t.strip("'")) for t in tokens) + "$"
 
 
 def _squeezed(text: Column) -> Column:
-    """Runs of white space as one blank, as the layouts have it."""
-    return F.regexp_replace(text, r"\s+", " ")
+    """Runs of white space as one blank, as the layouts have it.
+
+    All layouts of a column are held against this one text, so it is worked out once per value, and few values need it.
+    """
+    return F.when(text.rlike(r"\s\s|[^\S ]"), F.regexp_replace(text, r"\s+", " ")).otherwise(text)
 
 
 def parse_date(c: Column | str, formats: Sequence[str] = ATTENDANCE_DATE_FORMATS) -> Column:
     """First layout that fits gives the date, otherwise NULL."""
-    text = strip(c)
-    return F.coalesce(*[F.when(text.rlike(_shape(fmt)), F.try_to_date(_squeezed(text), fmt)) for fmt in formats])
+    text = _squeezed(strip(c))
+    return F.coalesce(*[F.when(text.rlike(_shape(fmt)), F.try_to_date(text, fmt)) for fmt in formats])
 
 
 def _zoned(text: Column, fmt: str, zone: str) -> Column:
     # The zone travels with the text, so the session time zone has no influence.
-    stamp = F.try_to_timestamp(F.concat(_squeezed(text), F.lit(" " + zone)), F.lit(fmt + " VV"))
+    text = _squeezed(text)
+    stamp = F.try_to_timestamp(F.concat(text, F.lit(" " + zone)), F.lit(fmt + " VV"))
     return F.when(text.rlike(_shape(fmt)), stamp)
 
 

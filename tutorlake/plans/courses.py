@@ -137,19 +137,23 @@ def upsert_lifecycle(raw: DataFrame, target: DataFrame | None = None) -> DataFra
     def raw_text(name: str) -> Column:
         return F.col(name) if name in raw.columns else F.lit(None).cast("string")
 
-    rows = raw.select(
-        clean.safe_int("course_id", commas=True).alias("course_id"),
-        clean.clean_text("batch_name", ("", "None")).alias("batch_name"), "source_row",
-        *[clean.clean_text(raw_text(src)).alias(name) for name, src in LIFECYCLE_TEXTS.items()],
-        *[clean.parse_date(clean.clean_text(raw_text(src)), clean.LIFECYCLE_DATE_FORMATS).alias(name)
-          for name, src in LIFECYCLE_DATES.items()],
-        *[clean.safe_int(raw_text(src), commas=True).try_cast("int").alias(name)
-          for name, src in LIFECYCLE_COUNTS.items()],
-        *[clean.safe_float(raw_text(src)).try_cast(kind).alias(name)
-          for name, (src, kind) in LIFECYCLE_DECIMALS.items()],
-        clean.safe_int(raw_text("batch_id"), commas=True).alias("batch_id"),
+    # Each column comes from a whole row, the first or the last of its key.  So rows are picked as texts, and only those
+    # that stay are parsed.
+    sources = {**LIFECYCLE_TEXTS, **LIFECYCLE_DATES, **LIFECYCLE_COUNTS, **{n: src for n, (src, _) in LIFECYCLE_DECIMALS.items()}}
+    texts = raw.select(
+        clean.safe_int("course_id", commas=True).alias("course_id"), clean.clean_text("batch_name", ("", "None")).alias("batch_name"),
+        "source_row", *[raw_text(src).alias(name) for name, src in sources.items()], raw_text("batch_id").alias("batch_id"))
+    complete = texts.dropna(subset=list(LIFECYCLE.required))
+    picked = upsert.fold(complete, LIFECYCLE.keys, ["source_row"], {**LIFECYCLE.policies, "source_row": upsert.FIRST})
+    rows = picked.select(
+        *LIFECYCLE.keys, "source_row",
+        *[clean.clean_text(name).alias(name) for name in LIFECYCLE_TEXTS],
+        *[clean.parse_date(clean.clean_text(name), clean.LIFECYCLE_DATE_FORMATS).alias(name) for name in LIFECYCLE_DATES],
+        *[clean.safe_int(name, commas=True).try_cast("int").alias(name) for name in LIFECYCLE_COUNTS],
+        *[clean.safe_float(name).try_cast(kind).alias(name) for name, (_, kind) in LIFECYCLE_DECIMALS.items()],
+        clean.safe_int("batch_id", commas=True).alias("batch_id"),
     )
-    return _upsert(rows, target, LIFECYCLE, ["source_row"])
+    return rows.drop("source_row") if target is None else _upsert(rows, target, LIFECYCLE, ["source_row"])
 
 
 # --- batches ---------------------------------------------------------------
