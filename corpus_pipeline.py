@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tutorlake.llm import mixing, quality, sharding, similar, templates
 from tutorlake.llm.common import table, unused, with_row
-from tutorlake.session import scratch_path
+from tutorlake.session import remove_path, scratch_path, scratch_scope
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,11 +64,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn over ``documents``; each result but the last is written and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for place, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if place < len(STAGES) - 1:
-            path = scratch_path(spark, f"pipeline-{place}")
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
-    return docs
+    docs, before = table(spark, sf_dir, "documents"), None
+    for place, (_, stage) in enumerate(STAGES[:-1]):
+        path = scratch_path(spark, f"pipeline-{place}")
+        # A stage's own tables, and what the stage before has left, are not needed once its result is written.
+        with scratch_scope(spark, "pipeline-stage"):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove_path(spark, before)
+        docs, before = spark.read.parquet(path), path
+    return STAGES[-1][1](spark, docs, sf_dir)

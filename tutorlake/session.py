@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,9 +51,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_scope: contextvars.ContextVar[str | None] = contextvars.ContextVar("scope", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, or below the folder of the scope that it is asked for in."""
+    return f"{_scope.get() or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession, label: str) -> Iterator[None]:
+    """Tables stored inside go when the scope ends; what is to stay must have been written elsewhere by then."""
+    folder = scratch_path(spark, label)
+    token = _scope.set(folder)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        remove_path(spark, folder)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
