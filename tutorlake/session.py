@@ -87,7 +87,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     kept = spark.conf.get(_CLEAN_SHUFFLES, None)
     spark.conf.set(_CLEAN_SHUFFLES, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         if kept is None:
             spark.conf.unset(_CLEAN_SHUFFLES)
