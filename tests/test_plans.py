@@ -47,6 +47,26 @@ def test_numbering_of_a_hot_batch(classes):
     assert {r.class_id: r.class_number for r in numbered.collect()} == numbers_of(rows)
 
 
+def test_undated_classes_of_one_batch_spread_over_tasks(spark):
+    """A third of all classes are undated classes of one batch: no task may hold them all, and no window ranks rows."""
+    rows = spark.range(30_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 100 = 1 THEN NULL ELSE 2 + id % 37 END AS batch_id", "id AS class_id",
+        "CASE WHEN id % 3 = 0 THEN NULL ELSE date_add(DATE'2024-01-01', CAST(id % 20 AS INT)) END AS class_date")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small ranges would be joined
+    try:
+        numbered = number_by_day(rows, "batch_id", "class_date", "class_id", "class_number")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    hot = {r.class_id: r.class_number for r in numbered.filter("batch_id = 1").collect()}
+    assert hot == {3 * i: i + 1 for i in range(10_000)}
+    assert numbered.filter("batch_id IS NULL AND class_number IS NOT NULL").count() == 0
+    assert numbered.count() == 30_000
+    assert "row_number" not in plan_of(numbered)
+    ranges = spark.read.parquet(*numbered.inputFiles()).filter("batch_id = 1").groupBy(F.shiftright("__at", 33))
+    held = [r["count"] for r in ranges.count().collect()]
+    assert len(held) > 1 and max(held) < 10_000
+
+
 def test_first_and_last_class_of_a_hot_batch(spark, classes):
     rows, frame = classes
     numbered = number_by_day(frame, "batch_id", "class_date", "class_id", "class_number")

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tutorlake.session import stored
+
 
 def latest_flag(df: DataFrame, group: str, order: Sequence[str], flag: str = "is_latest") -> DataFrame:
     """1 on the row of each group with the greatest ``order`` values, NULLs lowest.
@@ -30,26 +32,26 @@ def latest_row(df: DataFrame, group: str, order: Sequence[str]) -> DataFrame:
     return picked.select(group, "__row.*").select(*df.columns)
 
 
-#: Stands for an unknown day, which comes after all others.
-_LAST_DAY = "9999-12-31"
-
-
 def number_by_day(df: DataFrame, group: str, day: str, tie: str, number: str = "row_number") -> DataFrame:
     """Row number inside ``group`` ordered by ``day``, then ``tie``; rows without a group get none.
 
-    The number is the count of the group's rows on earlier days plus the rank
-    within the day.  Day counts are pre-aggregated, and a group has at most one
-    of them per calendar day, so no task ever holds a whole group.  The ranked
-    rows already lie by group and day, as the join with the counts needs them.
+    An unknown day comes after all others.  The rows are dealt out by ranges of (group, day, tie) and stored, so a
+    large group, or one with very many rows of one day or of none, spreads over as many tasks as its rows fill.  A
+    row's number is its place in its range, counted from the group's first row there, plus the group's rows in the
+    ranges before.  What is added up per group is one count per range.  ``tie`` should be unique within the group.
     """
-    dated = df.withColumn("__day", F.coalesce(F.col(day).cast("date"), F.lit(_LAST_DAY).cast("date")))
-    per_day = dated.groupBy(F.col(group).alias("__g"), F.col("__day").alias("__d")).agg(F.count("*").alias("__n"))
-    earlier = Window.partitionBy("__g").orderBy("__d").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_day.select("__g", "__d", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
-    ranked = dated.withColumn("__rank", F.row_number().over(Window.partitionBy(group, "__day").orderBy(tie)))
-    same_cell = (F.col(group) == F.col("__g")) & (F.col("__day") == F.col("__d"))
-    return ranked.join(offsets, same_cell, "left").select(
-        *[c for c in df.columns if c != number], (F.col("__before") + F.col("__rank")).cast("int").alias(number))
+    order = [F.col(group), F.asc_nulls_last(F.col(day).cast("date")), F.col(tie)]
+    kept = [c for c in df.columns if c != number]
+    ranged = df.select(*kept).repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = stored(ranged.withColumn("__at", F.monotonically_increasing_id()), "numbered")
+    ranged = ranged.withColumn("__range", F.shiftright("__at", 33))
+    cells = ranged.filter(F.col(group).isNotNull()).groupBy(F.col(group).alias("__g"), F.col("__range").alias("__r")).agg(
+        F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    earlier = Window.partitionBy("__g").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cells.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    same_cell = (F.col(group) == F.col("__g")) & (F.col("__range") == F.col("__r"))
+    return ranged.join(offsets, same_cell, "left").select(
+        *kept, (F.col("__before") + F.col("__at") - F.col("__first") + 1).cast("int").alias(number))
 
 
 def flag(condition: Column) -> Column:
