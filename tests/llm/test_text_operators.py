@@ -198,6 +198,23 @@ def test_lexer_finds_what_names_hold():
     assert _named("The secret: something nice") == set()
 
 
+def test_literals_and_sums_of_any_length():
+    long = "aZ3_" * 20_000
+    text = f'client_secret = "Old0ne99x!"\nprivate_key = "{long}"\nclient_secret = private_key\napi_token = client_secret'
+    at = text.index(long)
+    assert set(secrets.lexed_spans(text)) == {
+        ("literal", 17, 27), ("literal", at, at + len(long)), ("propagated", at, at + len(long))}
+    steps = 10_000
+    text = 'app_secret_key = "aB3$"\n' + 'app_secret_key = app_secret_key + "xY7%kq"\n' * steps
+    started = time.time()
+    found = secrets.lexed_spans(text)
+    assert len(found) == len(set(found)) == steps + 1 and time.time() - started < 20
+    doubled = 'secret_key = "aB3$xyzt"\n' + "secret_key = secret_key + secret_key\n" * 2_000
+    assert set(secrets.lexed_spans(doubled)) == {("literal", 14, 22), ("propagated", 14, 22)}
+    assert _named('my_secret = "exam" + "ple" + " "') == set()
+    assert _named('my_secret = "aB3$change" + "me%kq9"') == set()
+
+
 def test_scans_take_linear_time():
     for text in ("a=" * 100_000, '="' * 100_000, "token" + " " * 300_000, 'x="""' * 50_000):
         started = time.time()

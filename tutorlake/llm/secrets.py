@@ -4,7 +4,8 @@ Beside three base patterns the scan reads assignments of source and configuratio
 ``name: literal``, ``"name": "literal"``, ``name := literal``, ``name => literal``, typed and chained forms) into pairs of
 name and literal, joins literals that are added up, follows names that stand for earlier literals, and scores each literal
 by its target name and its own shape.  A text is read from left to right once; each step looks at what lies between
-two operators only, so the time is linear in the text.
+two operators only.  A sum is kept as its parts with what its score needs (length, counts of characters, both ends), never
+as a string, so sums of sums of any length cost one merge of character counts each, and a part is reported once per kind.
 """
 
 from __future__ import annotations
@@ -48,8 +49,8 @@ HARMLESS = {"count": 3.0, "length": 3.0, "len": 3.0, "size": 3.0, "max": 2.0, "m
             "expiry": 2.5, "expires": 2.5, "ttl": 2.5, "limit": 2.0, "index": 2.0, "header": 1.5, "regex": 2.5, "format": 2.5}
 #: Score from which a literal counts as a secret.
 THRESHOLD = 4.0
-#: Characters of a folded constant; a longer one (sums of sums can double without end) is data and no secret.
-FOLDED = 1 << 16
+#: Characters kept of both ends of a value: the longest placeholder less one, so that none is missed where parts meet.
+ENDS = 10
 
 
 def base_spans(text: str) -> list[Span]:
@@ -64,17 +65,73 @@ def name_score(name: str) -> float:
     return sum(SENSITIVE.get(w, 0.0) for w in words) - sum(HARMLESS.get(w, 0.0) for w in words)
 
 
-def literal_score(value: str, quoted: bool) -> float:
+class Value:
+    """A literal, or a sum of literals: where it stands and what its score needs.
+
+    ``through`` says that it came through another name.  A part that reads as a placeholder makes the whole one.
+    """
+    __slots__ = ("span", "parts", "quoted", "through", "length", "head", "tail", "reported", "_text", "_counts", "_placeholder")
+
+    def __init__(self, text: str, span: tuple[int, int], quoted: bool) -> None:
+        self.span, self.parts, self.quoted, self.through = span, (), quoted, False
+        self.length, self.head, self.tail = len(text), text[:ENDS], text[-ENDS:]
+        self.reported: set[str] = set()
+        self._text, self._counts, self._placeholder = text, None, None
+
+    @classmethod
+    def of(cls, parts: tuple[Value, ...], quoted: bool, through: bool) -> Value:
+        self = cls("", parts[-1].span, quoted)
+        self.parts, self.through, self._text = parts, through, None
+        self.length = sum(p.length for p in parts)
+        if len(parts) == 1:
+            only = parts[0]
+            self.head, self.tail, self._counts, self._placeholder = only.head, only.tail, only.counts, only.placeholder
+            return self
+        counts, found = Counter(), False
+        for part in parts:
+            counts.update(part.counts)
+            found = found or part.placeholder or bool(_PLACEHOLDER.search(self.tail + part.head))
+            self.head, self.tail = (self.head + part.head)[:ENDS], (self.tail + part.tail)[-ENDS:]
+        self._counts, self._placeholder = counts, found
+        return self
+
+    @property
+    def counts(self) -> Counter:
+        if self._counts is None:
+            self._counts = Counter(self._text)
+        return self._counts
+
+    @property
+    def placeholder(self) -> bool:
+        if self._placeholder is None:
+            self._placeholder = bool(_PLACEHOLDER.search(self._text))
+        return self._placeholder
+
+    def report(self, kind: str) -> Iterator[Span]:
+        """Spans of the parts that were not reported as this kind before."""
+        waiting = [self]
+        while waiting:
+            value = waiting.pop()
+            if kind in value.reported:
+                continue
+            value.reported.add(kind)
+            if value.parts:
+                waiting.extend(value.parts)
+            elif value.span[1] > value.span[0]:
+                yield (kind, *value.span)
+
+
+def literal_score(value: Value) -> float:
     """How much a literal looks like a secret; minus infinity for what cannot be one."""
-    if len(value) < 8 or any(c.isspace() for c in value) or _PLACEHOLDER.search(value):
+    if value.length < 8 or value.placeholder or any(c.isspace() for c in value.counts):
         return -math.inf
-    counts = Counter(value)
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
+    counts = value.counts
+    entropy = -sum(n / value.length * math.log2(n / value.length) for n in counts.values())
     classes = sum((any(c.islower() for c in counts), any(c.isupper() for c in counts), any(c.isdigit() for c in counts),
                    any(not c.isalnum() for c in counts)))
-    if not quoted and (not any(c.isdigit() for c in counts) or classes < 2):
+    if not value.quoted and (not any(c.isdigit() for c in counts) or classes < 2):
         return -math.inf
-    return 0.6 * entropy + 0.4 * classes + min(len(value), 40) / 40 - (0.5 if len(counts) < 5 else 0)
+    return 0.6 * entropy + 0.4 * classes + min(value.length, 40) / 40 - (0.5 if len(counts) < 5 else 0)
 
 
 def _back(text: str, at: int, floor: int) -> tuple[int, int]:
@@ -93,21 +150,20 @@ def _back(text: str, at: int, floor: int) -> tuple[int, int]:
     return at, end
 
 
-#: value, where its parts stand, whether it was quoted, whether it came through another name
-Value = tuple[str, tuple[tuple[int, int], ...], bool, bool]
-
-
 def _value(text: str, at: int, known: dict[str, Value]) -> tuple[Value | None, int]:
     """The literal after an operator (sums joined, known names replaced) and where it ends."""
     parts: list[Value] = []
+    through = False
     at = _BLANKS.match(text, at).end()
     while True:
         if m := _STRING.match(text, at):
             quote = 3 if m.end() - m.start() >= 6 and text[m.start():m.start() + 3] in ('"""', "'''") else 1
-            parts.append((text[m.start() + quote:m.end() - quote], ((m.start() + quote, m.end() - quote),), True, False))
+            start, end = m.start() + quote, m.end() - quote
+            parts.append(Value(text[start:end], (start, end), True))
         elif m := _BARE.match(text, at):
             old = known.get(m.group().lower())
-            parts.append((old[0], old[1], old[2], True) if old else (m.group(), ((m.start(), m.end()),), False, False))
+            through = through or old is not None
+            parts.append(old or Value(m.group(), m.span(), False))
         else:
             break
         at = m.end()
@@ -115,13 +171,14 @@ def _value(text: str, at: int, known: dict[str, Value]) -> tuple[Value | None, i
             break
         if not _STRING.match(text, more.end()) and text[more.end():more.end() + 1] == "":
             break
-        if not parts[-1][2] and "+" not in more.group():
+        if not parts[-1].quoted and "+" not in more.group():
             break
         at = more.end()
-    if not parts or sum(len(p[0]) for p in parts) > FOLDED:
+    if not parts:
         return None, at
-    return ("".join(p[0] for p in parts), tuple(dict.fromkeys(s for p in parts for s in p[1])), any(p[2] for p in parts),
-            any(p[3] for p in parts)), at
+    if len(parts) == 1 and parts[0].through == through:
+        return parts[0], at
+    return Value.of(tuple(parts), any(p.quoted for p in parts), through), at
 
 
 def lexed_spans(text: str) -> list[Span]:
@@ -143,9 +200,9 @@ def lexed_spans(text: str) -> list[Span]:
         floor = m.end()
         if value is None:
             continue
-        if m.group() == ":" and not value[2]:
-            typed = (name, value[1][-1][1])
-        if value[2]:
+        if m.group() == ":" and not value.quoted:
+            typed = (name, value.span[1])
+        if value.quoted:
             floor = after  # operators inside a quoted literal are text
         elif text[after:after + 1] == "=" or _OPERATOR.match(text, _BLANKS.match(text, after).end()):
             waiting.append(name)  # a = b = literal
@@ -153,8 +210,9 @@ def lexed_spans(text: str) -> list[Span]:
         for target in (name, *waiting):
             known[target.lower()] = value
             known[target.lower().rpartition(".")[2]] = value
-            if name_score(target) + literal_score(value[0], value[2]) >= THRESHOLD and name_score(target) >= 1.5:
-                found += [("propagated" if value[3] else "literal", a, b) for a, b in value[1] if b > a]
+            sensitive = name_score(target)
+            if sensitive >= 1.5 and sensitive + literal_score(value) >= THRESHOLD:
+                found += value.report("propagated" if value.through else "literal")
         waiting = []
     return found
 
@@ -171,7 +229,8 @@ _RESULT = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 st
 def secrets(documents: DataFrame) -> DataFrame:
     """Counts, digest of the base spans and all spans of every row, repeated rows and rows without id included.
 
-    A missing or empty text has no spans: its digest is that of the empty string.  Other columns are ignored.
+    A missing or empty text has no spans: its digest is that of the empty string.  Other columns are ignored.  Literals and
+    sums of any length count.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
