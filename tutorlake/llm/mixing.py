@@ -71,7 +71,7 @@ def mixed(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
              .withColumn("left", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size")))
              .withColumn("chance", F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-9), ratio - F.col("whole"))))
              .withColumnRenamed("source", "of"))
-    rows = sizes.join(F.broadcast(known) if _few(targets) else known, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    rows = sizes.join(known, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     u = uniform(seed, "doc_id")
     odds = F.col("chance") / (1 - F.col("chance"))
     rows = rows.withColumn("rank", u / (1 - u) / odds)
@@ -93,11 +93,6 @@ def mixed(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source", *keep)
 
 
-def _few(targets: DataFrame, bound: int = 100_000) -> bool:
-    """Whether the sources are few enough to be sent to every task; a join by source serves all other cases."""
-    return targets.limit(bound + 1).count() <= bound
-
-
 def take(documents: DataFrame, copies: DataFrame) -> DataFrame:
     """The documents as often as ``doc_id``/``copies`` says; of an id's several numbers the largest counts."""
     names = documents.columns
