@@ -16,7 +16,8 @@ says so.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,18 @@ NAMES = frozenset((
 _NUMBER = re.compile(r"[+-]?\d[\d.,:/]*(?:[a-z]{1,3}|%)?\Z")
 _EDGES = re.compile(r"^\W+|\W+\Z")
 WORD_KIND, NUMBER, NAME_LIKE, NAME, UNIT_LIKE, NOTHING = range(6)
-_TYPED = {NUMBER: 1, NAME: 2, UNIT_LIKE: 3}
+_NUMBER_BYTES, _UNIT_BYTES = (frozenset(w.encode() for w in words) for words in (NUMBER_WORDS, UNITS))
+
+
+class _Index(dict):
+    """Numbers of words; a new word is added when it is first asked for."""
+
+    def __init__(self, add: Callable[[bytes], int]) -> None:
+        super().__init__()
+        self.add = add
+
+    def __missing__(self, raw: bytes) -> int:
+        return self.add(raw)
 
 
 class Lexicon:
@@ -63,19 +75,28 @@ class Lexicon:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[bytes, int] = {}
-        # Longer than the index; doubled when full.
-        self.kinds = np.empty(1024, np.int8)
-        self.hashes = np.empty(1024, np.uint64)
-        self.ends = np.empty(1024, bool)
+        self.index = _Index(self._add)
+        self.kinds, self.hashes, self.ends = array("b"), array("Q"), array("b")
 
     def _add(self, raw: bytes) -> int:
-        text = raw.decode("utf-8", "surrogatepass")
-        core = _EDGES.sub("", text)
+        if raw.isalpha() and raw.islower():  # most words: nothing to strip or fold
+            kind = NUMBER if raw in _NUMBER_BYTES else UNIT_LIKE if raw in _UNIT_BYTES else WORD_KIND
+            low, end = raw, False
+        else:
+            kind, low, end = self._read(raw.decode("utf-8", "surrogatepass"))
+        self.index[raw] = place = len(self.kinds)
+        self.kinds.append(kind)
+        self.hashes.append(xxhash.xxh3_64_intdigest(low))
+        self.ends.append(end)
+        return place
+
+    def _read(self, text: str) -> tuple[int, bytes, bool]:
+        letters = text.isalpha()  # such words have no edges, no digits and end no sentence
+        core = text if letters else _EDGES.sub("", text)
         low = core.lower()
         if not low:
             kind = NOTHING
-        elif _NUMBER.match(low) or low in NUMBER_WORDS:
+        elif low in NUMBER_WORDS or not letters and _NUMBER.match(low):
             kind = NUMBER
         elif low in NAMES and core[0].isupper():
             kind = NAME
@@ -85,25 +106,19 @@ class Lexicon:
             kind = NAME_LIKE
         else:
             kind = WORD_KIND
-        self.index[raw] = place = len(self.index)
-        if place == len(self.kinds):
-            self.kinds, self.hashes, self.ends = (np.concatenate((x, np.empty_like(x))) for x in (self.kinds, self.hashes, self.ends))
-        self.kinds[place] = kind
-        self.hashes[place] = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass"))
-        self.ends[place] = text.rstrip("\"')]»”").endswith((".", "!", "?", ":"))
-        return place
+        end = not letters and text.rstrip("\"')]»”").endswith((".", "!", "?", ":"))
+        return kind, low.encode("utf-8", "surrogatepass"), end
 
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Types (0: plain word), value hashes, plain template hashes and word numbers of a text's tokens."""
         words = words_of(text)
         if len(self.index) > self.BOUND:
             self.clear()
-        find = self.index.get
-        places = list(map(find, words))
-        if None in places:
-            places = [self._add(w) if (i := find(w)) is None else i for w in words]
-        at = np.fromiter(places, np.int64, len(places))
-        kinds, values, ends = self.kinds[at], self.hashes[at], self.ends[at]
+        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        if not len(at):
+            return np.empty(0, np.int8), np.empty(0, np.uint64), np.empty(0, np.uint64), at
+        kinds, values = np.frombuffer(self.kinds, np.int8)[at], np.frombuffer(self.hashes, np.uint64)[at]
+        ends = np.frombuffer(self.ends, np.bool_)[at]
         kept = np.flatnonzero(kinds != NOTHING)
         kinds, values, ends = kinds[kept], values[kept], ends[kept]
         starts = np.concatenate(([True], ends[:-1])) if len(ends) else ends
