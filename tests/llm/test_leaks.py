@@ -43,3 +43,16 @@ def test_siblings_whose_shared_value_stands_for_two(spark):
     found = _found(spark, items, [(7, f"{OWN} {before} {after}".format(81, 93)), (8, f"{OWN} {before} {after}".format(81, 81))])
     assert {(r.doc_id, r.item_id) for r in found} >= {(7, 2), (8, 1)}
     assert not any(r.verbatim for r in found)
+
+
+def test_items_dense_in_slots_are_matched_as_a_whole(spark):
+    items = [(1, "Add 12 34 56 78 91 23 45 67 89 10 11 13 14 15 16 17 now"),
+             (2, "On Monday Carla Rossi paid 45 euros and Marco Bianchi paid 32 euros"), (3, "12 34 56 78 91 23 45 67 89 10 11 13 14 15")]
+    other = "Add 21 43 65 87 19 32 54 79 98 71 72 73 74 75 76 77 now"
+    rows = [(1, f"{OWN}. {other} {OWN}"), (2, f"{OWN}. On Friday Paula Verdi paid 81 euros and Dario Neri paid 19 euros {OWN}"),
+            (3, f"{OWN}. {other[:-4]} {OWN}"), (4, f"{OWN}. {other.replace('77', '21')} {OWN}"),
+            (5, f"{OWN}. On Friday Paula Verdi paid 81 euros and Dario Neri owed 19 euros {OWN}"),
+            (6, " ".join(str(n) for n in range(300, 400)))]
+    found = _found(spark, items, rows)
+    # 3 lacks the last word; 4 gives the last number the first one's value, more than a window away; 6 is numbers only
+    assert {(r.doc_id, r.item_id, r.verbatim) for r in found} == {(1, 1, False), (2, 2, False), (4, 1, False)}

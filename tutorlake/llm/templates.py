@@ -6,6 +6,9 @@ numbers the placeholders of a window by first occurrence of their value, so only
 pattern meet; across the windows of one alignment a benchmark value must always stand for the same document value.
 That catches questions with other numbers and names and leaves texts alone that merely have the same shape.
 
+Items so dense in slots that none of their windows is mostly plain words are matched as a whole: all their windows that
+hold a plain word must be found along one alignment, with consistent slots.
+
 A second key of a window holds its lower-cased token values alone.  It finds verbatim copies whatever the types of their
 tokens, also of items that are dense in numbers and names, or too short for a template.
 
@@ -30,8 +33,8 @@ from tutorlake.session import stored
 
 #: Tokens of a window.  A shorter benchmark item is one window of its own length; a template has LEAST tokens.
 WIDTH, LEAST = 13, 5
-#: Share of a template's tokens that must be plain words.
-PLAIN = 0.5
+#: Share of plain words from which a template window is evidence alone, and plain words that a template item has at least.
+PLAIN, ANCHORS = 0.5, 2
 #: Cells of each bit table that is sent to every task: 512 KB whatever the benchmark's size.
 CELLS = 1 << 22
 
@@ -148,7 +151,7 @@ def _signed(numbers: list[int]) -> list[int]:
     return [n - (1 << 64) if n >= 1 << 63 else n for n in numbers]
 
 
-_WINDOWS = "id long, at int, width int, word int, last_word int, loose long, key long, slots array<long>, same boolean"
+_WINDOWS = "id long, at int, width int, word int, last_word int, loose long, key long, slots array<long>, same boolean, needed int"
 
 
 def _set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -173,20 +176,29 @@ def _windows(table: DataFrame, widths: list[int] | None, cells, whole_items: boo
                     exact = window_hashes(values, width)
                     for i in (np.arange(len(exact)) if bits is None else _set(bits[1], exact)).tolist():
                         number = _signed([int(exact[i])])
-                        out.append((row_id, i, width, int(words[i]), int(words[i + width - 1]), *number, *number, [], True))
+                        out.append((row_id, i, width, int(words[i]), int(words[i + width - 1]), *number, *number, [], True, 0))
                     if width < LEAST:
                         continue
                     loose = window_hashes(plain, width)
-                    for i in (np.arange(len(loose)) if bits is None else _set(bits[0], loose)).tolist():
-                        kinds = types[i:i + width]
-                        if np.count_nonzero(kinds == 0) < PLAIN * width:
-                            continue
-                        key, slots = window_key(kinds, values[i:i + width])
+                    found = np.arange(len(loose)) if bits is None else _set(bits[0], loose)
+                    words_before = np.concatenate(([0], np.cumsum(types == 0)))
+                    held = words_before[found + width] - words_before[found]
+                    needed = 0
+                    if whole_items and (held >= PLAIN * width).any():
+                        found = found[held >= PLAIN * width]
+                    elif whole_items:
+                        found = found[(held > 0) & (words_before[-1] >= ANCHORS)]
+                    else:
+                        found = found[held > 0]
+                    keyed = [(i, *window_key(types[i:i + width], values[i:i + width])) for i in found.tolist()]
+                    if whole_items and not (held >= PLAIN * width).any():
+                        needed = len({(key, *slots) for _, key, slots in keyed})
+                    for i, key, slots in keyed:
                         out.append((row_id, i, width, int(words[i]), int(words[i + width - 1]),
-                                    *_signed([int(loose[i])]), key, _signed(slots), False))
+                                    *_signed([int(loose[i])]), key, _signed(slots), False, needed))
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()),
-                     pa.bool_())
-            names = ("id", "at", "width", "word", "last_word", "loose", "key", "slots", "same")
+                     pa.bool_(), pa.int32())
+            names = ("id", "at", "width", "word", "last_word", "loose", "key", "slots", "same", "needed")
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for t, c in zip(kinds, zip(*out))], names)
 
@@ -197,7 +209,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id``, ``item_id``, ``n_windows``, ``first_word``, ``last_word``, ``verbatim``: where documents hold benchmark items.
 
     One row per document, item and alignment; items that share a window are all named, of items with one text the
-    smallest id.  ``verbatim`` says that all slots have the item's values.  An item of fewer than LEAST tokens is found verbatim only.
+    smallest id.  ``verbatim`` says that all slots have the item's values.  An item of fewer than LEAST tokens is found verbatim only,
+    and so is one that is dense in slots and has fewer than ANCHORS plain words.
     Texts that are missing or empty match nothing; repeated
     documents are reported once; a missing doc_id is reported as such.  Items without id or text are left out.
     Clashing further columns are ignored.
@@ -207,8 +220,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.min(F.col("item_id").cast("long")).alias("id")).select("id", "text")
     items = stored(_windows(items, None, None, True), "leak-items")
     # Items with one template and other values stay apart, so that each one's slots are checked along its whole alignment.
-    known = stored(items.groupBy("same", "key", "id", "slots").agg(F.min("at").alias("item_at"))
-                   .select("same", "key", F.col("id").alias("item_id"), "item_at", F.col("slots").alias("item_slots")), "leak-keys")
+    known = stored(items.groupBy("same", "key", "id", "slots").agg(F.min("at").alias("item_at"), F.max("needed").alias("needed"))
+                   .select("same", "key", F.col("id").alias("item_id"), "item_at", "needed", F.col("slots").alias("item_slots")), "leak-keys")
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # at most WIDTH of them
     bits = np.zeros(2 * CELLS // 8, np.uint8)
     cell = F.col("loose").bitwiseAND(F.lit(CELLS - 1)).cast("int") + F.when(F.col("same"), CELLS).otherwise(0)
@@ -216,7 +229,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     np.bitwise_or.at(bits, marked >> 3, (1 << (marked & 7)).astype(np.uint8))
     sent = spark.sparkContext.broadcast(bits.tobytes())
     texts = documents.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    hits = _windows(texts, widths, sent, False).dropDuplicates(["id", "at", "width", "same", "key"]).join(known, ["same", "key"])
+    hits = _windows(texts, widths, sent, False).drop("needed").dropDuplicates(["id", "at", "width", "same", "key"]).join(known, ["same", "key"])
     hits = stored(hits.withColumn("shift", F.col("at") - F.col("item_at")), "leak-hits")
     slots = hits.select("id", "item_id", "shift", F.explode(F.arrays_zip("item_slots", "slots")).alias("s"))
     torn = (slots.groupBy("id", "item_id", "shift", "s.item_slots").agg(F.min("s.slots").alias("lo"), F.max("s.slots").alias("hi"))
@@ -224,13 +237,15 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     # A window that is found by template and by value counts once.
     equal = F.col("same") | (F.col("slots") == F.col("item_slots"))
     once = hits.groupBy("id", "item_id", "shift", "at", "width").agg(
-        F.min("word").alias("word"), F.max("last_word").alias("last_word"), F.max(equal).alias("equal"))
+        F.min("word").alias("word"), F.max("last_word").alias("last_word"), F.max(equal).alias("equal"),
+        F.max(~F.col("same")).alias("template"), F.max("needed").alias("needed"))
     groups = once.groupBy("id", "item_id", "shift").agg(
         F.count(F.lit(1)).alias("n_windows"), F.min("word").alias("first_word"), F.max("last_word").alias("last_word"),
-        F.min("equal").alias("verbatim"), F.max("equal").alias("some_verbatim"))
+        F.min("equal").alias("verbatim"), F.max("equal").alias("some_verbatim"),
+        (F.count_if("template") >= F.max("needed")).alias("complete"))
     torn = torn.select(F.col("id").alias("i"), F.col("item_id").alias("t"), F.col("shift").alias("s"), F.lit(True).alias("torn"))
     groups = groups.join(torn, F.col("id").eqNullSafe(F.col("i")) & (F.col("item_id") == F.col("t")) & (F.col("shift") == F.col("s")), "left")
-    return groups.filter("some_verbatim OR torn IS NULL").select(
+    return groups.filter("some_verbatim OR torn IS NULL AND complete").select(
         F.col("id").alias("doc_id"), "item_id", "n_windows", "first_word", "last_word", "verbatim")
 
 
