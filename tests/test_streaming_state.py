@@ -256,3 +256,13 @@ def test_user_changes_of_many_micro_batches_mix_as_in_one_fold(spark, tmp_path):
     assert state_of(pipeline, "users") == sorted(map(repr, whole.select(*sorted(whole.columns)).collect()))
     assert set(whole.columns) == {*USERS.keys, *USERS.policies}
     assert children(spark, f"{tmp_path}/silver/users.buckets") == ["3"] and mark is not None
+
+
+def test_the_state_is_asked_without_a_python_call_per_key(spark, tmp_path):
+    bodies = [flat("certificate.certificate_issued", n % 40, {"certificate_id": f"C{n}", "user_id": 1}) for n in range(80)]
+    landed(spark, bodies).write.json(str(tmp_path / "in"))
+    pipeline = EventPipeline(spark, str(tmp_path / "out"), buckets=2)
+    (progress,) = _stream(spark, tmp_path, pipeline)
+    (state,) = progress["stateOperators"]
+    assert (state["operatorName"], state["numRowsTotal"]) == ("dedupe", 40)
+    assert sorted(r.seq for r in pipeline.log.read().collect()) == list(range(40))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def first_seen(df: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
@@ -33,33 +33,23 @@ def stream_first(df: DataFrame, key: str, watermark: tuple[str, str] | None = No
     return df.withWatermark(*watermark).dropDuplicatesWithinWatermark([key])
 
 
+#: Groups that a micro-batch's rows are dealt into to find the first copy of each key.
+_GROUPS = 1024
+
+
 def first_ever(df: DataFrame, key: str, seq: str, counts: Column) -> DataFrame:
     """Streaming form over all history: the first row of every key, by ``seq`` within the micro-batch that brings it.
 
     Each key is an entry of the stream's state store, which is asked for the keys of a micro-batch alone.  Rows for which
-    ``counts`` does not hold all pass and leave no state.
+    ``counts`` does not hold all pass and leave no state.  Copies inside a micro-batch are reduced to the first before the
+    store is asked, so that it never has to choose.
     """
-    own = F.concat(F.lit("row "), F.col(seq).cast("string"))
-    # Values travel as text: numbers with NULLs would come back as floating point.
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns],
-                      F.when(counts, F.concat(F.lit("key "), F.col(key))).otherwise(own).alias("__key"))
-
-    def pick(group: tuple[str], chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        counted, best = group[0].startswith("key "), None
-        for chunk in chunks:
-            chunk = chunk.drop(columns="__key")
-            if not counted:
-                yield chunk
-            elif not state.exists:
-                order = chunk[seq].astype("int64")
-                row = chunk.loc[[order.idxmin()]]
-                if best is None or int(row[seq].iloc[0]) < int(best[seq].iloc[0]):
-                    best = row
-        if best is not None:
-            state.update((int(best[seq].iloc[0]),))
-            yield best
-
-    schema = ", ".join(f"`{c}` string" for c in df.columns)
-    first = texts.groupBy("__key").applyInPandasWithState(pick, schema, "seq long", "append", GroupStateTimeout.NoTimeout)
-    return first.select(*[F.col(c).cast(kinds[c]).alias(c) for c in df.columns])
+    def firsts(rows: pa.Table) -> pa.Table:
+        rows = rows.take(pc.sort_indices(rows, [(key, "ascending"), (seq, "ascending")]))
+        keys = rows.column(key).combine_chunks()
+        begins = pc.fill_null(pc.not_equal(keys[1:], keys[:-1]), True)
+        return rows.filter(pa.chunked_array([pa.array([True]), begins]))
+
+    counted = F.coalesce(counts, F.lit(False))
+    dealt = df.filter(counted).groupBy(F.pmod(F.xxhash64(key), F.lit(_GROUPS)))
+    return dealt.applyInArrow(firsts, df.schema).dropDuplicates([key]).unionByName(df.filter(~counted))
