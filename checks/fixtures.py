@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tutorlake.streaming.tables import bytes_below
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -168,12 +170,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_ITEMS_OF_ORDERS = "FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey"
+_BOUGHT = f"{_ITEMS_OF_ORDERS} JOIN {{customer}} ON o_custkey = c_custkey"
+#: Spark deals the bought items by customer before they grow to whole rows, so many to a task; what groups them by learner
+#: and more then needs no other shuffle.
+_BY_CUSTOMER = ("FROM (SELECT /*+ REPARTITION({tasks}, o_custkey) */ * {joined}) bought "
+                "JOIN {{customer}} ON o_custkey = c_custkey")
+
+#: Bytes of a given table's file that one task shapes or writes.
+_SHARE = 1 << 20
+
+
+def shares(spark: SparkSession, sf_dir: str, name: str, share: int = _SHARE, least: int = 4) -> int:
+    """Tasks for work on a given table, by the size of its file, so that each sees as much however large the table is."""
+    return max(least, -(-bytes_below(spark, f"{sf_dir}/{name}.parquet") // share))
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = _spark_sql(FIXTURES[name])
     for inner in reversed(NEEDS.get(name, ())):
         text = re.sub(rf"\bFROM {inner}\b", f"FROM ({_spark_sql(FIXTURES[inner])}) {inner}", text)
-    used = [t for t in TABLES if "{" + t + "}" in text]
-    return spark.sql(text, **{t: table(spark, sf_dir, t) for t in used})
+    if _BOUGHT in text:
+        text = text.replace(_BOUGHT, _BY_CUSTOMER.format(tasks=shares(spark, sf_dir, "lineitem", 2 << 20), joined=_ITEMS_OF_ORDERS))
+    used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
+    return spark.sql(text, **used)
 
 
 def oracle(body: str, *names: str, **ctes: str) -> str:
