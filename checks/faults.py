@@ -12,7 +12,7 @@ from checks.attendance import _summary_sql
 from checks.common import fold_sql, query
 from checks.courses import _CLEAN, _RAW_CTE, _STUDENTS, _WHOLE_ID, raw_catalogue
 from checks.entities import _BACKFILL_FIRST, KEYS, purchases
-from checks.fixtures import SEQ, fixture, oracle, table
+from checks.fixtures import SEQ, fixture, oracle, shares, table
 from tutorlake import session
 from tutorlake.functions.jsonfields import text_at, typed_at
 from tutorlake.operators import predicates, upsert
@@ -353,7 +353,9 @@ def _(spark, sf_dir):
     name = F.concat(F.when(key % 5 == 0, F.lit("e2e-")).otherwise(F.lit("ev-")), key.cast("string"))
     bodies = [F.concat(F.lit('{"id":"'), name, F.lit(f'-{kind}","event_name":"{event}","event_timestamp":1700000000,"data":{{"user_id":'), user, F.lit(f"{more}}}}}"))
               for kind, event, more in (("u", "user.user_created", ',"email":"a@mail.example"'), ("a", "assessments.test_submitted", ',"attempt_id":1'))]
-    rows = table(spark, sf_dir, "customer").select(
+    # Bodies are many times a key's size; a file of one row group would come as one task.
+    keys = table(spark, sf_dir, "customer").select("c_custkey").repartition(shares(spark, sf_dir, "customer"))
+    rows = keys.select(
         F.posexplode(F.array(*bodies)).alias("place", "body"), key.alias("key")).select(
         (F.col("key") * 2 + F.col("place")).alias("seq"), F.timestamp_seconds(F.lit(1700000000)).alias("received_at"),
         F.lit("application/json").alias("content_type"), "body")
