@@ -57,7 +57,7 @@ _BACKFILL_FIRST = ["event_id", "course_name", "master_batch_name", "source", "st
 def _(spark, sf_dir):
     rows, rule = purchases(spark, sf_dir), TRANSACTIONS_BACKFILL
     # What is there already went through the same rule; the historical rows come on top.
-    there = upsert.fold(rows.filter("source = 'webhook'"), rule.keys, SEQ, rule.policies)
+    there = session.stored(upsert.fold(rows.filter("source = 'webhook'"), rule.keys, SEQ, rule.policies), "transactions")
     state = upsert.apply(there, rows.filter("source <> 'webhook'"), rule.keys, SEQ, rule.policies)
     return state.select(*KEYS, *_BACKFILL_FIRST, "email", "full_name")
 
