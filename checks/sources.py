@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from checks.common import query
 from checks.entities import _ENROLMENTS_CTE, enrolments
-from checks.fixtures import fixture, oracle, table
+from checks.fixtures import fixture, oracle, shares, table
 from tutorlake import session
 from tutorlake.functions.jsonfields import text_at, typed_at
 from tutorlake.plans import attendance, courses
@@ -18,7 +18,7 @@ from tutorlake.sources import calendar, csvfiles, pages, sinks
 
 
 def _in_order(df: DataFrame, key: str, files: int = 4) -> DataFrame:
-    """A few files whose names and rows both follow ``key``."""
+    """Files whose names and rows both follow ``key``."""
     return df.repartitionByRange(files, key).sortWithinPartitions(key)
 
 
@@ -42,7 +42,7 @@ def _(spark, sf_dir):
         F.concat(F.lit('"House ""'), F.col("user_id").cast("string"), F.lit('"",\nStreet"')), F.col("state"),
         F.when(F.col("user_id") % 3 == 0, F.lit('"5, or more"')).otherwise(F.lit("")), F.lit("44"))
     path = session.scratch_path(spark, "students")
-    lines = _in_order(users, "user_id").select(line.alias("value"))
+    lines = _in_order(users, "user_id", shares(spark, sf_dir, "customer")).select(line.alias("value"))
     lines.mapInPandas(_with_two_header_lines, "value string").write.text(path)
     read = csvfiles.read_students(spark, path)
     return read.select("source_row", "row_number", "name", "email", "address", "state", "teaching_experience", "age_v2", "website")
@@ -55,7 +55,7 @@ FROM enrolments""", "transactions", **_ENROLMENTS_CTE))
 def _(spark, sf_dir):
     path = session.scratch_path(spark, "enrolments")
     # The blanks around cells are part of them.
-    _in_order(enrolments(spark, sf_dir), "source_row").drop("source_row").write.csv(
+    _in_order(enrolments(spark, sf_dir), "source_row", shares(spark, sf_dir, "lineitem", 4 << 20)).drop("source_row").write.csv(
         path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return csvfiles.read_enrolments(spark, path).select(
         "source_row", "user_id", "name", "email", "bundle_id", "class_name", "master_batch_id", "institution_bundle_id",
@@ -64,7 +64,7 @@ def _(spark, sf_dir):
 
 def _catalogue_csv(spark, sf_dir) -> str:
     path = session.scratch_path(spark, "catalogue")
-    parts = _in_order(table(spark, sf_dir, "part"), "p_partkey")
+    parts = _in_order(table(spark, sf_dir, "part"), "p_partkey", shares(spark, sf_dir, "part"))
     parts.select(
         F.col("p_partkey").alias("#"), F.col("p_name").alias("Course Name"), F.col("p_type").alias("Course-Name"),
         F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).alias("Cost (INR) "), F.col("p_size").alias("Num. Students"),
