@@ -20,7 +20,7 @@ KEYS = ["user_id", "bundle_id", "master_batch_id"]
 
 def purchases(spark, sf_dir) -> DataFrame:
     none = F.lit(None).cast("string")
-    return fixture(spark, sf_dir, "transactions").withColumns({
+    return fixture(spark, sf_dir, "transactions", by_customer=True).withColumns({
         "event_type": F.lit("transaction.user_purchase_completed"), "event_timestamp": F.col("created_at"),
         "original_price": F.col("final_price"), "discount": F.col("final_price") - F.col("final_price"),
         "currency": F.lit("INR"), "institution_bundle_id": none, "end_date": F.col("start_date"),

@@ -186,11 +186,11 @@ def shares(spark: SparkSession, sf_dir: str, name: str, share: int = _SHARE, lea
     return max(least, -(-bytes_below(spark, f"{sf_dir}/{name}.parquet") // share))
 
 
-def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def fixture(spark: SparkSession, sf_dir: str, name: str, by_customer: bool = False) -> DataFrame:
     text = _spark_sql(FIXTURES[name])
     for inner in reversed(NEEDS.get(name, ())):
         text = re.sub(rf"\bFROM {inner}\b", f"FROM ({_spark_sql(FIXTURES[inner])}) {inner}", text)
-    if _BOUGHT in text:
+    if by_customer:
         text = text.replace(_BOUGHT, _BY_CUSTOMER.format(tasks=shares(spark, sf_dir, "lineitem", 2 << 20), joined=_ITEMS_OF_ORDERS))
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
     return spark.sql(text, **used)
