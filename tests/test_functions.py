@@ -110,3 +110,21 @@ def test_staff_and_batch_rules_treat_nulls_differently(spark):
     names = spark.createDataFrame([("Test batch 1",), ("test my BATCH",), ("Real",), (None,)], "n string")
     assert [r.n for r in names.filter(predicates.not_test_batch(F.col("n"))).collect()] == ["test my BATCH", "Real"]
     assert [r.n for r in names.filter(predicates.not_test_batch_any_case(F.col("n"))).collect()] == ["Real", None]
+
+# --- fast paths give what the whole way gives ---------------------------------
+
+
+def test_plain_numbers_and_dates_are_not_cleaned_first(spark):
+    texts = ["12", " 12 ", "\u200312\xa0", "+7", "-0", "0", " 0 ", "00", "", "None", "1.5", "12\n", "12\x85", "\x0012", "9" * 20, None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        clean.safe_int("t").alias("i"), clean.epoch_or_null("t").alias("e"))
+    whole = [12, 12, 12, 7, 0, 0, 0, 0, None, None, None, 12, 12, None, None, None]
+    assert [r.i for r in got.collect()] == whole
+    assert [r.e for r in got.collect()] == [*whole[:5], None, None, *whole[7:]]
+    days = ["3 Mar 2024", " 3  Mar 2024 ", "2024-3-3", "31/2/2024", "3/13/2024", "soon", None]
+    got = spark.createDataFrame([(t,) for t in days], "t string").select(clean.parse_date("t").cast("string").alias("d")).collect()
+    assert [r.d for r in got] == ["2024-03-03", "2024-03-03", "2024-03-03", None, "2024-03-13", None, None]
+
+
+def test_an_instant_asks_for_its_seconds_three_times_at_most(spark):
+    assert str(clean.epoch_ts(F.col("seconds"))).count("seconds") - str(clean.epoch_ts(F.col("s"))).count("seconds") <= 3

@@ -40,6 +40,8 @@ WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u2
 )
 
 _WHOLE = r"^[+-]?[0-9]+$"
+#: A whole number as it mostly comes: nothing but blanks around it, which a cast drops by itself.
+_PLAIN_WHOLE = r"^ *[+-]?[0-9]+ *\z"
 _DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -65,9 +67,10 @@ def clean_text(c: Column | str, null_tokens: Sequence[str] = NULL_TOKENS) -> Col
 
 def safe_int(c: Column | str, commas: bool = False) -> Column:
     """Whole number or NULL; with ``commas`` thousands separators are dropped."""
-    text = _col(c).cast("string")
-    text = strip(F.replace(text, F.lit(","), F.lit("")) if commas else text)
-    return F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
+    raw = _col(c).cast("string")
+    raw = F.replace(raw, F.lit(","), F.lit("")) if commas else raw
+    text = strip(raw)
+    return F.when(raw.rlike(_PLAIN_WHOLE), raw.try_cast("bigint")).otherwise(F.when(text.rlike(_WHOLE), text.try_cast("bigint")))
 
 
 def safe_bigint(c: Column | str) -> Column:
@@ -84,8 +87,10 @@ def safe_float(c: Column | str, null_tokens: Sequence[str] = (SPREADSHEET_ERROR,
 
 def epoch_or_null(c: Column | str) -> Column:
     """Epoch seconds as text; blank, zero and ``None`` mean no value."""
-    text = strip(c)
-    return F.when(~text.isin(*EPOCH_NULL_TOKENS), safe_int(text))
+    raw = _col(c).cast("string")
+    text = strip(raw)
+    return F.when(raw.rlike(_PLAIN_WHOLE), F.when(F.trim(raw) != "0", raw.try_cast("bigint"))).otherwise(
+        F.when(~text.isin(*EPOCH_NULL_TOKENS), safe_int(text)))
 
 
 #: What each letter run of a layout may look like; other characters stand for themselves.
@@ -115,8 +120,14 @@ def _squeezed(text: Column) -> Column:
 
 def parse_date(c: Column | str, formats: Sequence[str] = ATTENDANCE_DATE_FORMATS) -> Column:
     """First layout that fits gives the date, otherwise NULL."""
-    text = _squeezed(strip(c))
-    return F.coalesce(*[F.when(text.rlike(_shape(fmt)), F.try_to_date(text, fmt)) for fmt in formats])
+    raw = _col(c).cast("string")
+    text = _squeezed(strip(raw))
+
+    def read(t: Column, end: str) -> list[Column]:
+        return [F.when(t.rlike(_shape(fmt)[:-1] + end), F.try_to_date(t, fmt)) for fmt in formats]
+
+    # A text that has a layout as it is needs no cleaning; few do not.
+    return F.coalesce(*read(raw, r"\z"), *read(text, "$"))
 
 
 def _zoned(text: Column, fmt: str, zone: str) -> Column:
@@ -162,7 +173,7 @@ def epoch_fits(c: Column | str) -> Column:
 def epoch_ts(c: Column | str) -> Column:
     """Epoch seconds as an instant; NULL for numbers that are no date between the years 1 and 9999."""
     seconds = _col(c)
-    return F.when(epoch_fits(seconds), F.timestamp_seconds(F.when(epoch_fits(seconds), seconds)))
+    return F.timestamp_seconds(F.when(epoch_fits(seconds), seconds))
 
 
 def local_datetime(ts: Column | str, zone: str = "UTC") -> Column:
