@@ -177,3 +177,25 @@ def test_views_can_be_asked_in_sql(spark):
     names = gold.register_views(spark, tables)
     assert len(names) == 13
     assert spark.sql("SELECT sum(total_learners_count) AS n FROM gold_learner").first().n > 0
+
+
+def test_landed_rows_read_their_fields_in_one_go(spark):
+    """Odd values of alternate names, and the number of look-ups in a row."""
+    entries = ['{"student_Id":"0","student_id":5,"studentRating":"4"}', '{"student_Id":0,"student_id":5}', '{"student_Id":"","student_id":" 7 "}',
+               '{"student_Id":false,"student_id":null}', '{"student_Id":"false"}', '{"student_Id":-0.0,"student_id":"x"}', '{"student_id":9}',
+               '{"student_Id":12,"classDate":"3 Mar 2024"}', '[1]', '{"student_Id":{"a":1},"student_id":3}', 'null']
+    docs = spark.createDataFrame([(i, e) for i, e in enumerate(entries)], "seq int, e string").select(
+        "seq", F.lit(None).cast("date").alias("pull_date"), F.parse_json("e").alias("row"))
+    landed = attendance.landed_rows(docs)
+    assert [r.student_id for r in landed.orderBy("seq").collect()] == [0, 5, 7, None, None, None, 9, 12, None, None, None]
+    assert [str(r.class_date_parsed) for r in landed.filter("seq = 7").collect()] == ["2024-03-03"]
+    ids = landed.select("student_id", "batch_id", "student_email", "class_date_parsed")._jdf.queryExecution().optimizedPlan().toString()
+    assert "__texts" in ids and "studentEmail]" in ids and 'studentEmail"]' not in ids
+
+
+def test_the_list_of_a_page_is_the_first_key_that_holds_something(spark):
+    docs = ['{"data":[1,2],"rows":[3]}', '{"data":null,"rows":[3]}', '{"data":5,"rows":[3]}', '{"data":{"a":1},"rows":[3]}', '{"data":"","rows":[3]}',
+            '{"report":[4]}', '{"data":[],"rows":[3]}', '[5]', '7', '{"data":false,"report":[4]}']
+    rows = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "n int, d string").select("n", F.parse_json("d").alias("doc"))
+    found = pages.unwrap_rows(rows, "n").select("n", "pos", F.to_json("row").alias("row"))
+    assert sorted(map(tuple, found.collect())) == [(0, 0, "1"), (0, 1, "2"), (1, 0, "3"), (5, 0, "4")]

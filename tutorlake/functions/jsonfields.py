@@ -66,16 +66,29 @@ def text_or_falsy(doc: Column, *keys: str) -> Column:
 
     Text ``'0'`` counts as a value, the number 0 does not.
     """
-    node, text = node_at(doc, *keys), text_at(doc, *keys)
-    return F.when(is_string(node), F.nullif(text, F.lit(""))).when(
-        ~text.rlike(r"^(-?0+(\.0+)?([eE].*)?|false)$"), text
-    )
+    return _unless_falsy(text_at(doc, *keys), node_at(doc, *keys))
 
 
-def first_truthy(doc: Column, *names: str) -> Column:
-    """First truthy value among alternate names of one field, else whatever the last name holds."""
+def _unless_falsy(text: Column, node: Column) -> Column:
+    # Only where the text reads zero or false does it matter whether it was written as a text; most begin otherwise.
+    zero = text.rlike(r"^(-?0+(\.0+)?([eE].*)?|false)$")
+    return F.when(text.isNull() | ((text >= "1") & (text < "f")), text).when(~zero, F.nullif(text, F.lit(""))).when(is_string(node), text)
+
+
+def texts_of(doc: Column) -> Column:
+    """All fields of an object as text by name, read in one go; NULL for what is no object."""
+    return F.try_variant_get(doc, "$", "map<string,string>")
+
+
+def first_truthy(doc: Column, *names: str, texts: Column | None = None) -> Column:
+    """First truthy value among alternate names of one field, else whatever the last name holds.
+
+    ``texts`` is the document's ``texts_of``, where many fields are read.
+    """
     *others, last = names
-    return F.coalesce(*[text_or_falsy(doc, name) for name in others], text_at(doc, last))
+    if texts is None:
+        return F.coalesce(*[text_or_falsy(doc, name) for name in others], text_at(doc, last))
+    return F.coalesce(*[_unless_falsy(texts[name], node_at(doc, name)) for name in others], texts[last])
 
 
 def first_present(doc: Column, *names: str) -> Column:

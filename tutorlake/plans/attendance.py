@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tutorlake.functions import clean
-from tutorlake.functions.jsonfields import first_truthy, text_at
+from tutorlake.functions.jsonfields import first_truthy, staged, texts_of
 from tutorlake.operators import predicates, upsert
 from tutorlake.operators.policies import ATTENDANCE_RAW, CLASS_ATTENDANCE
 from tutorlake.operators.ranking import number_by_day
@@ -50,16 +50,16 @@ def landed_rows(rows: DataFrame, staff_token: str = predicates.STAFF_TOKEN) -> D
 
     ``is_staff`` marks the rows that ingestion skips.
     """
-    row = F.col("row")
-    email = F.coalesce(text_at(row, "studentEmail"), text_at(row, "student_email"))
-    return rows.select(
+    row, texts = F.col("row"), F.col("__texts")
+    email = F.coalesce(texts["studentEmail"], texts["student_email"])
+    return staged(rows, __texts=texts_of(row)).select(
         "pull_date", "seq",
-        *[clean.safe_int(first_truthy(row, *names)).alias(name) for name, names in _IDS.items()],
-        clean.safe_int(text_at(row, "attendance_id")).alias("attendance_id"),
-        clean.safe_int(text_at(row, "studentRating")).try_cast("int").alias("student_rating"),
+        *[clean.safe_int(first_truthy(row, *names, texts=texts)).alias(name) for name, names in _IDS.items()],
+        clean.safe_int(texts["attendance_id"]).alias("attendance_id"),
+        clean.safe_int(texts["studentRating"]).try_cast("int").alias("student_rating"),
         email.alias("student_email"),
-        *[text_at(row, key).alias(name) for name, key in _TEXTS.items()],
-        clean.parse_date(text_at(row, "classDate")).alias("class_date_parsed"),
+        *[texts[key].alias(name) for name, key in _TEXTS.items()],
+        clean.parse_date(texts["classDate"]).alias("class_date_parsed"),
         F.to_json(row).alias("raw_payload"),
         predicates.staff_at_ingest(email, staff_token).alias("is_staff"),
     )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tutorlake.functions.jsonfields import accept_repeated_keys, is_string, node_at, staged, text_at
+from tutorlake.functions.jsonfields import accept_repeated_keys, is_string, node_at, path, staged, text_at
 from tutorlake.operators.totals import total_before
 from tutorlake.session import stored
 from tutorlake.sources.cutpages import cut_pages
@@ -75,11 +75,11 @@ def _explode(pages: DataFrame, rows: Column, name: str, *carry: str) -> DataFram
 
 def unwrap_rows(pages: DataFrame, *carry: str, keys: Sequence[str] = ATTENDANCE_KEYS) -> DataFrame:
     """One ``row`` per entry of the first key that is present and not null."""
-    chosen = F.lit(None).cast("array<variant>")
+    none = chosen = F.lit(None).cast("array<variant>")
     for key in reversed(keys):
-        node = node_at(F.col("doc"), key)
-        usable = node.isNotNull() & ~F.is_variant_null(node)
-        chosen = F.when(usable, _list_at(F.col("doc"), key)).otherwise(chosen)
+        # A list counts whatever else there is; only where there is none does it matter whether the key holds another value.
+        usable = text_at(F.col("doc"), key).isNotNull()
+        chosen = F.coalesce(F.try_variant_get(F.col("doc"), path(key), "array<variant>"), F.when(usable, none).otherwise(chosen))
     return _explode(pages, chosen, "row", *carry)
 
 
