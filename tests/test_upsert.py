@@ -99,3 +99,22 @@ def test_other_columns_of_the_target_stay(spark):
     assert sorted(map(tuple, state.select("k", "v", "cost", "extra", "n").collect()), key=repr) == sorted([
         (1, "x", None, "kept", 5), (2, "b", None, "also", 6), (3, "y", 2.5, None, None), (None, "n", None, "null key", 7),
         (None, "z", 3.5, None, None)], key=repr)
+
+
+@pytest.mark.parametrize("null_keys", ["append", "match"])
+def test_stored_rows_are_dealt_by_key_once(spark, null_keys):
+    """Rows with and without changes come from one shuffle; repeated stored keys without a change stay, so do NULL keys."""
+    target = spark.createDataFrame([(1, 1, "t"), (2, 2, "u"), (2, 2, "u"), (None, 3, "n"), (4, 4, "v")], "k1 int, k2 int, a string")
+    changes = spark.createDataFrame([(5, 1, 1, "c"), (6, None, 3, "d"), (7, 9, 9, "e")], "seq int, k1 int, k2 int, a string")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = upsert.apply(target, changes, KEYS, ["seq"], {"a": LAST}, null_keys)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    assert plan.count("ReusedExchange") == 2
+    same = [(None, 3, "d")] if null_keys == "match" else [(None, 3, "d"), (None, 3, "n")]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, 1, "c"), (2, 2, "u"), (2, 2, "u"), (4, 4, "v"), (9, 9, "e"), *same], key=str)

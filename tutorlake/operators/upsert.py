@@ -127,11 +127,12 @@ def apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], seq: Seque
     kinds = {f.name: f.dataType for f in changes.schema.fields}
     stored = target.select(*target.columns, *[
         F.lit(None).cast(kinds[c]).alias(c) for c in columns if c not in target.columns]).select(*columns, *kept)
-    changed = changes.select(*[F.col(k).alias(f"__key_{k}") for k in keys]).distinct()
+    changed = changes if null_keys == "match" else changes.filter(~_key_has_null(keys))
+    changed = changed.select(*[F.col(k).alias(f"__key_{k}") for k in keys]).distinct()
     same = F.lit(True)
     for key in keys:
-        mine, other = F.col(key), F.col(f"__key_{key}")
-        same = same & (mine.eqNullSafe(other) if null_keys == "match" else mine == other)
+        # Null-safe in either case: an equality would filter one of the two joins' input, and they could not share its shuffle.
+        same = same & F.col(key).eqNullSafe(F.col(f"__key_{key}"))
     untouched = stored.join(changed, same, "left_anti")
     stored = stored.join(changed, same, "left_semi")
     policies = {**policies, **keep_first(kept)}
