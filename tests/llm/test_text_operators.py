@@ -4,6 +4,7 @@ import hashlib
 import re
 import time
 
+import numpy as np
 import pytest
 from fixtures import components, documents, ordered, texts, words
 
@@ -333,3 +334,12 @@ def test_sharding_keeps_clashing_columns(spark):
     found = sharding.sharded(rows, ["doc_id"], 2).collect()
     assert {r.shard for r in found} == {0, 1}
     assert {r.doc_id: r.row_number for r in found} == {1: 0, 3: 1}
+
+
+def test_places_among_distinct_numbers_come_from_one_sort():
+    rng = np.random.default_rng(3)
+    for sizes in ([0], [0, 0], [5, 0, 9], [400, 1, 300]):
+        held = [rng.integers(0, 50, n).astype(np.uint64) << np.uint64(58) for n in sizes]
+        known, places = suffixes._placed(held)
+        assert (known == np.unique(np.concatenate(held))).all() and len(places) == len(held)
+        assert all((known[at] == own).all() for at, own in zip(places, held))
