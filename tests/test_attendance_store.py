@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from tutorlake.operators.policies import ATTENDANCE_RAW
-from tutorlake.plans import attendance
+from tutorlake.plans import attendance, attendance_store
 from tutorlake.plans.attendance_store import AttendanceStore
 
 _NAMES = ("student_id class_id batch_id batch_name bundle_id bundle_name class_date_parsed attendance_id teacher_id teacher_name class_duration "
@@ -77,3 +77,15 @@ def test_a_date_that_loses_all_its_rows_is_empty(spark, tmp_path):
         row = (day(date), 1, 5, 100, 1, "b", 1, "u", day(date), 7, 8, "t", "60", "P", "s@x", False)
         store.load(spark.createDataFrame([row], SCHEMA), stamp(number), number)
     assert [(r.student_id, r.pull_date) for r in store.bronze.read().collect()] == [(5, day(1))]
+
+
+def test_a_pull_is_stored_with_the_columns_that_are_read(spark, tmp_path, monkeypatch):
+    kept, write = {}, attendance_store.stored
+    monkeypatch.setattr(attendance_store, "stored", lambda df, label: kept.setdefault(label, write(df, label)))
+    rows = spark.createDataFrame(pull(random.Random(4), 0, 40), SCHEMA).withColumn("k_order", F.col("seq"))
+    store = AttendanceStore(spark, str(tmp_path), 2)
+    store.load(rows, stamp(0), 0)
+    assert set(kept["pull"].columns) == {*_NAMES, "pull_date", "seq", "loaded_at"}
+    met = {(r.student_id, r.class_id) for r in kept["pull-met"].collect()}
+    twice = rows.filter("NOT is_staff").groupBy("student_id", "class_id").count().filter("count > 1").collect()
+    assert met == {(r.student_id, r.class_id) for r in twice}

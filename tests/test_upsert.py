@@ -1,8 +1,12 @@
 """The fold against a row-by-row simulation."""
 
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
+from tutorlake import session
 from tutorlake.operators import upsert
 from tutorlake.operators.policies import CATALOGUE_FROM_CSV, coalescing
 from tutorlake.operators.upsert import FIRST, FIRST_VALUE, LAST, LAST_VALUE, last, last_value
@@ -72,7 +76,7 @@ def test_null_keys_can_match(spark):
 def test_hot_key_reaches_the_reducer_combined(spark):
     """A partial aggregation stands below the only shuffle."""
     rows = spark.range(1000).selectExpr("id % 3 AS k1", "1 AS k2", "'x' AS w", "id AS seq", *[f"'v' AS {c}" for c in POLICIES])
-    plan = upsert.fold(rows, KEYS, ["seq"], POLICIES)._jdf.queryExecution().executedPlan().toString()
+    plan = upsert.fold(rows, KEYS, ["seq"], POLICIES)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("Exchange") == 1
     assert "partial_max_by" in plan.split("Exchange")[1]
 
@@ -118,3 +122,27 @@ def test_stored_rows_are_dealt_by_key_once(spark, null_keys):
     assert plan.count("ReusedExchange") == 2
     same = [(None, 3, "d")] if null_keys == "match" else [(None, 3, "d"), (None, 3, "n")]
     assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, 1, "c"), (2, 2, "u"), (2, 2, "u"), (4, 4, "v"), (9, 9, "e"), *same], key=str)
+
+
+def test_only_keys_that_meet_are_dealt_out(spark):
+    rng, schema = random.Random(5), "k long, g long, seq long, a string, b string"
+    policies = {"a": upsert.FIRST, "b": upsert.LAST}
+
+    def rows(n, after, keys):
+        return spark.createDataFrame([(rng.choice([None, *range(keys)]), rng.choice([None, 1, 2, 3]), after + i, rng.choice([None, "x", "y"]), str(i))
+                                      for i in range(n)], schema)
+
+    changes, stored = session.stored(rows(60, 1000, 30), "test-changes"), rows(40, 0, 40)
+    target = session.stored(upsert.fold(stored, ["k", "g"], ["seq"], policies).withColumn("kept", F.lit("old")), "test-target")
+    keys = ["k", "g"]
+    several = changes.groupBy(*keys).count().filter("count > 1").select(*keys)
+    for there in (None, target):
+        met = several if there is None else several.union(changes.join(there, keys).select(*keys))
+        met = session.stored(met, "test-met")
+        now = upsert.apply_where_met(there, changes, keys, ["seq"], policies, met)
+        whole = upsert.fold(changes, keys, ["seq"], policies) if there is None else upsert.apply(there, changes, keys, ["seq"], policies)
+        assert now.columns == whole.columns
+        assert sorted(map(repr, now.collect())) == sorted(map(repr, whole.collect()))
+    # Rows that meet nothing are read and passed on: only the groups of the others are shuffled.
+    plan = now._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -59,6 +59,15 @@ def _key_has_null(keys: Sequence[str]) -> Column:
     return missing
 
 
+def _matching(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """The keys of some rows under other names, and the condition that they equal a row's own."""
+    same = F.lit(True)
+    for key in keys:
+        # Null-safe in either case: an equality would filter one of two joins' input, and they could not share its shuffle.
+        same = same & F.col(key).eqNullSafe(F.col(f"__key_{key}"))
+    return rows.select(*[F.col(k).alias(f"__key_{k}") for k in keys]), same
+
+
 def _fold(rows: DataFrame, keys: Sequence[str], order: Column, policies: Mapping[str, Policy],
           is_change: Column, null_keys: str) -> DataFrame:
     """One grouped aggregation; ``order`` is unique within a key."""
@@ -115,11 +124,12 @@ def fold(changes: DataFrame, keys: Sequence[str], seq: Sequence[str], policies:
 
 
 def apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], seq: Sequence[str],
-          policies: Mapping[str, Policy], null_keys: str = "append") -> DataFrame:
+          policies: Mapping[str, Policy], null_keys: str = "append", changed: DataFrame | None = None) -> DataFrame:
     """``target`` after ``changes``: its rows come before every change.
 
     Columns of the target that the rule does not name stay as they are, and are NULL in new rows; columns that the
-    target lacks are added.  Only stored rows whose key is among the changes enter the aggregation.
+    target lacks are added.  Only stored rows whose key is among the changes enter the aggregation.  ``changed`` names
+    these keys where they are at hand; keys without a change do no harm.
     """
     kept = [c for c in target.columns if c not in keys and c not in policies]
     columns = [*keys, *policies]
@@ -127,12 +137,8 @@ def apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], seq: Seque
     kinds = {f.name: f.dataType for f in changes.schema.fields}
     stored = target.select(*target.columns, *[
         F.lit(None).cast(kinds[c]).alias(c) for c in columns if c not in target.columns]).select(*columns, *kept)
-    changed = changes if null_keys == "match" else changes.filter(~_key_has_null(keys))
-    changed = changed.select(*[F.col(k).alias(f"__key_{k}") for k in keys]).distinct()
-    same = F.lit(True)
-    for key in keys:
-        # Null-safe in either case: an equality would filter one of the two joins' input, and they could not share its shuffle.
-        same = same & F.col(key).eqNullSafe(F.col(f"__key_{key}"))
+    named = changes.select(*keys).distinct() if changed is None else changed
+    changed, same = _matching(named if null_keys == "match" else named.filter(~_key_has_null(keys)), keys)
     untouched = stored.join(changed, same, "left_anti")
     stored = stored.join(changed, same, "left_semi")
     policies = {**policies, **keep_first(kept)}
@@ -146,3 +152,18 @@ def apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], seq: Seque
     policies = {n: Policy(p.kind, renamed.get(p.when)) for n, p in policies.items()}
     result = _fold(rows, keys, F.struct("__change", "__seq"), policies, F.col("__change"), null_keys)
     return result.unionByName(untouched)
+
+
+def apply_where_met(target: DataFrame | None, changes: DataFrame, keys: Sequence[str], seq: Sequence[str],
+                    policies: Mapping[str, Policy], met: DataFrame) -> DataFrame:
+    """``apply``, or ``fold`` without a target, where ``met`` holds the keys of several changes or of a change and a stored row.
+
+    Every other change, one with a NULL in its key too, is a row of the result as it is, so that only rows of the keys that
+    meet are dealt out by key.  With a small stored ``met`` the rest moves nowhere.
+    """
+    named, same = _matching(met.filter(~_key_has_null(keys)), keys)
+    alone = changes.join(named, same, "left_anti").select(*keys, *policies)
+    meeting = changes.join(named, same, "left_semi")
+    if target is None:
+        return fold(meeting, keys, seq, policies).unionByName(alone)
+    return apply(target, meeting, keys, seq, policies, changed=met).unionByName(alone, allowMissingColumns=True)

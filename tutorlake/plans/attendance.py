@@ -65,16 +65,19 @@ def landed_rows(rows: DataFrame, staff_token: str = predicates.STAFF_TOKEN) -> D
     )
 
 
-def upsert_raw(rows: DataFrame, target: DataFrame | None = None) -> DataFrame:
+def upsert_raw(rows: DataFrame, target: DataFrame | None = None, met: DataFrame | None = None) -> DataFrame:
     """One row per (student, class): later pulls refresh the status columns.
 
-    A whole range of pull dates is one fold, ordered by pull date and position.
+    A whole range of pull dates is one fold, ordered by pull date and position.  ``met``, where it is known, holds the
+    keys that have several rows or a stored one.
     """
     rule = ATTENDANCE_RAW
     present = [c for c in rows.columns if c in rule.policies]
     policies = {c: p for c, p in rule.policies.items() if c in present}
     changes = rows.withColumn("__pull", F.col("pull_date"))
     seq = ["__pull", "seq"]
+    if met is not None:
+        return upsert.apply_where_met(target, changes, rule.keys, seq, policies, met)
     if target is None:
         return upsert.fold(changes, rule.keys, seq, policies)
     return upsert.apply(target, changes, rule.keys, seq, policies)
