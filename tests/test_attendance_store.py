@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tutorlake.operators.policies import ATTENDANCE_RAW
 from tutorlake.plans import attendance, attendance_store
 from tutorlake.plans.attendance_store import AttendanceStore
+from tutorlake.streaming.tables import DatedTable
 
 _NAMES = ("student_id class_id batch_id batch_name bundle_id bundle_name class_date_parsed attendance_id teacher_id teacher_name class_duration "
           "attendance_status student_email").split()
@@ -89,3 +90,15 @@ def test_a_pull_is_stored_with_the_columns_that_are_read(spark, tmp_path, monkey
     met = {(r.student_id, r.class_id) for r in kept["pull-met"].collect()}
     twice = rows.filter("NOT is_staff").groupBy("student_id", "class_id").count().filter("count > 1").collect()
     assert met == {(r.student_id, r.class_id) for r in twice}
+
+
+def test_few_stretches_of_dates_are_written_without_a_shuffle(spark, tmp_path):
+    rows = spark.createDataFrame([r for n in range(6) for r in pull(random.Random(n), n, 20)], SCHEMA).drop("is_staff")
+    side, dealt = (DatedTable(spark, f"{tmp_path}/{name}", "pull_date") for name in ("side", "dealt"))
+    dealt.SIDE_BY_SIDE = 5
+    kept, seen = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"), []
+    for table in (side, dealt):
+        table.laid_out = lambda df, own=table.laid_out: seen.append(own) or own(df)
+        table.write_some(rows, 0, [], 6)
+        assert rows_of(table.read(), rows.columns) == rows_of(rows, rows.columns)
+    assert len(seen) == 1 and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == kept

@@ -44,7 +44,7 @@ class AttendanceStore:
         merged = attendance.upsert_raw(saved, before, met)
         # Only dates that rows leave can lose all their rows.
         empty = sorted(set(touched) - set(self.bronze.touched(merged))) if left - set(days) else []
-        self.bronze.write(merged, number, empty)
+        self.bronze.write_some(merged, number, empty, len(touched))
         self.dates.append(latest.select(*_KEYS, "pull_date", F.lit(0).cast("long").alias("seq")), number)
 
         mine = self.bronze.read(number + 1, days)
