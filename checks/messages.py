@@ -55,9 +55,12 @@ def _data() -> Column:
         .otherwise(F.lit('{"message":"hello"}')))
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed messages: ``seq``, ``received_epoch``, ``received_at``, ``content_type``, ``body``."""
-    rows = fixture(spark, sf_dir, "messages").withColumn("data", _data())
+def messages(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """Landed messages: ``seq``, ``received_epoch``, ``received_at``, ``content_type``, ``body``.
+
+    A file of events is read by as many tasks as it has row groups; ``dealt``, its rows are written as messages by more.
+    """
+    rows = fixture(spark, sf_dir, "messages", dealt=("events", "event_id") if dealt else None).withColumn("data", _data())
     event = F.to_json(F.struct(F.col("etype").alias("event"), F.col("iso").alias("event_ts"),
                                F.when(~F.col("live"), F.lit(False)).alias("livemode")))
     nested = F.concat(F.lit('{"event":'), event, F.lit(',"payload":'), F.col("data"), F.lit("}"))

@@ -1,11 +1,14 @@
 """Work is dealt into tasks by the size of the tables, never into a fixed few."""
 
+import datetime
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from checks import faults, fixtures, sources
+from checks import entities, faults, fixtures, reports, sources
 from checks.common import QUERIES
+from checks.messages import messages
 from tutorlake.streaming.runner import EventPipeline
 from tutorlake.streaming.tables import StateTable, children
 
@@ -67,3 +70,17 @@ def test_purchases_are_dealt_by_customer_once(spark, tmp_path):
     rows = QUERIES["transactions_upsert_webhook"](spark, sf_dir)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(o_custkey" in plan and "hashpartitioning(user_id" not in plan
+
+
+def test_report_reads_first_copies_of_the_events_that_it_folds(spark, tmp_path):
+    kinds = ["signup", "purchase", "view", "click", "other"]
+    rows = [(i, datetime.datetime(2024, 1, 1 + i % 28, i % 24), i % 50, kinds[i % 5], i / 7, "{}") for i in range(1, 400)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").coalesce(
+        1).write.parquet(f"{tmp_path}/events.parquet")
+    whole = entities.events(spark, str(tmp_path)).withColumn("data", F.to_json("data"))
+    mine = reports.report_events(spark, str(tmp_path))
+    assert mine.columns == ["seq", "received_at", "event_id", "event_type", "event_epoch", "data"]
+    folded = whole.filter("event_type LIKE 'session.%' OR event_type LIKE 'assessments.%' OR event_type LIKE 'certificate.%'").select(mine.columns)
+    assert sorted(map(repr, mine.collect())) == sorted(map(repr, folded.collect()))
+    # One file of events, four tasks at least.
+    assert messages(spark, str(tmp_path), dealt=True).rdd.getNumPartitions() >= 4 > messages(spark, str(tmp_path)).rdd.getNumPartitions()
