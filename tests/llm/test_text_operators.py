@@ -86,6 +86,20 @@ def test_repeated_bytes_go_everywhere(spark, length, order):
     assert ordered(found) == ordered(_without_repeated_bytes(texts(), length))
 
 
+def test_passages_of_over_50_words_go_from_400_bytes_on(spark):
+    rows, expected = [], {}
+    for i, size in enumerate((399, 400, 401, 900)):
+        passage = " ".join(f"p{i}{j:03}" for j in range(200))[:size - 1] + "."
+        assert len(passage) == size and len(words(passage)) > 50
+        for doc_id, (before, after) in ((2 * i, "ab"), (2 * i + 1, "cd")):
+            head, tail = (" ".join(f"{side}{doc_id}x{j}" for j in range(150)) for side in ("head", "tail"))
+            rows.append((doc_id, f"{head}{before}{passage}{after}{tail}", "s"))
+            expected[doc_id] = size if size >= suffixes.LENGTH else 0
+    rows.append((90, " ".join(f"clean{j}" for j in range(300)), "s"))
+    found = {r.doc_id: r.n_removed for r in suffixes.without_repeated_bytes(documents(spark, rows)).collect()}
+    assert found == expected | {90: 0}
+
+
 @pytest.mark.parametrize("order", [3, 5, 7, 13])
 def test_cover_reaches_every_difference(order):
     modulus, residues = suffixes.difference_cover(order)
