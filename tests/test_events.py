@@ -161,6 +161,21 @@ def test_replay(spark, tmp_path):
     assert "seq" in MESSAGE_SCHEMA
 
 
+def test_replay_merges_the_ids_of_the_log_instead_of_broadcasting_them(spark, tmp_path):
+    bodies = [{"id": f"e{i}", "event_name": "a.b", "data": {}} for i in (1, 2, 2, 3, 3, 3)] + ["{broken", {"event_name": "a.b"}]
+    landed(spark, bodies).select("seq", F.lit("DB down").alias("reason"), "body").write.json(str(tmp_path / "f"))
+    landed(spark, [bodies[1], bodies[1], {"id": "e9", "event_name": "a.b"}]).write.parquet(str(tmp_path / "log"))
+    # Ids read out of documents: their size is estimated by that of the file, less the documents.
+    known = EventPipeline.parsed(spark.read.parquet(str(tmp_path / "log")))
+    recovered, remaining = replay(spark, str(tmp_path / "f"), known)
+    plan = recovered._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    # Copies are dropped before the log is asked.
+    assert plan.index("SortMergeJoin") < plan.index("min_by")
+    assert sorted((r.event_id, r.seq) for r in recovered.collect()) == [("e1", 0), ("e3", 3)]
+    assert remaining.count() == 2
+
+
 def test_another_number_of_buckets_is_refused(spark, tmp_path):
     EventPipeline(spark, str(tmp_path), buckets=2).process(landed(spark, EVENTS), 0)
     with pytest.raises(ValueError):
