@@ -104,6 +104,44 @@ def test_search_equals_all_scores(spark, monkeypatch, block):
     assert ordered(found) == ordered(_nearest(rows, 7, lambda q: q % 20 == 0))
 
 
+def test_search_sends_no_block_through_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 7)
+    monkeypatch.setattr(topk, "TILE_BYTES", 60)  # each block is a tile, each query block a group
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.integers(-3, 4, size=4) / 64], 0) for i in range(120)]
+    table = spark.createDataFrame([r[:2] for r in rows], "vec_id long, embedding array<float>")
+    found = topk.nearest(table, F.col("vec_id") % 3 == 0, k=5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Join" not in plan
+    assert ordered(found.collect()) == ordered(_nearest(rows, 5, lambda q: q % 3 == 0))
+
+
+def test_tasks_hold_bounded_bytes_and_send_few():
+    assert topk._dealing(1, 1, 200, 1, 1) == (1, 1)
+    assert topk._dealing(25, 2, 48, 1, 1) == (24, 2)
+    assert topk._dealing(7324, 367, 690, 33, 3) == (115, 6)
+    assert topk._dealing(1000, 100, 8, 300, 40) == (300, 40)
+
+
+@pytest.mark.parametrize("largest", [5, 2 ** 20, 2 ** 31])
+def test_the_best_of_a_tile_in_each_kind_of_number(largest):
+    rng, k = np.random.default_rng(10), 3
+    blocks = [(np.sort(rng.permutation(400)[:40]) + 400 * i, rng.integers(-largest, largest + 1, (40, 2))) for i in range(4)]
+    blocks[3][1][:] = blocks[2][1]  # equal scores under other ids
+    tile = [(ids, matrix, topk._largest(matrix)) for ids, matrix in blocks]
+    queries = tile[1]
+    scores = np.hstack([queries[1] @ m.T for _, m, _ in tile]).astype(object)
+    ids = np.concatenate([i for i, _, _ in tile])
+    for i, own in enumerate(queries[0]):
+        scores[i, ids == own] = topk.OWN
+    low = np.array([sorted(line)[-k - i % 3] - 1 if i % 2 else -(1 << 62) for i, line in enumerate(scores)], np.int64)
+    best = topk._best(queries, tile, k, low)
+    assert [sorted(map(int, line)) for line in best] == [sorted(line)[-k:] for line in scores]
+    rows, found, values = topk._nearest(queries, tile, k, low)
+    expected = [(i, v, j) for i, line in enumerate(scores) for v, j in sorted(zip(line, ids), key=lambda p: (-p[0], p[1]))[:k]]
+    assert sorted(zip(rows.tolist(), values.tolist(), found.tolist())) == sorted((i, int(v), int(j)) for i, v, j in expected)
+
+
 def test_search_over_nothing(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.nearest(table, F.col("vec_id") % 20 == 0).count() == 0

@@ -1,17 +1,21 @@
 """Exact top-k search by distributed histogram selection.
 
 Vectors are dealt to blocks, queries to query blocks, and every pair of blocks is scored by one matrix product.  The
-score of each query's k-th neighbour is located by global histograms: every pair of blocks counts its scores in bins of
-the query's current interval, the counts are summed over all blocks, and the bin that holds the k-th becomes the next
+score of each query's k-th neighbour is located by global histograms: every tile counts its scores in bins of the
+query's current interval, the counts are summed over all tiles, and the bin that holds the k-th becomes the next
 interval, until it is one score wide.  A last pass keeps what reaches that score; ties go to smaller ids.
 
-A block counts only down to the bin of its own k-th score: the global k-th cannot lie below.  Of equal scores a block
-keeps its k smallest ids, which loses nothing, so a vector that a third of all rows repeat does not flood the result.
+A task holds one tile, some blocks of bounded size, and some query blocks pass it one by one.  So a block is sent once per
+group of query blocks and a query block once per tile, both by shuffle, and neither comes to the driver.  A tile counts
+its k best scores of a query only: those above the global k-th are fewer than k, so all are among them, and of the scores
+that equal it no more than k are asked for.  Of equal scores a tile keeps its k smallest ids, which loses nothing, so a
+vector that a third of all rows repeat does not flood the result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +26,8 @@ from tutorlake.session import stored
 
 #: Neighbours; a component counts as floor(SCALE * x); rows of a block at most on average; bins of a histogram.
 K, SCALE, BLOCK, BINS = 20, 64.0, 2048, 512
+#: Bytes of the vectors that one task holds, and of the queries that pass them; pairs of blocks that one task scores.
+TILE_BYTES, PAIRS = 32 << 20, 4096
 
 _BLOCK = "block int, dim int, ids binary, matrix binary"
 
@@ -59,68 +65,129 @@ def _small(matrix: np.ndarray) -> bytes:
 
 
 def _matrix(blob: bytes, dim: int, rows: int) -> np.ndarray:
-    return np.frombuffer(blob, f"<i{blob[0]}", offset=1).astype(np.int64).reshape(rows, dim)
+    return np.frombuffer(blob, f"<i{blob[0]}", offset=1).reshape(rows, dim)
 
 
-def _scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Exact products: by floating point where every sum stays below 2 ^ 53, else in whole numbers."""
-    dim = left.shape[1]
-    largest = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * max(dim, 1)
-    if largest < 1 << 53:
-        return (left.astype(np.float64) @ right.astype(np.float64).T).astype(np.int64)
-    return left @ right.T
+def _largest(matrix: np.ndarray) -> float:
+    return max(float(matrix.max()), -float(matrix.min())) if matrix.size else 0.0
 
 
-def _scored(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query ids, candidate ids and scores of a pair of blocks; a query's own row is marked by the lowest number."""
-    queries, others = np.frombuffer(row["q_ids"], "<i8"), np.frombuffer(row["ids"], "<i8")
-    scores = _scores(_matrix(row["q_matrix"], row["dim"], len(queries)), _matrix(row["matrix"], row["dim"], len(others)))
-    return queries, others, scores
+#: Score of a query with itself, and where a tile has fewer than k.
+OWN = np.iinfo(np.int64).min
 
+#: Ids in ascending order, vectors, and the largest size of a component.
+_Block = tuple[np.ndarray, np.ndarray, float]
 
-OWN = np.iinfo(np.int64).min
 
+def _scores(queries: _Block, tile: list[_Block]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and exact scores of each block of a tile, a query's own row marked by the lowest number.
 
-def _without_own(queries: np.ndarray, others: np.ndarray, scores: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(others, queries)
-    for i, place in enumerate(at.tolist()):
-        while place < len(others) and others[place] == queries[i]:
-            scores[i, place] = OWN
-            place += 1
-    return scores
+    By floating point where it holds every sum as it is, else in whole numbers.
+    """
+    ids, left, largest = queries
+    sums = largest * max((block[2] for block in tile), default=0.0) * max(left.shape[1], 1)
+    kind = np.float32 if sums < 1 << 24 else np.float64 if sums < 1 << 53 else np.int64
+    left, lowest = left.astype(kind), OWN if kind is np.int64 else -np.inf
+    for others, right, _ in tile:
+        scores = left @ right.astype(kind).T
+        at = np.minimum(np.searchsorted(others, ids), len(others) - 1)
+        own = np.flatnonzero(others[at] == ids)
+        scores[own, at[own]] = lowest
+        yield others, scores
+
+
+def _places(where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns that hold; numpy finds them several times faster in one dimension than in two."""
+    return np.divmod(np.flatnonzero(where), where.shape[1])
+
+
+def _greatest(scores: np.ndarray, k: int) -> np.ndarray:
+    return np.partition(scores, scores.shape[1] - k, axis=1)[:, -k:]
+
+
+def _best(queries: _Block, tile: list[_Block], k: int, low: np.ndarray) -> np.ndarray:
+    """The k best scores of each query in a tile, as far as they reach ``low``; the lowest number where there are fewer."""
+    best: np.ndarray | None = None
+    for _, scores in _scores(queries, tile):
+        lowest = scores.dtype.type(OWN if scores.dtype == np.int64 else -np.inf)
+        if best is None:
+            best = np.full((len(low), k), lowest)
+        least = np.maximum(best.min(axis=1), (low - 1).astype(scores.dtype))
+        better = scores > least[:, None]
+        rows, at = _places(better)
+        if len(rows) > 4 * best.size:
+            best = _greatest(np.hstack([best, np.where(better, scores, lowest)]), k)
+        elif len(rows):
+            mine, first, counts = np.unique(rows, return_index=True, return_counts=True)
+            found = np.full((len(mine), counts.max()), lowest)
+            found[np.repeat(np.arange(len(mine)), counts), np.arange(len(rows)) - np.repeat(first, counts)] = scores[rows, at]
+            best[mine] = _greatest(np.hstack([best[mine], found]), k)
+    return best
+
+
+def _nearest(queries: _Block, tile: list[_Block], k: int, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of queries, ids and scores of the k best of a tile that reach ``low``, of equal scores the smallest ids."""
+    kept, least = [np.empty(0, np.int64)] * 3, np.maximum(low, OWN + 1)
+    for others, scores in _scores(queries, tile):
+        reach = scores >= least.astype(scores.dtype)[:, None]
+        rows, at = _places(reach)
+        if not len(rows):
+            continue
+        many = np.flatnonzero(np.bincount(rows) > k)
+        for i in many.tolist():
+            found = np.flatnonzero(reach[i])  # ids ascend, so a stable order by score keeps the smallest of equals
+            reach[i] = False
+            reach[i, found[np.argsort(-scores[i, found], kind="stable")[:k]]] = True
+        if len(many):
+            rows, at = _places(reach)
+        kept = [np.concatenate(pair) for pair in zip(kept, (rows, others[at], scores[rows, at].astype(np.int64)))]
+        order = np.lexsort((kept[1], -kept[2], kept[0]))
+        rows = kept[0][order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        kept = [column[order[place < k]] for column in kept]
+        full = place == k - 1
+        least[rows[full]] = np.maximum(least[rows[full]], kept[2][np.flatnonzero(place[place < k] == k - 1)])
+    return kept[0], kept[1], kept[2]
+
+
+def _passing(each: Callable[[dict, _Block, list[_Block]], pa.RecordBatch | None]):
+    """Rows of tasks as ``pairs`` deals them: the blocks of a task's tile, then its query blocks, each of which meets the tile."""
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, tile = None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if (row["task"], row["dim"]) != here:
+                    here, tile = (row["task"], row["dim"]), []
+                ids = np.frombuffer(row["ids"], "<i8")
+                matrix = _matrix(row["matrix"], row["dim"], len(ids))
+                block = (ids, matrix, _largest(matrix))
+                if row["low"] is None:
+                    tile.append(block)
+                elif tile and (found := each(row, block, tile)) is not None:
+                    yield found
+    return passing
 
 
-_COUNTS = "q_block int, dim int, place int, bin int, n long"
+_COUNTS = "q_block int, dim int, places binary, bins binary, ns binary"
 
 
 def _count(k: int):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                queries, others, scores = _scored(row)
-                scores = _without_own(queries, others, scores)
-                low, width, need = (np.frombuffer(row[c], "<i8") for c in ("low", "width", "need"))
-                places, bins, counts = [], [], []
-                for i in np.flatnonzero(need > 0).tolist():
-                    line = scores[i]
-                    line = line[line >= low[i]] if low[i] > OWN else line[line > OWN]
-                    if not len(line):
-                        continue
-                    # Only what can matter: the block's own k best and their ties.
-                    if len(line) > k:
-                        line = line[line >= np.partition(line, len(line) - k)[len(line) - k]]
-                    # Scores above the interval were counted in an earlier round.
-                    cell = (line - low[i]) // width[i]
-                    cell, n = np.unique(cell[cell < BINS], return_counts=True)
-                    places += [i] * len(cell)
-                    bins += cell.tolist()
-                    counts += n.tolist()
-                if places:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([row["q_block"]] * len(places), pa.int32()), pa.array([row["dim"]] * len(places), pa.int32()),
-                         pa.array(places, pa.int32()), pa.array(bins, pa.int32()), pa.array(counts, pa.int64())],
-                        ["q_block", "dim", "place", "bin", "n"])
-    return count
+    def count(row: dict, queries: _Block, tile: list[_Block]) -> pa.RecordBatch | None:
+        low, width, need = (np.frombuffer(row[c], "<i8") for c in ("low", "width", "need"))
+        asked = np.flatnonzero(need > 0)
+        if not len(asked):
+            return None
+        low, width = low[asked, None], width[asked, None]
+        best = _best((queries[0][asked], queries[1][asked], queries[2]), tile, k, low[:, 0])
+        rows, at = np.nonzero(best >= low.astype(best.dtype))
+        # Scores above the interval were counted in an earlier round.
+        cell = (best[rows, at].astype(np.int64) - low[rows, 0]) // width[rows, 0]
+        inside = cell < BINS
+        found, n = np.unique(asked[rows[inside]] * BINS + cell[inside], return_counts=True)
+        columns = [pa.array([x.astype("<i4").tobytes()], pa.binary()) for x in (found // BINS, found % BINS, n)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([row["block"]], pa.int32()), pa.array([row["dim"]], pa.int32()), *columns], ["q_block", "dim", "places", "bins", "ns"])
+    return _passing(count)
 
 
 _STATE = "q_block int, dim int, q_ids binary, q_matrix binary, low binary, width binary, need binary"
@@ -131,9 +198,9 @@ def _refine(states: pa.Table, counts: pa.Table) -> pa.Table:
     """The next interval of each query: the bin in which the count from above reaches what is needed."""
     row = states.to_pylist()[0]
     low, width, need = (np.frombuffer(row[c], "<i8").copy() for c in ("low", "width", "need"))
-    places, bins, ns = (np.array(counts.column(c).to_pylist(), np.int64) for c in ("place", "bin", "n"))
-    order = np.lexsort((-bins, places))
-    places, bins, ns = places[order], bins[order], ns[order]
+    places, bins, ns = (np.frombuffer(b"".join(counts.column(c).to_pylist()), "<i4").astype(np.int64) for c in ("places", "bins", "ns"))
+    cells, at = np.unique(places * BINS + (BINS - 1 - bins), return_inverse=True)  # by place, the highest bin first
+    places, bins, ns = cells // BINS, BINS - 1 - cells % BINS, np.bincount(at, ns, len(cells)).astype(np.int64)
     starts = np.searchsorted(places, np.arange(len(low) + 1))
     for i in np.flatnonzero(need > 0).tolist():
         own = slice(starts[i], starts[i + 1])
@@ -154,20 +221,18 @@ _HITS = "query_id long, vec_id long, score long"
 
 
 def _collect(k: int):
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                queries, others, scores = _scored(row)
-                scores, low = _without_own(queries, others, scores), np.frombuffer(row["low"], "<i8")
-                for i in range(len(queries)):
-                    at = np.flatnonzero(scores[i] >= max(int(low[i]), OWN + 1))
-                    if len(at) > k:  # ids ascend, so a stable order by score keeps the smallest of equals
-                        at = at[np.argsort(-scores[i][at], kind="stable")[:k]]
-                    if len(at):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(at), queries[i])), pa.array(others[at]), pa.array(scores[i][at])],
-                            ["query_id", "vec_id", "score"])
-    return collect
+    def collect(row: dict, queries: _Block, tile: list[_Block]) -> pa.RecordBatch | None:
+        rows, ids, scores = _nearest(queries, tile, k, np.frombuffer(row["low"], "<i8"))
+        if not len(rows):
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(queries[0][rows]), pa.array(ids), pa.array(scores)], ["query_id", "vec_id", "score"])
+    return _passing(collect)
+
+
+def _dealing(blocks: int, q_blocks: int, tasks: int, least_tiles: int, least_groups: int) -> tuple[int, int]:
+    """Numbers of tiles and of groups of query blocks, for about so many tasks and with the fewest bytes sent."""
+    groups = min(q_blocks, max(least_groups, round(math.sqrt(tasks * q_blocks / blocks))))
+    return min(blocks, max(least_tiles, -(-tasks // groups))), groups
 
 
 def nearest(vectors: DataFrame, is_query, k: int = K, scale: float = SCALE) -> DataFrame:
@@ -201,17 +266,24 @@ def nearest(vectors: DataFrame, is_query, k: int = K, scale: float = SCALE) -> D
 
     state = stored(_blocks(rows.filter(is_query), q_blocks).mapInArrow(begin, _STATE), "topk-state-0")
 
+    held = int(peak[1] or 1) * next(n for n in (1, 2, 4, 8) if n == 8 or int(peak[0] or 0) < 1 << (8 * n - 1)) + 8
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-blocks * q_blocks // PAIRS))
+    tiles, groups = _dealing(blocks, q_blocks, tasks, -(-total * held // TILE_BYTES), -(-asked * (held + 24) // TILE_BYTES))
+
     def pairs(state: DataFrame) -> DataFrame:
-        """Every candidate block with every query block: the stated query set against all rows, in blocks."""
-        left = others.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
-        right = state.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        return left.join(right, ["block", "q_block", "dim"])
+        """Every block with every query block: the rows of each task, its tile before the query blocks that pass it."""
+        none = F.lit(None).cast("binary")
+        tile, group = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))), F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+        left = others.select(F.col("block") % tiles, group, "dim", "block", "ids", "matrix", none, none, none)
+        right = state.select(tile, F.col("q_block") % groups, "dim", "q_block", "q_ids", "q_matrix", "low", "width", "need")
+        rows = left.union(right).toDF("tile", "group", "dim", "block", "ids", "matrix", "low", "width", "need")
+        rows = rows.withColumn("task", F.col("tile") * groups + F.col("group")).drop("tile", "group")
+        return rows.repartitionById(tiles * groups, "task").sortWithinPartitions("task", "dim", F.col("low").isNotNull())
 
     step, width = 0, first_width
     while True:
         step += 1
         counts = pairs(state).mapInArrow(_count(k), _COUNTS)
-        counts = counts.groupBy("q_block", "dim", "place", "bin").agg(F.sum("n").alias("n"))
         state = stored(state.groupBy("q_block", "dim").cogroup(counts.groupBy("q_block", "dim")).applyInArrow(_refine, _STATE),
                        f"topk-state-{step}")
         if width == 1:
