@@ -186,8 +186,9 @@ def shares(spark: SparkSession, sf_dir: str, name: str, share: int = _SHARE, lea
     return max(least, -(-bytes_below(spark, f"{sf_dir}/{name}.parquet") // share))
 
 
-def fixture(spark: SparkSession, sf_dir: str, name: str, by_customer: bool = False, dealt: tuple[str, str] | None = None) -> DataFrame:
-    """The fixture's rows; ``dealt`` names a table and its key by which rows are dealt out to equal tasks before they are shaped."""
+def fixture(spark: SparkSession, sf_dir: str, name: str, by_customer: bool = False, dealt: tuple[str, str] | None = None,
+            share: int = _SHARE // 2) -> DataFrame:
+    """The fixture's rows; ``dealt`` names a table and its key by which rows are dealt out before they are shaped, each task ``share`` bytes of the file."""
     text = _spark_sql(FIXTURES[name])
     for inner in reversed(NEEDS.get(name, ())):
         text = re.sub(rf"\bFROM {inner}\b", f"FROM ({_spark_sql(FIXTURES[inner])}) {inner}", text)
@@ -196,7 +197,7 @@ def fixture(spark: SparkSession, sf_dir: str, name: str, by_customer: bool = Fal
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
     if dealt is not None:
         t, key = dealt
-        used[t] = used[t].repartition(shares(spark, sf_dir, t, _SHARE // 2), key)
+        used[t] = used[t].repartition(shares(spark, sf_dir, t, share), key)
     return spark.sql(text, **used)
 
 

@@ -4,7 +4,7 @@ import datetime
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from checks import entities, faults, fixtures, reports, sources
 from checks.common import QUERIES
@@ -65,6 +65,23 @@ def test_enrolment_export_is_written_by_tasks_of_its_size(spark, tmp_path, monke
     assert sorted(r.source_row for r in rows.collect()) == list(range(70))  # five orders have no customer
 
 
+def test_landed_pages_are_packed_and_their_rows_dealt_before_they_are_text(spark, tmp_path, monkeypatch):
+    sf_dir, paths, plans = _tables(spark, tmp_path), [], []
+    write = DataFrameWriter.text
+
+    def written(self, path, *args, **options):
+        paths.append(path)
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        write(self, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "text", written)
+    monkeypatch.setattr(fixtures, "shares", lambda *a: 7)
+    rows = QUERIES["json_rows_unwrap"](spark, sf_dir)
+    assert [n.endswith(".txt.snappy") for n in children(spark, paths[0]) if n.startswith("part-")] == [True] * 7
+    assert "hashpartitioning(l_orderkey" in plans[0] and "hashpartitioning(k_order" not in plans[0]
+    assert sorted(r.student_comments for r in rows.collect()) == sorted(f"{i % 40}:{i % 7 + 1}:{i}" for i in range(80))
+
+
 def test_purchases_are_dealt_by_customer_once(spark, tmp_path):
     sf_dir = _tables(spark, tmp_path)
     rows = QUERIES["transactions_upsert_webhook"](spark, sf_dir)
